@@ -24,7 +24,7 @@ from sensorloom.operators import metrics as mt
 from sensorloom.operators import split as sp
 from sensorloom.operators import trends as tr
 from sensorloom.plans import models as ml
-from sensorloom.schemas import LAG_COLUMNS, METRICS
+from sensorloom.schemas import LAG_COLUMNS, METRICS, SERIES_KEY
 from sensorloom.session import configure, scratch_dir
 from sensorloom.sources import raw as rw
 from sensorloom.sources import tables as tb
@@ -325,7 +325,7 @@ def gap_report(spark, sf_dir):
 
 
 def time_split(spark, sf_dir):
-    split = sp.time_split(stored_features(spark, sf_dir))
+    split = sp.time_split(stored_features(spark, sf_dir), required=SERIES_KEY)
     train = split.train.withColumn("side", F.lit("train"))
     both = train.unionByName(split.test.withColumn("side", F.lit("test")))
     return both.select("sensor_id", "datetime", "side")
@@ -333,7 +333,8 @@ def time_split(spark, sf_dir):
 
 def split_report(spark, sf_dir):
     features = stored_features(spark, sf_dir)
-    return sp.split_report(features, sp.time_split(features).cut)
+    cut = sp.time_split(features, required=SERIES_KEY).cut
+    return sp.split_report(features, cut, required=SERIES_KEY)
 
 
 def hash_sample(spark, sf_dir):
@@ -355,7 +356,7 @@ def baseline_predictions(features: DataFrame) -> DataFrame:
 
 
 def naive_metrics(spark, sf_dir):
-    split = sp.time_split(stored_features(spark, sf_dir))
+    split = sp.time_split(stored_features(spark, sf_dir), required=SERIES_KEY)
     metrics = mt.regression_metrics(baseline_predictions(split.test))
     return rounded(metrics, "rmse", "mae", "r2")
 
@@ -367,7 +368,7 @@ def best_model(spark, sf_dir):
 
 def metrics_upsert(spark, sf_dir):
     """Stored: both rules on training rows. New: one of them, and a third, on test rows."""
-    split = sp.time_split(stored_features(spark, sf_dir))
+    split = sp.time_split(stored_features(spark, sf_dir), required=SERIES_KEY)
     path = scratch_dir(spark, "metrics")
     tb.upsert_table(
         mt.regression_metrics(baseline_predictions(split.train)), path, ["model"]
@@ -405,21 +406,21 @@ def pred_tail(spark, sf_dir):
 
 def lr_one_feature(spark, sf_dir):
     features = stored_features(spark, sf_dir)
-    model = ml.fit(sp.time_split(features).train, "lr", inputs=["lag_1"])
+    model = ml.fit(sp.time_split(features, required=SERIES_KEY).train, "lr", inputs=["lag_1"])
     return rounded(ml.score(model, features), "predicted_pm25")
 
 
 def _scored(alias: str):
     def query(spark, sf_dir):
         features = stored_features(spark, sf_dir)
-        return ml.score(ml.fit(sp.time_split(features).train, alias), features)
+        return ml.score(ml.fit(sp.time_split(features, required=SERIES_KEY).train, alias), features)
 
     return query
 
 
 def forecast_next_hour(spark, sf_dir):
     features = stored_features(spark, sf_dir)
-    return ml.forecast_next_hour(features, ml.fit(sp.time_split(features).train, "lr"))
+    return ml.forecast_next_hour(features, ml.fit(sp.time_split(features, required=SERIES_KEY).train, "lr"))
 
 
 # --- streams ------------------------------------------------------------------------------

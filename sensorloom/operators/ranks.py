@@ -73,8 +73,6 @@ def values_at_rank(
     return found
 
 
-def medians(df: DataFrame, value: str, by: Column) -> dict:
-    """Lower median of each group: the smallest value with at least half of the rows up to it."""
-    sizes = group_sizes(df, value, by)
-    ranks = {g: (n + 1) // 2 - 1 for g, (n, _, _) in sizes.items()}
-    return values_at_rank(df, value, ranks, by, sizes, bins=512)
+def median_rank(n: int) -> int:
+    """Position of the lower median: the smallest value with at least half the rows up to it."""
+    return (n + 1) // 2 - 1

@@ -27,13 +27,17 @@ def split_time(features: DataFrame, fraction: float = 0.8) -> int | None:
     return values_at_rank(micros, "micros", {0: rank}, sizes=sizes).get(0)
 
 
-def time_split(features: DataFrame, fraction: float = 0.8) -> Split:
+def time_split(
+    features: DataFrame, fraction: float = 0.8, required: list[str] | None = None
+) -> Split:
     """Rows before the cut train, rows at or after it test; ties at the cut all go to test.
 
-    Rows with a null in any column are left out first. The cut is a literal, so both sides
-    are plain filters that reach the scan.
+    Rows with a null in any column are left out first. Where a table is known to be complete
+    but for some columns, name those in ``required``: the passes that look for the cut then
+    read only them and the time. The cut is a literal, so both sides are plain filters that
+    reach the scan.
     """
-    complete = features.dropna()
+    complete = features.dropna(subset=required)
     micros = split_time(complete, fraction)
     if micros is None:
         raise ValueError("no complete rows to split")
@@ -42,10 +46,12 @@ def time_split(features: DataFrame, fraction: float = 0.8) -> Split:
     return Split(complete.filter(time < cut), complete.filter(time >= cut), cut)
 
 
-def split_report(features: DataFrame, cut: Column) -> DataFrame:
+def split_report(
+    features: DataFrame, cut: Column, required: list[str] | None = None
+) -> DataFrame:
     """Rows, share, first and last time of each side, in one pass."""
     sides = (
-        features.dropna()
+        features.dropna(subset=required)
         .groupBy(F.when(F.col("datetime") < cut, "train").otherwise("test").alias("side"))
         .agg(
             F.count(F.lit(1)).alias("n"),

@@ -16,6 +16,7 @@ from sensorloom.operators import trends as tr
 from sensorloom.operators.metrics import naive_predictions, regression_metrics
 from sensorloom.operators.split import split_report, time_split
 from sensorloom.plans import models as ml
+from sensorloom.schemas import SERIES_KEY
 from sensorloom.session import configure
 from sensorloom.sources import raw as rw
 from sensorloom.sources import tables as tb
@@ -92,7 +93,8 @@ def train(
     """
     configure(spark)
     features = tb.read_table(spark, table_path(root, "features"))
-    split = time_split(features)
+    # `build_features` leaves no null or NaN but perhaps in the key.
+    split = time_split(features, required=SERIES_KEY)
     held_out = []
     for alias in models:
         name = ml.model_name(alias)
@@ -105,7 +107,7 @@ def train(
     tb.write_table(naive_predictions(split.test), table_path(root, "holdout/persistence"))
     metrics = regression_metrics(rw.union_sources(held_out))
     tb.upsert_table(metrics, table_path(root, "model_metrics"), ["model"])
-    return split_report(features, split.cut)
+    return split_report(features, split.cut, required=SERIES_KEY)
 
 
 def predict(spark: SparkSession, root: str, model: str = "lr") -> str:
