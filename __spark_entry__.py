@@ -233,10 +233,14 @@ def ingest_totals(spark, sf_dir):
 
 
 def stage_counts(spark, sf_dir):
+    """Rows after each stage, counted while the stages' tables are written."""
+    path = scratch_dir(spark, "stages")
     raw, n_raw = tb.counted(faulty_readings(spark, sf_dir), "raw")
     kept, n_clean = tb.counted(cl.clean(raw), "clean")
-    rows, n_features = tb.counted(ft.lag_features(cl.hourly(kept)), "features")
-    tb.write_table(rows, scratch_dir(spark, "stages"))
+    tb.write_table(kept, f"{path}/clean")
+    rows = ft.lag_features(cl.hourly(tb.read_table(spark, f"{path}/clean")))
+    rows, n_features = tb.counted(rows, "features")
+    tb.write_table(rows, f"{path}/features")
     stages = {"raw": n_raw, "clean": n_clean, "features": n_features}
     return spark.createDataFrame(
         [(stage, seen.get["n"]) for stage, seen in stages.items()], "stage string, n long"

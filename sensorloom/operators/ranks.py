@@ -1,12 +1,14 @@
 """Exact order statistics without sorting or collecting the data.
 
-Each pass counts the remaining rows in equal-width bins and keeps the bin that holds the
+Each pass counts the remaining rows in bins and keeps the bin that holds the
 wanted rank, so a pass is one pre-aggregated scan with a bounded result. A few passes reach a
 bin with a single value.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,10 +53,15 @@ def values_at_rank(
         for g, (lo, hi, _) in left.items():
             here = F.col("g").eqNullSafe(F.lit(g)) & F.col("v").between(lo, hi)
             # Every step is monotone in v, also in floating point, so bins keep the order.
-            # `lo` falls into the first bin and `hi` into the last: each pass narrows the span.
-            position = F.floor((F.col("v") - lo) / (hi - lo) * bins)
-            position = F.when(F.col("v") < hi, F.least(position, F.lit(bins - 1)))
-            bin_of = F.when(here, F.coalesce(position, F.lit(bins - 1))).otherwise(bin_of)
+            # Bins are equally wide, or equally wide in the logarithm where values spread wide.
+            if lo > 0 and hi / lo > bins:
+                share = (F.log("v") - math.log(lo)) / (math.log(hi) - math.log(lo))
+            else:
+                share = (F.col("v") - lo) / (hi - lo)
+            within = F.least(F.greatest(F.floor(share * bins), F.lit(0)), F.lit(bins - 1))
+            # The ends fall into the first and the last bin: each pass narrows the span.
+            position = F.when(F.col("v") == lo, 0).when(F.col("v") == hi, bins - 1)
+            bin_of = F.when(here, position.otherwise(within)).otherwise(bin_of)
             in_scope = in_scope | here
         binned = (
             rows.filter(in_scope)

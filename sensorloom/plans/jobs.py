@@ -49,8 +49,8 @@ def etl(
     kept, n_clean = tb.counted(cl.clean(readings, parameter), "clean")
     tb.write_table(kept, table_path(root, "pm25_clean"))
     distinct = cl.dedup(tb.read_table(spark, table_path(root, "pm25_clean")))
-    hours, n_hourly = tb.counted(cl.hourly(distinct), "hourly")
-    tb.write_table(cl.ordered(hours), table_path(root, "pm25_hourly"))
+    hours, n_hourly = tb.counted(cl.ordered(cl.hourly(distinct)), "hourly")
+    tb.write_table(hours, table_path(root, "pm25_hourly"))
     return {
         "raw": n_raw.get["n"],
         "readings": n_readings.get["n"],

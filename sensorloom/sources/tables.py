@@ -29,7 +29,11 @@ def present_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
 
 
 def counted(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
-    """Count the rows that pass here, in whatever job runs next; read ``observation.get["n"]``."""
+    """Count the rows that pass here in the next job; read ``observation.get["n"]`` after it.
+
+    Count above a global sort, not below it: a range shuffle reads its input twice, once to
+    sample it.
+    """
     seen = Observation(stage)
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 

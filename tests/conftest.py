@@ -22,6 +22,7 @@ def build_session(cpus: str = "8") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

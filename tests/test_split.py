@@ -24,11 +24,9 @@ SAMPLES = {
 
 
 @pytest.mark.parametrize("name", SAMPLES)
-@pytest.mark.parametrize("bins", [2, 16, 4096])
+@pytest.mark.parametrize("bins", [3, 4096])
 def test_value_at_rank(spark, name, bins):
-    values = SAMPLES[name]
-    if bins == 2 and len(values) > 100:
-        values = values[:40]
+    values = SAMPLES[name] if bins > 3 else SAMPLES[name][:9]
     df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").coalesce(2)
     for rank in {0, len(values) // 2, len(values) - 1}:
         assert values_at_rank(df, "v", {0: rank}, bins=bins) == {0: sorted(values)[rank]}
