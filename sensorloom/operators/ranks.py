@@ -7,8 +7,6 @@ bin with a single value.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,31 +39,26 @@ def values_at_rank(
     """
     sizes = sizes or group_sizes(df, value, by)
     group = F.lit(0) if by is None else by
-    rows = df.select(group.alias("g"), F.col(value).alias("v")).filter(F.col("v").isNotNull())
+    rows = df.select(group.alias("g"), F.col(value).alias("v"))
+    g_type, v_type = (t for _, t in rows.dtypes)
     left = {g: (*sizes[g][1:], rank) for g, rank in ranks.items() if 0 <= rank < sizes[g][0]}
     found = {}
-    while left:
+    while True:
         found.update({g: lo for g, (lo, hi, _) in left.items() if lo == hi})
         left = {g: span for g, span in left.items() if span[0] != span[1]}
         if not left:
-            break
-        bin_of, in_scope = F.lit(None).cast("long"), F.lit(False)
-        for g, (lo, hi, _) in left.items():
-            here = F.col("g").eqNullSafe(F.lit(g)) & F.col("v").between(lo, hi)
-            # Every step is monotone in v, also in floating point, so bins keep the order.
-            # Bins are equally wide, or equally wide in the logarithm where values spread wide.
-            if lo > 0 and hi / lo > bins:
-                share = (F.log("v") - math.log(lo)) / (math.log(hi) - math.log(lo))
-            else:
-                share = (F.col("v") - lo) / (hi - lo)
-            within = F.least(F.greatest(F.floor(share * bins), F.lit(0)), F.lit(bins - 1))
-            # The ends fall into the first and the last bin: each pass narrows the span.
-            position = F.when(F.col("v") == lo, 0).when(F.col("v") == hi, bins - 1)
-            bin_of = F.when(here, position.otherwise(within)).otherwise(bin_of)
-            in_scope = in_scope | here
+            return found
+        # One row per group still open, joined in so that each pass runs the same code.
+        spans = df.sparkSession.createDataFrame(
+            [(g, lo, hi) for g, (lo, hi, _) in left.items()],
+            f"span_g {g_type}, lo {v_type}, hi {v_type}",
+        )
         binned = (
-            rows.filter(in_scope)
-            .groupBy("g", bin_of.alias("bin"))
+            rows.join(
+                F.broadcast(spans),
+                F.col("g").eqNullSafe(F.col("span_g")) & F.col("v").between(F.col("lo"), F.col("hi")),
+            )
+            .groupBy("g", _bin(bins).alias("bin"))
             .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
             .collect()
         )
@@ -77,7 +70,22 @@ def values_at_rank(
                     break
                 rank -= row.n
         left = narrowed
-    return found
+
+
+def _bin(bins: int) -> Column:
+    """Bin of ``v`` between ``lo`` and ``hi``.
+
+    Bins are equally wide, or equally wide in the logarithm where values spread wide. Every
+    step is monotone in ``v``, also in floating point, so bins keep the order. The ends fall
+    into the first and the last bin, so each pass narrows the span.
+    """
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    wide = (lo > 0) & (hi / lo > bins)
+    share = F.when(wide, (F.log(v) - F.log(lo)) / (F.log(hi) - F.log(lo))).otherwise(
+        (v - lo) / (hi - lo)
+    )
+    within = F.least(F.greatest(F.floor(share * bins), F.lit(0)), F.lit(bins - 1))
+    return F.when(v == lo, 0).when(v == hi, bins - 1).otherwise(within)
 
 
 def median_rank(n: int) -> int:
