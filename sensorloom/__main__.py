@@ -1,4 +1,4 @@
-"""``spark-submit`` entry: ``python -m sensorloom {etl,eda,features,train,predict,forecast,stream}``."""
+"""Command line: ``python -m sensorloom STEP --root TABLES``, also for ``spark-submit``."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from sensorloom.plans import jobs
+from sensorloom.plans.models import load
 from sensorloom.streaming import refresh
 
 
@@ -15,7 +16,9 @@ def main(argv: list[str] | None = None) -> None:
     steps = parser.add_subparsers(dest="step", required=True)
     step = {
         name: steps.add_parser(name)
-        for name in ("etl", "eda", "features", "train", "predict", "forecast", "stream")
+        for name in (
+            "etl", "eda", "features", "train", "predict", "forecast", "report", "stream"
+        )
     }
     for one in step.values():
         one.add_argument("--root", required=True, help="folder of the tables")
@@ -26,6 +29,8 @@ def main(argv: list[str] | None = None) -> None:
     step["stream"].add_argument("--every", default="600 seconds")
     step["stream"].add_argument("--once", action="store_true")
     step["stream"].add_argument("--max-files", type=int)
+    step["stream"].add_argument("--no-fallback", action="store_true", help="ignore daily files")
+    step["stream"].add_argument("--score-with", help="folder of a stored model")
     step["train"].add_argument("--models", default="lr,rf,gbt")
     step["train"].add_argument("--tree-sample", type=float, default=0.3)
     step["train"].add_argument("--rf-trees", type=int, default=30)
@@ -33,7 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     step["train"].add_argument("--rf-bins", type=int, default=32)
     step["train"].add_argument("--gbt-iterations", type=int, default=50)
     step["train"].add_argument("--gbt-depth", type=int, default=5)
-    for name in ("predict", "forecast"):
+    for name in ("predict", "forecast", "report"):
         step[name].add_argument("--model", default="lr")
     args = parser.parse_args(argv)
 
@@ -62,6 +67,8 @@ def main(argv: list[str] | None = None) -> None:
         print(jobs.predict(spark, args.root, args.model))
     elif args.step == "forecast":
         print(jobs.forecast(spark, args.root, args.model))
+    elif args.step == "report":
+        jobs.report(spark, args.root, args.model)
     else:
         query = refresh.start_landing_refresh(
             spark,
@@ -71,6 +78,8 @@ def main(argv: list[str] | None = None) -> None:
             every=args.every,
             once=args.once,
             max_files_per_trigger=args.max_files,
+            fallback=not args.no_fallback,
+            model=load(args.score_with) if args.score_with else None,
             **layout,
         )
         query.awaitTermination()

@@ -27,8 +27,11 @@ def is_valid(parameter: str = "pm25") -> Column:
     )
 
 
-def clean(readings: DataFrame, parameter: str = "pm25") -> DataFrame:
-    return readings.filter(is_valid(parameter)).select("sensor_id", "datetime", "pm25")
+def clean(
+    readings: DataFrame, parameter: str = "pm25", keep: Iterable[str] = ()
+) -> DataFrame:
+    """Valid readings of one parameter; ``keep`` names further columns to carry along."""
+    return readings.filter(is_valid(parameter)).select("sensor_id", "datetime", "pm25", *keep)
 
 
 def hourly(cleaned: DataFrame) -> DataFrame:
@@ -89,9 +92,18 @@ def latest_time(readings: DataFrame) -> DataFrame:
     return readings.agg(F.max("datetime").alias("latest"))
 
 
-def settled(readings: DataFrame, now: Column, lag_hours: int = 24) -> DataFrame:
-    """Only readings old enough that the source no longer revises them."""
-    return readings.filter(F.col("datetime") <= now - F.expr(f"INTERVAL {lag_hours} HOURS"))
+def settled(
+    readings: DataFrame, now: Column, lag_hours: int = 24, window_hours: int | None = None
+) -> DataFrame:
+    """Only readings old enough that the source no longer revises them.
+
+    With ``window_hours``, only those of the window that ends there.
+    """
+    until = now - F.expr(f"INTERVAL {lag_hours} HOURS")
+    recent = readings.filter(F.col("datetime") <= until)
+    if window_hours is None:
+        return recent
+    return recent.filter(F.col("datetime") >= until - F.expr(f"INTERVAL {window_hours} HOURS"))
 
 
 def hourly_or_daily(

@@ -10,10 +10,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.functions import weekday_label, year_week_label
 from sensorloom.operators import clean as cl
 from sensorloom.operators import features as ft
+from sensorloom.operators import metrics as mt
 from sensorloom.operators import trends as tr
-from sensorloom.operators.metrics import naive_predictions, regression_metrics
 from sensorloom.operators.split import split_report, time_split
 from sensorloom.plans import models as ml
 from sensorloom.schemas import SERIES_KEY
@@ -104,8 +105,8 @@ def train(
         target = table_path(root, f"holdout/{name}")
         tb.write_table(ml.score(model, split.test), target)
         held_out.append(tb.read_table(spark, target).withColumn("model", F.lit(name)))
-    tb.write_table(naive_predictions(split.test), table_path(root, "holdout/persistence"))
-    metrics = regression_metrics(rw.union_sources(held_out))
+    tb.write_table(mt.naive_predictions(split.test), table_path(root, "holdout/persistence"))
+    metrics = mt.regression_metrics(rw.union_sources(held_out))
     tb.upsert_table(metrics, table_path(root, "model_metrics"), ["model"])
     return split_report(features, split.cut, required=SERIES_KEY)
 
@@ -129,3 +130,23 @@ def forecast(spark: SparkSession, root: str, model: str = "lr") -> str:
         ml.forecast_next_hour(features, ml.load(model_path(root, name))), target
     )
     return target
+
+
+def report(
+    spark: SparkSession, root: str, model: str = "lr", table: str = "holdout", rows: int = 200
+) -> None:
+    """The small tables that a dashboard shows: best model, labelled weeks, newest predictions."""
+    configure(spark)
+    metrics = tb.read_table(spark, table_path(root, "model_metrics"))
+    tb.write_table(mt.best_model(metrics), table_path(root, "report/best_model"))
+    weekly = tb.read_table(spark, table_path(root, "eda/weekly_trend"))
+    label = year_week_label(F.col("year"), F.col("week_of_year"))
+    tb.write_table(weekly.withColumn("year_week", label), table_path(root, "report/weekly"))
+    weekdays = tb.read_table(spark, table_path(root, "eda/weekday_stats"))
+    tb.write_table(
+        weekdays.withColumn("weekday", weekday_label(F.col("day_of_week"))),
+        table_path(root, "report/weekdays"),
+    )
+    predicted = tb.read_table(spark, table_path(root, f"{table}/{ml.model_name(model)}"))
+    newest = mt.last_rows(mt.collapse_by_time(predicted), rows)
+    tb.write_table(newest, table_path(root, "report/predictions"))

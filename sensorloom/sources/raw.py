@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom import schemas
@@ -17,6 +17,7 @@ from sensorloom.functions import parse_utc, utc_iso
 # pm25_sensor_{id}_{interval}_{time}.json.
 RAW_FILES = "*sensor_*.json"
 ID_IN_NAME = "sensor_([^_]+)_"
+INTERVAL_IN_NAME = "sensor_[^_]+_([^_]+)_"
 
 
 def _raw_options(multi_line: bool, files: str) -> dict[str, str]:
@@ -65,12 +66,21 @@ def read_raw_stream(
     return reader.json(path).select("*", "_metadata.file_name")
 
 
-def sensor_of(raw: DataFrame):
-    """Sensor id as text: the document's own, else the one in its file name."""
-    own = F.col("sensor_id").cast("string")
+def _own_or_named(raw: DataFrame, column: str, pattern: str) -> Column:
+    """A text field of the document, else the part of its file name that says the same."""
+    own = F.col(column).cast("string")
     if "file_name" not in raw.columns:
         return own
-    return F.coalesce(own, F.nullif(F.regexp_extract("file_name", ID_IN_NAME, 1), F.lit("")))
+    return F.coalesce(own, F.nullif(F.regexp_extract("file_name", pattern, 1), F.lit("")))
+
+
+def sensor_of(raw: DataFrame) -> Column:
+    return _own_or_named(raw, "sensor_id", ID_IN_NAME)
+
+
+def interval_of(raw: DataFrame) -> Column:
+    """``hourly`` or ``daily``; hourly where neither the document nor its name says."""
+    return F.coalesce(_own_or_named(raw, "interval", INTERVAL_IN_NAME), F.lit("hourly"))
 
 
 def normalize(raw: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
@@ -109,7 +119,7 @@ def union_sources(frames: Iterable[DataFrame]) -> DataFrame:
     return result
 
 
-def record_count():
+def record_count() -> Column:
     return F.coalesce(F.array_size("results"), F.lit(0)).cast("long")
 
 

@@ -66,12 +66,10 @@ def with_fallback(handle: Handler) -> Handler:
 
     def handle_preferred(batch: DataFrame, batch_id: int) -> None:
         daily = F.col("interval") == "daily"
-        handle(
-            prefer_hourly(
-                batch.filter(~daily).drop("interval"), batch.filter(daily).drop("interval")
-            ),
-            batch_id,
-        )
+        batch.persist()  # read three times below
+        hourly_rows = batch.filter(~daily).drop("interval")
+        handle(prefer_hourly(hourly_rows, batch.filter(daily).drop("interval")), batch_id)
+        batch.unpersist()
 
     return handle_preferred
 

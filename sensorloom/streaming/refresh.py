@@ -24,6 +24,7 @@ from sensorloom.sources.tables import delete_path
 from sensorloom.streaming import batches as bt
 
 READING = "sensor_id string, datetime timestamp, pm25 double"
+LOOKBACK = "7 DAYS"
 FEATURE = ", ".join(
     [READING, *[f"{c} int" for c in CALENDAR_COLUMNS], *[f"{c} double" for c in LAG_COLUMNS]]
 )
@@ -48,6 +49,35 @@ def _forward_features(new: DataFrame, carry: DataFrame, rows_per_task: int) -> D
     return ft.complete_features(lagged.filter(~known))
 
 
+def _redone_features(history: DataFrame, late: DataFrame, rows_per_task: int) -> DataFrame:
+    """Features of the late sensors from their first new reading on.
+
+    The scan goes back ``LOOKBACK`` from the earliest of these; row-group statistics skip what
+    is older. A sensor that has too few readings in that time is read from its beginning.
+    """
+    since = late.agg(F.unix_micros(F.min("first_new"))).first()[0]
+    start = F.timestamp_micros(F.lit(since)) - F.expr(f"INTERVAL {LOOKBACK}")
+    recent = bt.newest(
+        history.filter(F.col("datetime") >= start).join(late, "sensor_id", "left_semi"),
+        SERIES_KEY,
+    )
+    supplied = (
+        recent.join(late, "sensor_id")
+        .filter(F.col("datetime") < F.col("first_new"))
+        .groupBy("sensor_id")
+        .count()
+        .filter(F.col("count") >= LAGS)
+    )
+    rows = recent.join(supplied, "sensor_id", "left_semi")
+    short = late.join(supplied, "sensor_id", "left_anti")
+    if not short.isEmpty():
+        whole = history.join(short, "sensor_id", "left_semi")
+        rows = rows.unionByName(bt.newest(whole, SERIES_KEY))
+    redone = ft.lag_features(cl.hourly(rows), rows_per_task=rows_per_task)
+    redone = redone.join(late, "sensor_id").filter(F.col("datetime") >= F.col("first_new"))
+    return redone.drop("first_new")
+
+
 def refresh_tables(
     root: str, model: PipelineModel | None = None, rows_per_task: int = ROWS_PER_TASK
 ) -> bt.Handler:
@@ -87,12 +117,7 @@ def refresh_tables(
         if not late.isEmpty():
             history = bt.read_versions(spark, f"{root}/clean", READING)
             history = history.filter(F.col(bt.VERSION) <= batch_id)
-            history = history.join(late, "sensor_id", "left_semi")
-            redone = ft.lag_features(
-                cl.hourly(bt.newest(history, SERIES_KEY)), rows_per_task=rows_per_task
-            )
-            redone = redone.join(late, "sensor_id").filter(F.col("datetime") >= F.col("first_new"))
-            features = features.unionByName(redone.drop("first_new"))
+            features = features.unionByName(_redone_features(history, late, rows_per_task))
         features.write.mode("overwrite").parquet(feature_path)
         if model is not None:
             written = spark.read.schema(FEATURE).parquet(feature_path)
@@ -129,12 +154,19 @@ def start_landing_refresh(
     every: str = "600 seconds",
     once: bool = False,
     max_files_per_trigger: int | None = None,
+    fallback: bool = True,
     model: PipelineModel | None = None,
 ) -> StreamingQuery:
-    """Landing folder to fresh tables under ``root``."""
+    """Landing folder to fresh tables under ``root``.
+
+    Daily documents count only for sensors without hourly ones in the same batch, or not at
+    all without ``fallback``.
+    """
     configure(spark)
     raw = rw.read_raw_stream(spark, landing, multi_line, files, max_files_per_trigger)
-    readings = cl.clean(rw.normalize(raw), parameter)
-    return bt.start(
-        readings, refresh_tables(root, model), f"{root}/checkpoint", every=every, once=once
-    )
+    readings = rw.normalize(raw.withColumn("interval", rw.interval_of(raw)), keep=["interval"])
+    if not fallback:
+        readings = readings.filter(F.col("interval") != "daily")
+    readings = cl.clean(readings, parameter, keep=["interval"])
+    handle = bt.with_fallback(refresh_tables(root, model))
+    return bt.start(readings, handle, f"{root}/checkpoint", every=every, once=once)

@@ -18,7 +18,7 @@ def build_session(cpus: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("sensorloom-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")

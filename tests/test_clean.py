@@ -46,7 +46,9 @@ def test_open_time_ranges(spark):
     assert cl.in_time_range(df).count() == 4
     assert cl.in_time_range(df, start="2024-01-01 01:00:00").count() == 3
     assert cl.in_time_range(df, end="2024-01-01 01:00:00").count() == 2
-    assert cl.settled(df, F.lit(at("2024-01-02T01:00:00")), 24).count() == 2
+    now = F.lit(at("2024-01-02T02:00:00"))
+    assert cl.settled(df, now, 24).count() == 3
+    assert cl.settled(df, now, 24, window_hours=1).count() == 2
 
 
 def test_fallback_to_daily(spark):

@@ -48,6 +48,12 @@ def test_pipeline(spark, landing, tmp_path):
     ]
     assert spark.read.parquet(f"{root}/holdout/linear_regression").count() == 40
     assert spark.read.parquet(f"{root}/eda/daily_trend").count() == 5
+    jobs.report(spark, root, rows=7)
+    assert spark.read.parquet(f"{root}/report/predictions").count() == 7
+    assert spark.read.parquet(f"{root}/report/best_model").count() == 1
+    assert tuples(spark.read.parquet(f"{root}/report/weekly"), "year_week") == [("2024-01",)]
+    weekdays = tuples(spark.read.parquet(f"{root}/report/weekdays"), "weekday")
+    assert weekdays == [("Fri",), ("Mon",), ("Thu",), ("Tue",), ("Wed",)]
     jobs.train(spark, root, models=["lr"])
     assert spark.read.parquet(f"{root}/model_metrics").count() == 3
 
@@ -55,14 +61,18 @@ def test_pipeline(spark, landing, tmp_path):
 def test_command_line(spark, landing, tmp_path, capsys):
     root = ["--root", str(tmp_path)]
     main(["etl", "--raw", landing, *root])
+    main(["eda", *root])
     main(["features", *root])
     main(["train", "--models", "lr", *root])
     main(["predict", *root])
     main(["forecast", "--model", "linear", *root])
-    main(["stream", "--raw", landing, "--once", "--root", str(tmp_path / "live")])
+    main(["report", *root])
+    model = str(tmp_path / "models/linear_regression")
+    live = ["--root", str(tmp_path / "live"), "--once", "--score-with", model]
+    main(["stream", "--raw", landing, *live])
     out = capsys.readouterr().out
     assert "'hourly': 240" in out and "forecast/linear_regression" in out
-    assert (tmp_path / "live/features/batch_id=0").exists()
+    assert spark.read.parquet(str(tmp_path / "live/predictions")).count() == 192
 
 
 def test_scratch_follows_the_session(spark, monkeypatch):

@@ -64,6 +64,17 @@ def test_refresh_with_late_repeated_and_replayed_batches(spark, tmp_path):
     assert rf.current_readings(spark, root).count() == 120
 
 
+def test_late_readings_of_a_sparse_sensor_use_its_whole_history(spark, tmp_path):
+    root, handle = str(tmp_path / "t"), rf.refresh_tables(str(tmp_path / "t"))
+    dense = series_rows("dense", 400)
+    sparse = series_rows("sparse", 60, step_hours=24)
+    batches = [dense[:390] + sparse[:50], [dense[380], sparse[45]], dense[390:] + sparse[50:]]
+    for i, part in enumerate(batches):
+        handle(spark.createDataFrame([(s, t, v + i) for s, t, v in part], READING), i)
+    rows = [(s, t, v + i) for i, part in enumerate(batches) for s, t, v in part]
+    assert tuples(rf.current_features(spark, root)) == batch_features(spark, rows)
+
+
 def test_refresh_skips_batches_without_readings(spark, tmp_path):
     root = str(tmp_path / "t")
     handle = rf.refresh_tables(root)
@@ -89,6 +100,19 @@ def test_landing_to_tables_and_predictions(spark, tmp_path):
     assert spark.read.parquet(f"{root}/predictions").count() == 16
 
 
+@pytest.mark.parametrize("fallback, sensors", [(True, {"1", "2"}), (False, {"1"})])
+def test_daily_documents_stand_in_for_missing_hourly_ones(spark, tmp_path, fallback, sensors):
+    landing, root = tmp_path / "raw", str(tmp_path / "tables")
+    page = {"results": [record(1.0, "2024-01-01T00:00:00Z")]}
+    land(landing, "pm25_sensor_1_hourly_20240101_000000.json", page)
+    land(landing, "pm25_sensor_1_daily_20240101_000000.json", {"results": [record(9.0, "2024-01-02T00:00:00Z")]})
+    land(landing, "pm25_sensor_2_daily_20240101_000000.json", page)
+    finish(rf.start_landing_refresh(spark, str(landing), root, once=True, fallback=fallback))
+    readings = rf.current_readings(spark, root)
+    assert {r.sensor_id for r in readings.collect()} == sensors
+    assert readings.filter("pm25 = 9").isEmpty()
+
+
 def test_hourly_and_daily_windows(spark, tmp_path):
     rows = [("a", at("2024-01-01") + dt.timedelta(minutes=17 * i), float(i)) for i in range(200)]
     stream = landed_stream(spark, tmp_path / "in", [rows[:90], rows[90:150], rows[150:]])
