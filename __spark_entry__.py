@@ -24,7 +24,7 @@ from sensorloom.operators import metrics as mt
 from sensorloom.operators import split as sp
 from sensorloom.operators import trends as tr
 from sensorloom.plans import models as ml
-from sensorloom.schemas import LAG_COLUMNS, METRICS, SERIES_KEY
+from sensorloom.schemas import CALENDAR_COLUMNS, LAG_COLUMNS, METRICS, SERIES_KEY
 from sensorloom.session import configure, scratch_dir
 from sensorloom.sources import raw as rw
 from sensorloom.sources import tables as tb
@@ -417,14 +417,16 @@ def lr_one_feature(spark, sf_dir):
 def _scored(alias: str):
     def query(spark, sf_dir):
         features = stored_features(spark, sf_dir)
-        return ml.score(ml.fit(sp.time_split(features, required=SERIES_KEY).train, alias), features)
+        model = ml.fit(sp.time_split(features, required=SERIES_KEY).train, alias)
+        return rounded(ml.score(model, features), "predicted_pm25")
 
     return query
 
 
 def forecast_next_hour(spark, sf_dir):
     features = stored_features(spark, sf_dir)
-    return ml.forecast_next_hour(features, ml.fit(sp.time_split(features, required=SERIES_KEY).train, "lr"))
+    model = ml.fit(sp.time_split(features, required=SERIES_KEY).train, "lr")
+    return rounded(ml.forecast_next_hour(features, model), "forecast_pm25")
 
 
 # --- streams ------------------------------------------------------------------------------
@@ -568,6 +570,50 @@ _ORDER_DAYS = """days AS (
   FROM orders GROUP BY 1)"""
 
 
+_INPUTS = CALENDAR_COLUMNS + LAG_COLUMNS
+_N = len(_INPUTS)
+
+
+def _gram_row(column: str) -> str:
+    """Row of the ridge system in standard units; a constant input takes no part."""
+    cells = [
+        "1 + 0.1 / stddev_pop(pm25)"
+        if other == column
+        else f"coalesce(covar_pop({column}, {other}) / nullif(stddev_pop({column}) * "
+        f"stddev_pop({other}), 0), 0)"
+        for other in [*_INPUTS, "pm25"]
+    ]
+    return "[" + ", ".join(cells) + "]"
+
+
+# Ridge regression on all inputs: Gauss-Jordan elimination, one column per step.
+_RIDGE = f"""{_CUT}, train AS (SELECT * FROM features WHERE datetime < (SELECT cut_time FROM cut)),
+  solved AS (
+    SELECT 1 AS k, [{", ".join(_gram_row(c) for c in _INPUTS)}] AS m FROM train
+    UNION ALL
+    SELECT k + 1,
+           [CASE WHEN i = k THEN [x / m[k][k] for x in m[k]]
+                 ELSE [m[i][j] - m[i][k] * m[k][j] / m[k][k] for j in range(1, {_N + 2})]
+            END for i in range(1, {_N + 1})]
+    FROM solved WHERE k <= {_N}),
+  fitted AS (
+    SELECT {", ".join(f"coalesce(w[{i}] * sy / nullif(s_{c}, 0), 0) AS b_{c}, m_{c}"
+                      for i, c in enumerate(_INPUTS, 1))}, my
+    FROM (SELECT [m[i][{_N + 1}] for i in range(1, {_N + 1})] AS w
+          FROM solved WHERE k = {_N + 1}),
+         (SELECT {", ".join(f"stddev_pop({c}) AS s_{c}, avg({c}) AS m_{c}" for c in _INPUTS)},
+                 stddev_pop(pm25) AS sy, avg(pm25) AS my FROM train))"""
+_RIDGE_VALUE = "my + " + " + ".join(f"b_{c} * ({c} - m_{c})" for c in _INPUTS)
+_NEXT_HOUR = f"""newest AS (
+  SELECT sensor_id, datetime + INTERVAL 1 HOUR AS datetime, pm25, {_LAGS}
+  FROM features
+  QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY datetime DESC) = 1),
+  upcoming AS (
+  SELECT sensor_id, datetime, pm25 AS last_pm25, {_CALENDAR}, pm25 AS lag_1,
+         {", ".join(f"lag_{i - 1} AS lag_{i}" for i in range(2, 25))}
+  FROM newest)"""
+
+
 def _metrics(model: str, predicted: str, source: str) -> str:
     return f"""SELECT '{model}' AS model,
          round(sqrt(avg((pm25 - p) * (pm25 - p))) + 1e-9, 6) AS rmse,
@@ -705,13 +751,7 @@ def oracle_sql() -> dict[str, str]:
         "latest_per_sensor": f"""WITH {_CLEAN}
             SELECT sensor_id, datetime, {_CALENDAR}, pm25 FROM clean
             QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY datetime DESC) = 1""",
-        "next_hour_features": f"""WITH {_FEATURES}, newest AS (
-              SELECT sensor_id, datetime + INTERVAL 1 HOUR AS datetime, pm25, {_LAGS}
-              FROM features
-              QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY datetime DESC) = 1)
-            SELECT sensor_id, datetime, pm25 AS last_pm25, {_CALENDAR}, pm25 AS lag_1,
-                   {", ".join(f"lag_{i - 1} AS lag_{i}" for i in range(2, 25))}
-            FROM newest""",
+        "next_hour_features": f"WITH {_FEATURES}, {_NEXT_HOUR} SELECT * FROM upcoming",
         "gap_report": f"""WITH {_CLEAN}, gaps AS (
               SELECT sensor_id, datetime,
                      lag(datetime) OVER (PARTITION BY sensor_id ORDER BY datetime) AS previous
@@ -756,6 +796,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT sensor_id, datetime AS date, pm25 AS actual_pm25,
                    round(mean_y + slope * (lag_1 - mean_x) + 1e-9, 6) AS predicted_pm25
             FROM features, moments""",
+        "ml_scored": f"""WITH RECURSIVE {_RIDGE}
+            SELECT sensor_id, datetime AS date, pm25 AS actual_pm25,
+                   round({_RIDGE_VALUE} + 1e-9, 6) AS predicted_pm25
+            FROM features, fitted""",
+        "forecast_next_hour": f"""WITH RECURSIVE {_RIDGE}, {_NEXT_HOUR}
+            SELECT sensor_id, datetime, last_pm25,
+                   round({_RIDGE_VALUE} + 1e-9, 6) AS forecast_pm25
+            FROM upcoming, fitted""",
         "stream_hourly": f"""WITH {_READINGS}
             SELECT sensor_id, date_trunc('hour', datetime) AS datetime,
                    round(avg(pm25) + 1e-9, 6) AS pm25, count(*) AS n

@@ -59,12 +59,3 @@ def test_aggregates_are_partial_before_the_shuffle(readings, operator):
 
 def test_trends_read_two_columns(readings):
     assert "ReadSchema: struct<datetime:timestamp,pm25:double>" in plan(tr.daily_means(readings))
-
-
-@pytest.mark.parametrize("key", sorted(entry.queries()))
-def test_no_cross_join_or_row_at_a_time_python(spark, key):
-    if key in {"rf_scored", "gbt_scored", "stream_lags", "stream_dedup", "stream_hourly"}:
-        pytest.skip("covered by its own tests")
-    text = plan(entry.queries()[key](spark, SF_DIR))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text
