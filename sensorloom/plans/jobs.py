@@ -23,6 +23,17 @@ from sensorloom.sources import raw as rw
 from sensorloom.sources import tables as tb
 
 
+TABLES = [
+    "pm25_clean",
+    "pm25_hourly",
+    "eda/daily_trend",
+    "eda/weekday_stats",
+    "eda/weekly_trend",
+    "features",
+    "model_metrics",
+]
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
@@ -31,6 +42,25 @@ def model_path(root: str, name: str) -> str:
     return table_path(root, f"models/{name}")
 
 
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """Make the tables that exist under ``root`` available to SQL, under their own names.
+
+    ``pm25_clean`` gets a ``date`` column for daily queries.
+    """
+    configure(spark)
+    found = []
+    for name in TABLES:
+        if not tb.path_exists(spark, table_path(root, name)):
+            continue
+        table = tb.read_table(spark, table_path(root, name))
+        if name == "pm25_clean":
+            table = table.withColumn("date", F.to_date("datetime"))
+        view = name.rsplit("/", 1)[-1]
+        table.createOrReplaceTempView(view)
+        found.append(view)
+    return found
+
+
 def etl(
     spark: SparkSession,
     raw_path: str | list[str],

@@ -47,7 +47,7 @@ def read_raw(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise ValueError(f"no raw files found in {paths}") from error
         raise
-    if not raw.inputFiles():
+    if raw.isEmpty():
         raise ValueError(f"no raw files matching {files} in {paths}")
     return raw.select("*", "_metadata.file_name")
 

@@ -54,6 +54,10 @@ def test_pipeline(spark, landing, tmp_path):
     assert tuples(spark.read.parquet(f"{root}/report/weekly"), "year_week") == [("2024-01",)]
     weekdays = tuples(spark.read.parquet(f"{root}/report/weekdays"), "weekday")
     assert weekdays == [("Fri",), ("Mon",), ("Thu",), ("Tue",), ("Wed",)]
+    assert jobs.register_views(spark, root) == [t.rsplit("/", 1)[-1] for t in jobs.TABLES]
+    by_day = spark.sql("SELECT date, avg(pm25) AS mean FROM pm25_clean GROUP BY date")
+    stored = spark.sql("SELECT date, pm25_avg AS mean FROM daily_trend")
+    assert tuples(by_day) == tuples(stored)
     jobs.train(spark, root, models=["lr"])
     assert spark.read.parquet(f"{root}/model_metrics").count() == 3
 
