@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def predictions(scored: DataFrame) -> DataFrame:
     """Prediction table. It keeps the sensor, so that equal times stay distinguishable."""
     return scored.select(

@@ -59,7 +59,7 @@ def model_name(alias: str) -> str:
     return name
 
 
-def pipeline(alias: str, inputs: Iterable[str] = FEATURE_COLUMNS, **params) -> Pipeline:
+def estimator(alias: str, inputs: Iterable[str] = FEATURE_COLUMNS, **params) -> Pipeline:
     """Vector assembly and regressor as one unit, so a stored model scores plain tables."""
     name = model_name(alias)
     return Pipeline(
@@ -82,7 +82,7 @@ def fit(
     """Fit one model; tree models learn from a reproducible sample of the training rows."""
     rows = hash_sample(train, tree_sample) if model_name(alias) in TREE_MODELS else train
     inputs = list(inputs)
-    return pipeline(alias, inputs, **params).fit(rows.select("pm25", *inputs))
+    return estimator(alias, inputs, **params).fit(rows.select("pm25", *inputs))
 
 
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:

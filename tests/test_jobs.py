@@ -23,7 +23,7 @@ def landing(tmp_path_factory):
     return str(folder)
 
 
-def test_pipeline(spark, landing, tmp_path):
+def test_all_jobs(spark, landing, tmp_path):
     root = str(tmp_path)
     assert jobs.etl(spark, landing, root) == {
         "raw": 2,

@@ -86,14 +86,14 @@ def test_model_names_and_defaults():
 
 
 def test_default_parameters(spark):
-    forest = ml.pipeline("rf").getStages()[1]
+    forest = ml.estimator("rf").getStages()[1]
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMaxBins()) == (30, 6, 32)
     assert (forest.getSubsamplingRate(), forest.getSeed()) == (0.8, 42)
     assert forest.getFeatureSubsetStrategy() == "auto"
-    boosted = ml.pipeline("gbt").getStages()[1]
+    boosted = ml.estimator("gbt").getStages()[1]
     assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getStepSize()) == (50, 5, 0.05)
-    assert ml.pipeline("lr").getStages()[1].getRegParam() == 0.1
-    assert ml.pipeline("gbt", maxIter=3).getStages()[1].getMaxIter() == 3
+    assert ml.estimator("lr").getStages()[1].getRegParam() == 0.1
+    assert ml.estimator("gbt", maxIter=3).getStages()[1].getMaxIter() == 3
 
 
 def test_metrics_equal_mllib(features):

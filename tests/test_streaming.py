@@ -105,7 +105,8 @@ def test_daily_documents_stand_in_for_missing_hourly_ones(spark, tmp_path, fallb
     landing, root = tmp_path / "raw", str(tmp_path / "tables")
     page = {"results": [record(1.0, "2024-01-01T00:00:00Z")]}
     land(landing, "pm25_sensor_1_hourly_20240101_000000.json", page)
-    land(landing, "pm25_sensor_1_daily_20240101_000000.json", {"results": [record(9.0, "2024-01-02T00:00:00Z")]})
+    daily = {"results": [record(9.0, "2024-01-02T00:00:00Z")]}
+    land(landing, "pm25_sensor_1_daily_20240101_000000.json", daily)
     land(landing, "pm25_sensor_2_daily_20240101_000000.json", page)
     finish(rf.start_landing_refresh(spark, str(landing), root, once=True, fallback=fallback))
     readings = rf.current_readings(spark, root)
