@@ -67,9 +67,11 @@ def with_fallback(handle: Handler) -> Handler:
     def handle_preferred(batch: DataFrame, batch_id: int) -> None:
         daily = F.col("interval") == "daily"
         batch.persist()  # read three times below
-        hourly_rows = batch.filter(~daily).drop("interval")
-        handle(prefer_hourly(hourly_rows, batch.filter(daily).drop("interval")), batch_id)
-        batch.unpersist()
+        try:
+            hourly_rows = batch.filter(~daily).drop("interval")
+            handle(prefer_hourly(hourly_rows, batch.filter(daily).drop("interval")), batch_id)
+        finally:
+            batch.unpersist()
 
     return handle_preferred
 
