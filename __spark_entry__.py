@@ -6,7 +6,9 @@ measurement. ``orders`` spans several years and serves the yearly and weekly vie
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,16 @@ from sensorloom.streaming import aggregates as ag
 from sensorloom.streaming import batches as bt
 from sensorloom.streaming import refresh as rf
 
+# The corpus operators can be left out; an import error inside them isn't hidden.
+CORPUS = CORPUS_SQL = PIPELINE = None
+try:
+    PIPELINE = import_module("corpus_pipeline")
+    CORPUS = import_module("sensorloom.llm.queries")
+    CORPUS_SQL = import_module("sensorloom.llm.sql")
+except ModuleNotFoundError as missing:
+    if not re.fullmatch(r"corpus_pipeline|sensorloom\.llm(\..*)?", missing.name or ""):
+        raise
+
 EVENTS = "event_id long, ts timestamp, user_id long, event_type string, value double"
 ORDERS = (
     "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp, "
@@ -475,6 +487,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return sensor_queries() | (CORPUS.QUERIES | {"pipeline": PIPELINE.run} if CORPUS else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    if not CORPUS:
+        return sensor_sql()
+    pipeline = {"pipeline": PIPELINE.ORACLE_SQL} if PIPELINE.ORACLE_SQL else {}
+    return sensor_sql() | CORPUS_SQL.ORACLE | pipeline
+
+
+def sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "clean_readings": clean_readings,
         "hourly_calendar": hourly_calendar,
@@ -631,7 +654,7 @@ _BY_TIME = f"""{_FEATURES}, by_time AS (
   FROM features GROUP BY 1)"""
 
 
-def oracle_sql() -> dict[str, str]:
+def sensor_sql() -> dict[str, str]:
     return {
         "clean_readings": f"WITH {_FAULTY} SELECT * FROM kept",
         "hourly_calendar": f"WITH {_CLEAN} SELECT sensor_id, datetime, {_CALENDAR}, pm25 FROM clean",

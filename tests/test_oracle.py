@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from oracle import connection, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.sensor_queries(), entry.sensor_sql()
 TREES = {"rf_scored", "gbt_scored"}
 
 
