@@ -163,3 +163,71 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     ends = np.flatnonzero(solid & ~after) + 1
     rows = np.searchsorted(offsets, starts, side="right") - 1
     return starts, ends, rows
+
+
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], columns: list[str]
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Cut a stream that is sorted by some integer columns into parts that hold whole groups.
+
+    Yields each part with the starts of its groups and its length at the end. Memory: a batch and
+    the largest group.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = _changes(batch, columns)
+        if held:
+            last = held[-1].slice(held[-1].num_rows - 1)
+            if not all(last.column(c)[0].equals(batch.column(c)[0]) for c in columns):
+                yield _with_starts(held, columns)
+                held = []
+        if len(change):
+            held.append(batch.slice(0, change[-1]))
+            yield _with_starts(held, columns)
+            held = [batch.slice(change[-1])]
+        else:
+            held.append(batch)
+    if held:
+        yield _with_starts(held, columns)
+
+
+def _changes(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    """Rows that differ in a column from the row before."""
+    moved = np.zeros(max(0, batch.num_rows - 1), bool)
+    for column in columns:
+        moved |= np.diff(batch.column(column).to_numpy()) != 0
+    return np.flatnonzero(moved) + 1
+
+
+def _with_starts(held: list[pa.RecordBatch], columns: list[str]) -> tuple[pa.RecordBatch, np.ndarray]:
+    part = held[0] if len(held) == 1 else pa.concat_batches(held)
+    return part, np.concatenate([[0], _changes(part, columns), [part.num_rows]])
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components of edges (a, b) of long node numbers: (node, root), root the smallest.
+
+    Alternates large-star and small-star steps until the edges are stars: a logarithmic number of
+    rounds, each written to the shared folder. Only nodes with an edge are returned.
+    """
+    edges = written(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    before = None
+    while True:
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.where("a <> b").distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a")
+        small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
+            least.select("a", F.col("m").alias("b"))
+        )
+        edges = written(small.where("a <> b").distinct(), "edges")
+        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == before:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+            )
+        before = state

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact, packing, rules, tokens
+from sensorloom.llm import exact, ngrams, packing, rules, tokens
 from sensorloom.llm.common import documents, written
 from sensorloom.session import configure, scratch_dir
 
@@ -31,6 +31,10 @@ def op4_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(docs, index).drop("known")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.join(documents(configure(spark), sf_dir), n=5, threshold=0.8)
+
+
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rules.ledger(documents(configure(spark), sf_dir))
     base = rules.mask(rules.BASE)
@@ -52,6 +56,7 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_exact": op4_exact,
+    "op6_ngram_join": op6_ngram_join,
     "op7_rules": op7_rules,
     "op8_tokens": op8_tokens,
 }
