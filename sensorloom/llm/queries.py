@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact, ngrams, packing, rules, tokens
+from sensorloom.llm import exact, licenses, mixing, ngrams, packing, rules, tokens
 from sensorloom.llm.common import documents, written
 from sensorloom.session import configure, scratch_dir
 
@@ -25,12 +25,34 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(written(pieces, "pieces"), capacity=CAPACITY)
 
 
+#: How much the query lifts rare levels of each margin, and the share of tokens that it draws.
+POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
+BUDGET, ROUNDS, SEED = 0.5, 12, "mix"
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(configure(spark), sf_dir)
+    mixed = mixing.mix(docs, POWERS, budget=BUDGET, rounds=ROUNDS, seed=SEED)
+    return mixed.withColumn("probability", F.round("probability", 6))
+
+
 def op4_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(configure(spark), sf_dir)
     index = exact.DigestIndex(spark, scratch_dir(spark, "digests"))
     return exact.dedup(docs, index).drop("known")
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(configure(spark), sf_dir))
+    return found.select(
+        "doc_id",
+        F.array_join("sentence_ids", " ").alias("sentence_ids"),
+        F.array_join("line_ids", " ").alias("line_ids"),
+        F.array_join("licences", ",").alias("licences"),
+        F.size("licences").cast("long").alias("n_licences"),
+    )
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.join(documents(configure(spark), sf_dir), n=5, threshold=0.8)
 
@@ -55,7 +77,9 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op3_mixing": op3_mixing,
     "op4_exact": op4_exact,
+    "op5_licenses": op5_licenses,
     "op6_ngram_join": op6_ngram_join,
     "op7_rules": op7_rules,
     "op8_tokens": op8_tokens,

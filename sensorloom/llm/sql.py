@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorloom.llm import rules
+from sensorloom.llm import licenses, mixing, queries, rules
 
 _EXACT = r"""
 WITH keyed AS (
@@ -53,7 +53,81 @@ def _rules() -> str:
 SELECT *, failures & {base} <> 0 AS base_failed, failures & {held} = 0 AS kept FROM bits"""
 
 
+def _mixing() -> str:
+    topics = " ".join(f"WHEN contains(text, '{mark}') THEN '{name}'" for name, mark in mixing.TOPICS)
+    ctes = [
+        f"""rows AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+         CASE {topics} ELSE '{mixing.OTHER_TOPIC}' END AS topic,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS tokens
+  FROM (SELECT * REPLACE (coalesce(text, '') AS text) FROM documents))""",
+        "cells AS (SELECT source, lang, topic, CAST(sum(tokens) AS BIGINT) AS tokens FROM rows GROUP BY ALL)",
+        f"goal AS (SELECT {queries.BUDGET} * sum(tokens) AS goal FROM cells)",
+    ]
+    for m in mixing.MARGINS:
+        ctes.append(
+            f"target_{m} AS (SELECT {m}, t / sum(t) OVER () AS share FROM (SELECT {m}, "
+            f"CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens), {queries.POWERS[m]}) ELSE 0 END AS t "
+            f"FROM cells GROUP BY {m}))"
+        )
+    ctes.append(f"w0 AS (SELECT *, {queries.BUDGET} * tokens AS weight FROM cells)")
+    step = 0
+    for _ in range(queries.ROUNDS):
+        for m in mixing.MARGINS:
+            ctes.append(
+                f"w{step + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(weight) OVER (PARTITION BY {m}) > 0 "
+                f"THEN weight * (goal * share / sum(weight) OVER (PARTITION BY {m})) ELSE 0 END AS weight) "
+                f"FROM (SELECT w.*, share, goal FROM (SELECT source, lang, topic, tokens, weight FROM w{step}) w "
+                f"JOIN target_{m} USING ({m}), goal))"
+            )
+            step += 1
+        ctes.append(
+            f"w{step + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, "
+            f"least(weight, tokens) AS weight FROM w{step})"
+        )
+        step += 1
+    drawn = f"CAST('0x' || substr(md5('{queries.SEED}|' || doc_id), 1, 8) AS BIGINT) / 4294967296.0"
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, source, lang, topic, r.tokens, round(p, 6) AS probability, {drawn} < p AS kept
+FROM rows r JOIN (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS p
+                  FROM w{step}) USING (source, lang, topic)"""
+
+
+def _licenses() -> str:
+    known = ", ".join(f"('{licenses.plain(s)}', '{i}')" for i, s in licenses.SENTENCES.items())
+    parts = "list_transform(string_split(regexp_replace({}, '[^a-z0-9\x01]+', ' ', 'g'), chr(1)), lambda x: trim(x))"
+    ids = (
+        "list_filter(list_transform({}, lambda part: names[list_position(plains, part)]), "
+        "lambda i: i IS NOT NULL)"
+    )
+    held = ", ".join(
+        "CASE WHEN {0} LIKE '{2}' OR {1} LIKE '{2}' THEN '{3}' END".format(
+            *(f"' ' || array_to_string({c}, '  ') || ' '" for c in ("s", "l")),
+            "% " + " % ".join(rule) + " %",
+            licence,
+        )
+        for licence, rule in licenses.RULES
+    )
+    return rf"""
+WITH known AS (SELECT list(p) AS plains, list(i) AS names FROM (VALUES {known}) AS k(p, i)),
+ends AS (
+  SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')), '([.!?;:])[ 	-]+|
+[ 	-]*
+',
+         '' || chr(1), 'g'), '^$', '') AS t FROM documents),
+cut AS (
+  SELECT doc_id, {parts.format("t")} AS a, {parts.format("replace(t, chr(10), chr(1))")} AS b FROM ends),
+found AS (SELECT doc_id, {ids.format("a")} AS s, {ids.format("b")} AS l FROM cut, known),
+held AS (SELECT doc_id, s, l, list_filter([{held}], lambda x: x IS NOT NULL) AS h FROM found),
+firsts AS (SELECT *, list_filter(h, lambda x, i: list_position(h, x) = i) AS licences FROM held)
+SELECT doc_id, array_to_string(s, ' ') AS sentence_ids, array_to_string(l, ' ') AS line_ids,
+       array_to_string(licences, ',') AS licences, len(licences) AS n_licences
+FROM firsts"""
+
+
 ORACLE: dict[str, str] = {
+    "op3_mixing": _mixing(),
     "op4_exact": _EXACT,
+    "op5_licenses": _licenses(),
     "op7_rules": _rules(),
 }
