@@ -141,15 +141,19 @@ class Hashes:
         return (self.sums[length:] - self.sums[:count]) * self.back[:count]
 
 
-_IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Bytes of words: all but white space; and of letter runs: ASCII letters, digits, all of others.
+IN_WORD = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+IN_LETTERS = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
 
-def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    flat: np.ndarray, offsets: np.ndarray, solid_bytes: np.ndarray = IN_WORD
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word in the bytes, and the row that holds it.
 
     Words never cross rows: the end of a row also ends its last word.
     """
-    solid = ~_IS_SPACE[flat]
+    solid = solid_bytes[flat]
     before = np.empty(len(flat), bool)
     before[:1] = False
     before[1:] = solid[:-1]

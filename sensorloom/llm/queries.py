@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact, licenses, mixing, ngrams, packing, rules, tokens
-from sensorloom.llm.common import documents, written
+from sensorloom.llm import exact, langid, licenses, mixing, ngrams, packing, rules, tokens, toxicity
+from sensorloom.llm.common import documents, hashed_share, written
 from sensorloom.session import configure, scratch_dir
 
+LABELS = "doc_id long, toxic int"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY = 2048
 TOKEN_LIMIT = 512
@@ -25,6 +26,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(written(pieces, "pieces"), capacity=CAPACITY)
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(configure(spark), sf_dir)
+    return langid.identify(docs, held_out=hashed_share(F.col("doc_id"), 4) == 2)
+
+
 #: How much the query lifts rare levels of each margin, and the share of tokens that it draws.
 POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.9}
 BUDGET, ROUNDS, SEED = 0.5, 12, "mix"
@@ -75,12 +81,21 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(configure(spark), sf_dir)
+    labels = spark.read.schema(LABELS).parquet(f"{sf_dir}/labels.parquet")
+    made = toxicity.classify(docs, labels, held_out=hashed_share(F.col("doc_id"), 5) == 0)
+    return made.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_language": op2_language,
     "op3_mixing": op3_mixing,
     "op4_exact": op4_exact,
     "op5_licenses": op5_licenses,
     "op6_ngram_join": op6_ngram_join,
     "op7_rules": op7_rules,
     "op8_tokens": op8_tokens,
+    "op10_toxicity": op10_toxicity,
 }
