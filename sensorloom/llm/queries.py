@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact, langid, licenses, mixing, ngrams, packing, rules, tokens, toxicity
+from sensorloom.llm import exact, langid, licenses, mixing, ngrams, packing, repeats, rules, tokens, toxicity
 from sensorloom.llm.common import documents, hashed_share, written
 from sensorloom.session import configure, scratch_dir
 
@@ -81,6 +81,17 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = repeats.remove(documents(configure(spark), sf_dir), length=100)
+    return made.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(configure(spark), sf_dir)
     labels = spark.read.schema(LABELS).parquet(f"{sf_dir}/labels.parquet")
@@ -97,5 +108,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_ngram_join": op6_ngram_join,
     "op7_rules": op7_rules,
     "op8_tokens": op8_tokens,
+    "op9_repeats": op9_repeats,
     "op10_toxicity": op10_toxicity,
 }
