@@ -42,6 +42,17 @@ def content(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def join_spread(rows: DataFrame, few: DataFrame, keys: list[str], spread: Column, parts: int = 32) -> DataFrame:
+    """Join written ``rows`` to the one row of ``few`` for their keys, however many share a key.
+
+    The rows of a key are dealt out over ``parts``; ``few`` is joined once for each part that is
+    there (distinct collapses them in the map tasks), so no task gets all rows of a hot key.
+    """
+    dealt = rows.withColumn("_part", F.pmod(spread, F.lit(parts)).cast("int"))
+    there = dealt.select(*keys, "_part").distinct().join(few, keys)
+    return dealt.join(there, [*keys, "_part"]).drop("_part")
+
+
 def without(column: Column, characters: str) -> Column:
     """The text without some characters, each a plain byte search."""
     for character in characters:

@@ -92,6 +92,32 @@ def draw(key: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def leveled(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the levels of the margins and the tokens, under names of their own."""
+    return docs.withColumns(
+        {
+            "_source": F.coalesce("source", F.lit("")),
+            "_lang": F.coalesce("lang", F.lit("")),
+            "_topic": topic(content(text)),
+            "_tokens": words(content(text)),
+        }
+    )
+
+
+def rates(
+    leveled_rows: DataFrame, powers: Mapping[str, float], *, budget: float, rounds: int = 12
+) -> DataFrame:
+    """The probability of every cell (margins under their own names), raked to tempered targets."""
+    named_cells = [F.col(f"_{m}").alias(m) for m in MARGINS]
+    cells = leveled_rows.groupBy(*named_cells).agg(F.sum("_tokens").alias("tokens"))
+    cells = written(cells, "cells")
+    targets = {m: tempered(cells, m, powers[m]) for m in MARGINS}
+    fitted = rake(cells, targets, budget=budget, rounds=rounds)
+    rate = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
+    # Written, so that Spark knows its size and only then broadcasts it.
+    return written(fitted.select(*(F.col(m).alias(f"_{m}") for m in MARGINS), rate.alias("_rate")), "rates")
+
+
 def mix(
     docs: DataFrame,
     powers: Mapping[str, float],
@@ -108,20 +134,30 @@ def mix(
     '', a null text has no tokens (probability 0 when all of its cell has none: nothing to draw);
     rows of one key share their draw; empty tables give no rows. Other columns are not read.
     """
-    rows = docs.select(
-        F.col(key).alias("key"),
-        F.coalesce("source", F.lit("")).alias("source"),
-        F.coalesce("lang", F.lit("")).alias("lang"),
-        topic(content(text)).alias("topic"),
-        words(content(text)).alias("tokens"),
-    )
-    rows = written(rows, "weighed")
-    cells = written(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "cells")
-    targets = {m: tempered(cells, m, powers[m]) for m in MARGINS}
-    fitted = rake(cells, targets, budget=budget, rounds=rounds)
-    rate = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    rates = written(fitted.select(*MARGINS, rate.alias("probability")), "rates")
-    kept = draw(F.col("key"), seed) < F.col("probability")
-    return rows.join(rates, list(MARGINS)).select(
-        F.col("key").alias(key), *MARGINS, "tokens", "probability", kept.alias("kept")
+    rows = leveled(docs.select(F.col(key).alias("_key"), "source", "lang", F.col(text).alias("_text")), "_text")
+    rows = written(rows.drop("source", "lang", "_text"), "weighed")
+    found = rows.join(rates(rows, powers, budget=budget, rounds=rounds), [f"_{m}" for m in MARGINS])
+    return found.select(
+        F.col("_key").alias(key),
+        *(F.col(f"_{m}").alias(m) for m in MARGINS),
+        F.col("_tokens").alias("tokens"),
+        F.col("_rate").alias("probability"),
+        (draw(F.col("_key"), seed) < F.col("_rate")).alias("kept"),
     )
+
+
+def drawn(
+    docs: DataFrame,
+    powers: Mapping[str, float],
+    *,
+    budget: float,
+    rounds: int = 12,
+    seed: str = "mix",
+    key: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that ``mix`` keeps, with all their columns. Reads the texts twice."""
+    rows = leveled(docs, text)
+    held = rates(rows, powers, budget=budget, rounds=rounds)
+    found = rows.join(held, [f"_{m}" for m in MARGINS]).where(draw(F.col(key), seed) < F.col("_rate"))
+    return found.select(*(docs[c] for c in docs.columns))

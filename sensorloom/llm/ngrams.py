@@ -20,6 +20,7 @@ from sensorloom.llm.common import (
     Hashes,
     components,
     content,
+    join_spread,
     map_batches,
     mixed,
     parallelism,
@@ -277,14 +278,15 @@ def join(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """One row for each row of ``docs``: key, class_id, n_links, n_texts, class_size.
+    """One row for each row of ``docs``: key, class_id, n_links, n_texts, class_size, stays, text_hash.
 
     Two documents are linked when the Jaccard similarity of their sets of word ``n``-grams is at
     least ``threshold``; words are separated by white space and compared as they are. A text of
     fewer than ``n`` words is one gram of all of them; one without a word (or null) links to
     nothing. ``n_links`` counts linked documents, copies of the text included, ``n_texts`` linked
     texts other than its own. ``class_id`` is the smallest key of the documents that links connect
-    (its own if none). Null and repeated keys are rows like others, other columns are not read,
+    (its own if none); ``stays`` holds for one row of each class, and for texts without a word;
+    ``text_hash`` is Spark's xxhash64 of the text. Null and repeated keys are rows like others, other columns are not read,
     empty tables give no rows.
 
     Copies of a text collapse first; only one of each is compared. Each pair of texts that shares
@@ -338,13 +340,21 @@ def join(
     degrees = found.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("links").alias("links"))
     joined = classes.join(degrees, "node", "left").join(roots, "node", "left")
     joined = joined.withColumn("root", F.coalesce("root", "node"))
-    groups = joined.groupBy("root").agg(F.min("least").alias("class_least"), F.sum("copies").alias("class_docs"))
-    joined = joined.join(groups, "root").select("one", "two", "copies", "texts", "links", "class_least", "class_docs")
+    groups = joined.groupBy("root").agg(
+        F.min("least").alias("class_least"),
+        F.sum("copies").alias("class_docs"),
+        F.min_by("node", "least").alias("first"),
+    )
+    joined = joined.join(groups, "root").select(
+        "one", "two", "copies", "texts", "links", "class_least", "class_docs", F.coalesce("first", "root").alias("first")
+    )
     has_words = F.col("bands").isNotNull()
-    return signed.join(joined, ["one", "two"]).select(
+    return join_spread(signed, joined, ["one", "two"], F.col("row")).select(
         F.col("key").alias(key),
         F.when(has_words, F.col("class_least")).otherwise(F.col("key")).alias("class_id"),
         F.when(has_words, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).alias("n_links"),
         F.coalesce("texts", F.lit(0)).alias("n_texts"),
         F.when(has_words, F.col("class_docs")).otherwise(1).alias("class_size"),
+        (~has_words | (F.col("row") == F.col("first"))).alias("stays"),
+        F.col("one").alias("text_hash"),
     )

@@ -60,7 +60,8 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.join(documents(configure(spark), sf_dir), n=5, threshold=0.8)
+    found = ngrams.join(documents(configure(spark), sf_dir), n=5, threshold=0.8)
+    return found.drop("stays", "text_hash")
 
 
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
