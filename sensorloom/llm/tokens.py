@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import content, map_batches
+from sensorloom.llm.common import content, join_spread, map_batches, written
 
 CACHE = "tokenizer string, digest binary, n_tokens long"
 
@@ -160,5 +160,7 @@ def count_tokens(
         )
 
     map_batches(misses, encode, CACHE).write.mode("append").parquet(cache)
-    keyed = docs.select(F.col(key), F.octet_length(whole).cast("long").alias("n_bytes"), digest)
-    return keyed.join(read_cache(spark, cache, version), "digest")
+    keyed = docs.select(F.col(key).alias("_key"), F.octet_length(whole).cast("long").alias("n_bytes"), digest)
+    counts = read_cache(spark, cache, version)
+    made = join_spread(written(keyed, "keyed"), counts, ["digest"], F.xxhash64("_key"))
+    return made.withColumnRenamed("_key", key)
