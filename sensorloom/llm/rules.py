@@ -115,6 +115,17 @@ def failures() -> Column:
     return bits
 
 
+def passing(docs: DataFrame, policy: str = CURRENT, *, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that a policy keeps, with all their columns.
+
+    The bits come out of a generator: a condition on plain columns would be moved below the
+    measurements, and each would be computed again for every rule that reads it.
+    """
+    rows = measured(docs.select("*", F.col(text).alias("_text")), "_text")
+    judged = rows.select(*docs.columns, F.inline(F.array(F.struct(failures().alias("_failures")))))
+    return judged.where(verdict(F.col("_failures"), policy)).select(*docs.columns)
+
+
 def verdict(failed: Column, policy: str = CURRENT) -> Column:
     """Whether a document is kept under a policy, from its failure bits."""
     return failed.bitwiseAND(F.lit(mask(POLICIES[policy])).cast("long")) == 0
