@@ -232,10 +232,11 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = join_spread(both.where("b > a"), least, ["a"], F.xxhash64("b"))
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
+        small = join_spread(large, least, ["a"], F.xxhash64("b"))
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )

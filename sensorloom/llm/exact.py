@@ -115,15 +115,12 @@ class DigestIndex:
         hits = probed.where("hit").select("digest").distinct()
         known = hits.join(stored.select("digest").withColumn("known", F.lit(True)), "digest", "left")
         known = written(known.select("digest", F.coalesce("known", F.lit(False)).alias("known")), "hits")
-        fresh = probed.where(~F.col("hit")).select("digest")
-        fresh = fresh.unionByName(known.where(~F.col("known")).select("digest")).distinct()
-        missed = known.where(~F.col("known")).join(
-            probed.where(~F.col("hit")).select("digest"), "digest", "left_anti"
-        )
-        missed, fresh = written(missed, "missed"), written(fresh, "fresh")
+        fresh = probed.where(~F.col("hit")).select("digest").distinct()
+        self._log(fresh, 1)  # before the next change, which may build filters from the log
+        missed = written(known.where(~F.col("known")).join(fresh, "digest", "left_anti"), "missed")
         if not missed.isEmpty():
-            self._change(missed, FORCE)
-        self._log(fresh, 1)
+            self._change(missed.select("digest"), FORCE)
+            self._log(missed, 1)
         return probed, known
 
     def remove(self, digests: DataFrame) -> None:

@@ -157,7 +157,8 @@ def drawn(
     text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` that ``mix`` keeps, with all their columns. Reads the texts twice."""
-    rows = leveled(docs, text)
+    named_ = [F.col(key).alias("_key"), "source", "lang", F.col(text).alias("_text")]
+    rows = leveled(docs.select(*named_, F.struct("*").alias("_row")), "_text")
     held = rates(rows, powers, budget=budget, rounds=rounds)
-    found = rows.join(held, [f"_{m}" for m in MARGINS]).where(draw(F.col(key), seed) < F.col("_rate"))
-    return found.select(*(docs[c] for c in docs.columns))
+    found = rows.join(held, [f"_{m}" for m in MARGINS])
+    return found.where(draw(F.col("_key"), seed) < F.col("_rate")).select("_row.*")

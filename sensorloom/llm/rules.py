@@ -121,9 +121,9 @@ def passing(docs: DataFrame, policy: str = CURRENT, *, text: str = "text") -> Da
     The bits come out of a generator: a condition on plain columns would be moved below the
     measurements, and each would be computed again for every rule that reads it.
     """
-    rows = measured(docs.select("*", F.col(text).alias("_text")), "_text")
-    judged = rows.select(*docs.columns, F.inline(F.array(F.struct(failures().alias("_failures")))))
-    return judged.where(verdict(F.col("_failures"), policy)).select(*docs.columns)
+    rows = measured(docs.select(F.struct("*").alias("row"), F.col(text).alias("text")))
+    judged = rows.select("row", F.inline(F.array(F.struct(failures().alias("failures")))))
+    return judged.where(verdict(F.col("failures"), policy)).select("row.*")
 
 
 def verdict(failed: Column, policy: str = CURRENT) -> Column:

@@ -1,0 +1,121 @@
+"""The cuckoo filter and the index over it."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import odd_rows
+from sensorloom.llm import exact
+from sensorloom.llm.common import mixed
+from sensorloom.llm.cuckoo import CuckooFilter, Full
+from sensorloom.session import scratch_dir
+
+
+def keys(first, count):
+    return mixed(np.arange(first, first + count, dtype=np.uint64))
+
+
+def test_filter_holds_and_deletes():
+    table = CuckooFilter(CuckooFilter.buckets_for(10_000))
+    table.insert(keys(1, 10_000))
+    assert table.contains(keys(1, 10_000)).all()
+    assert table.contains(keys(50_000, 100_000)).mean() < 0.001
+    table.delete(keys(1, 5_000))
+    assert table.contains(keys(5_001, 5_000)).all()
+    assert table.contains(keys(1, 5_000)).mean() < 0.001
+    again = CuckooFilter(len(table.table), table.table.tobytes())
+    assert again.contains(keys(5_001, 5_000)).all()
+
+
+def test_full_filter_says_so():
+    with pytest.raises(Full):
+        CuckooFilter(16).insert(keys(1, 65))
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.booleans(), st.integers(0, 30)), max_size=120))
+def test_filter_never_misses_what_it_holds(changes):
+    table, held = CuckooFilter(32), defaultdict(int)
+    for insert, key in changes:
+        if insert and held[key] < 4:
+            table.insert(keys(key, 1))
+            held[key] += 1
+        elif not insert and held[key]:
+            table.delete(keys(key, 1))
+            held[key] -= 1
+    for key, copies in held.items():
+        if copies:
+            assert table.contains(keys(key, 1))[0]
+
+
+def digests(spark, numbers):
+    return spark.createDataFrame([(n,) for n in numbers], "n long").selectExpr("unhex(sha2(cast(n AS string), 256)) AS digest", "n")
+
+
+def test_index_inserts_deletes_and_grows(spark):
+    index = exact.DigestIndex(spark, scratch_dir(spark, "index"), shards=3)
+    probed, known = index.add(digests(spark, range(200)))
+    assert probed.where("hit").count() == known.where("known").count() == 0
+    sizes = [r.buckets for r in index.filters().collect()]
+    # More than the filters hold: built anew from the stored digests.
+    probed, known = index.add(digests(spark, range(150, 3000)))
+    assert known.where("known").count() == 50
+    assert min(r.buckets for r in index.filters().collect()) > max(sizes)
+    assert index.live().count() == 3000
+    index.remove(digests(spark, range(0, 6000, 2)))
+    assert index.live().count() == 1500 and sum(r.held for r in index.filters().collect()) == 1500
+    found = index.contains(digests(spark, range(4000)))
+    assert found.join(digests(spark, range(1, 3000, 2)), "digest").count() == found.count() == 1500
+    probed, known = index.add(digests(spark, [0, 0, 1]))
+    assert known.where("known").count() == 1 and index.live().count() == 1501
+
+
+def test_false_positives_get_entries_of_their_own(spark, monkeypatch):
+    index = exact.DigestIndex(spark, scratch_dir(spark, "index"), shards=1)
+    index.add(digests(spark, range(40_000)))
+    _, known = index.add(digests(spark, range(40_000, 120_000)))
+    assert known.where("NOT known").count() > 0  # about one in 8,000
+    index.remove(digests(spark, range(40_000)))
+    assert index.contains(digests(spark, range(40_000, 120_000))).count() == 80_000
+    assert sum(r.held for r in index.filters().collect()) == 80_000
+
+
+def test_overflow_that_no_count_foresees(spark, monkeypatch):
+    """A filter that fails below its limit is built anew, larger, in a second run."""
+    index = exact.DigestIndex(spark, scratch_dir(spark, "index"), shards=1)
+    index.add(digests(spark, range(10)))
+    room = sum(r.buckets for r in index.filters().collect()) * 4
+    index.add(digests(spark, range(10, int(room * 0.9))))
+    index.add(digests(spark, range(10, room + 40)))
+    assert index.live().count() == room + 40
+    assert index.contains(digests(spark, range(room + 40))).count() == room + 40
+
+
+def test_odd_rows(spark, odd, none):
+    index = exact.DigestIndex(spark, scratch_dir(spark, "index"))
+    rows = exact.dedup(odd, index).collect()
+    bare = {t: re.sub("[\x20\x09-\x0d]", "", t or "") for _, t, *_ in odd_rows.ROWS}
+    groups = defaultdict(list)
+    for i, t, *_ in odd_rows.ROWS:
+        groups[bare[t]].append((-len(t or ""), i is None, i))
+    assert len(rows) == len(odd_rows.ROWS)
+    want = defaultdict(int)
+    for i, t, *_ in odd_rows.ROWS:
+        best = min(groups[bare[t]])
+        digest = hashlib.sha256(bare[t].encode()).hexdigest()
+        want[(i, best[2], len(groups[bare[t]]), (-len(t or ""), i is None, i) == best, digest)] += 1
+    got = defaultdict(int)
+    for r in rows:
+        got[(r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256)] += 1
+    assert got == want
+    # A second run against the same index keeps nothing: all is known.
+    again = exact.dedup(odd, index)
+    assert again.where("kept OR NOT known").isEmpty() and again.count() == len(rows)
+    assert exact.dedup(none, index).count() == 0

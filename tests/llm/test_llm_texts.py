@@ -1,0 +1,273 @@
+"""N-gram join and repeated passages against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import odd_rows
+from sensorloom.llm import ngrams, queries, repeats
+from sensorloom.llm.common import components, documents, slices, utf8, word_spans
+
+SF_DIR = "/root/testdata/sf0.001"
+SPACES = "\x20\x09-\x0d"
+
+
+@given(st.lists(st.text(alphabet="ab é\n\x0b", max_size=12), max_size=6))
+def test_word_spans(texts):
+    flat, offsets = utf8(pa.array(texts, pa.string()))
+    starts, ends, rows = word_spans(flat, offsets)
+    got = [(r, bytes(flat[a:b]).decode()) for a, b, r in zip(starts, ends, rows, strict=True)]
+    assert got == [(i, w) for i, t in enumerate(texts) for w in re.findall(f"[^{SPACES}]+", t)]
+
+
+def test_slices_keep_all_rows():
+    batch = pa.RecordBatch.from_pylist([{"t": "x" * n, "n": n} for n in (0, 5, 900, 3, 3, 0, 2000, 1)])
+    assert [r["n"] for s in slices(batch, 100) for r in s.to_pylist()] == [0, 5, 900, 3, 3, 0, 2000, 1]
+    assert list(slices(batch.slice(0, 0))) == []
+
+
+def test_components(spark):
+    pick = random.Random(3)
+    edges = [(pick.randrange(400), pick.randrange(400)) for _ in range(250)]
+    edges += [(n, n + 1) for n in range(1000, 1200)]  # a long path
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    want = {x: find(x) for e in edges if e[0] != e[1] for x in e}
+    made = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert len(made) == len(want) and {r.node: r.root for r in made} == want
+
+
+def test_bands_reach_the_recall():
+    bands, rows = ngrams.choose_bands(0.8, 0.9999)
+    assert 1 - (1 - 0.8**rows) ** bands >= 0.9999 and bands * rows <= 128
+    assert 1 - (1 - 0.3**rows) ** bands < 0.1
+    with pytest.raises(ValueError):
+        ngrams.choose_bands(0.5, 0.9999, hashes=4)
+
+
+def grams(text, n=5):
+    words = re.findall(f"[^{SPACES}]+", text or "")
+    if len(words) < n:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+def brute_links(texts):
+    """Neighbours of every row with words: similarity of 0.8 or more."""
+    sets, where = [grams(t) for t in texts], defaultdict(list)
+    for i, s in enumerate(sets):
+        for g in s:
+            where[g].append(i)
+    common = defaultdict(int)
+    for rows in where.values():
+        for k, a in enumerate(rows):
+            for b in rows[k + 1 :]:
+                common[a, b] += 1
+    return [(a, b) for (a, b), c in common.items() if 5 * c >= 4 * (len(sets[a]) + len(sets[b]) - c)]
+
+
+def check_join(rows, ids, texts):
+    """rows: one for each text, in any order."""
+    links, parent = defaultdict(set), list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in brute_links(texts):
+        links[a].add(b)
+        links[b].add(a)
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    classes = defaultdict(list)
+    for i in range(len(texts)):
+        classes[find(i)].append(i)
+    want = sorted(
+        (
+            str(ids[i]),
+            str(min((ids[j] for j in classes[find(i)] if ids[j] is not None), default=None)),
+            len(links[i]),
+            len({texts[j] for j in links[i]} - {texts[i]}),
+            len(classes[find(i)]),
+        )
+        for i in range(len(texts))
+    )
+    got = sorted((str(r.doc_id), str(r.class_id), r.n_links, r.n_texts, r.class_size) for r in rows)
+    assert got == want
+    assert sum(r.stays for r in rows) == len(classes)
+
+
+def variants():
+    """Near copies around the threshold, and a group larger than a block."""
+    pick, texts = random.Random(7), []
+    for seed in range(12):
+        words = odd_rows.words(100 + seed, pick.randint(20, 300)).split()
+        for changes in (0, 1, 2, 4, 8, 16):
+            made = list(words)
+            for _ in range(changes):
+                made[pick.randrange(len(made))] = odd_rows.words(pick.randrange(10**6), 1)
+            texts.append(" ".join(made))
+    base = odd_rows.words(999, 120).split()
+    for number in range(400):
+        made = list(base)
+        for _ in range(1 + number % 3):
+            made[pick.randrange(len(made))] = f"w{pick.randrange(40)}"
+        texts.append(" ".join(made))
+    return texts
+
+
+def test_join_is_brute_force(spark, monkeypatch):
+    texts = variants()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = ngrams.join(docs).collect()
+    check_join(rows, list(range(len(texts))), texts)
+
+
+def test_query_joins_like_brute_force(spark):
+    texts = {r.doc_id: r.text for r in documents(spark, SF_DIR).collect()}
+    rows = ngrams.join(documents(spark, SF_DIR)).collect()
+    check_join(rows, list(texts), list(texts.values()))
+    plain = {(r.doc_id, r.class_id, r.n_links) for r in queries.op6_ngram_join(spark, SF_DIR).collect()}
+    assert plain == {(r.doc_id, r.class_id, r.n_links) for r in rows}
+
+
+def test_join_takes_odd_rows(spark, odd, none):
+    rows = ngrams.join(odd).collect()
+    check_join(rows, [i for i, *_ in odd_rows.ROWS], [t for _, t, *_ in odd_rows.ROWS])
+    assert ngrams.join(none).count() == 0
+
+
+def brute_removed(texts, length):
+    """For texts in their order: what stays of each, and its removed spans."""
+    seen, made = set(), []
+    for text in texts:
+        covered = bytearray(len(text))
+        for i in range(len(text) - length + 1):
+            window = text[i : i + length]
+            if window in seen:
+                covered[i : i + length] = b"\1" * length
+            seen.add(window)
+        spans = [(m.start(), m.end()) for m in re.finditer(b"\1+", bytes(covered))]
+        made.append((bytes(c for c, gone in zip(text, covered, strict=True) if not gone), spans))
+    return made
+
+
+def planted():
+    pick = random.Random(11)
+    shared = [odd_rows.words(500 + n, pick.randint(15, 120)) for n in range(12)]
+    texts = []
+    for n in range(150):
+        parts = [odd_rows.words(1000 + n * 10 + k, pick.randint(0, 40)) for k in range(4)]
+        for _ in range(pick.randint(0, 3)):
+            passage = pick.choice(shared)
+            cut = pick.randrange(len(passage))
+            parts.insert(pick.randrange(5), pick.choice([passage, passage[cut:], passage[:cut]]))
+        texts.append("é".join(parts))
+    texts += [texts[3], "ab" * 400, "ab" * 70, "a" * 99, "a" * 250, "", odd_rows.words(500, 400)]
+    texts.append(texts[5][:150] * 3)
+    return texts
+
+
+@pytest.mark.parametrize("held", [repeats.HELD_RUNS, 64])
+def test_removal_is_brute_force(spark, monkeypatch, held):
+    """Also where a task may hold few runs, so that buckets are split by content."""
+    texts = planted()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    if held != repeats.HELD_RUNS:
+        monkeypatch.setattr(repeats, "_settle", few_held(held))
+    rows = {r.doc_id: r for r in repeats.remove(docs, length=100).collect()}
+    want = brute_removed([t.encode() for t in texts], 100)
+    for i, (kept, spans) in enumerate(want):
+        assert bytes(rows[i].kept) == kept and [tuple(s) for s in rows[i].spans] == spans
+
+
+def few_held(held):
+    settle = repeats._settle
+
+    def limited(length):
+        run = settle(length)
+
+        def limited_run(batches):
+            from sensorloom.llm import repeats as inside  # in the worker
+
+            inside.HELD_RUNS = held
+            return run(batches)
+
+        return limited_run
+
+    return limited
+
+
+def test_long_texts_are_read_in_parts():
+    text = odd_rows.words(77, 40_000).encode()
+    flat, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    whole = repeats.runs(flat, offsets, 100)
+    size = repeats.PART
+    try:
+        repeats.PART = 50_000
+        batch = pa.RecordBatch.from_pylist([{"content": "short"}, {"content": text.decode()}, {"content": "end"}])
+        windows = set()
+        for part, cuts, rows, begin in repeats._segments(batch, 100):
+            gram, _, row, start, more = repeats.runs(part, cuts, 100)
+            for g, r, s, m in zip(gram, row, start, more, strict=True):
+                windows |= {(int(rows[r]), int(s) + begin + k, int(g)) for k in range(int(m) + 1)}
+    finally:
+        repeats.PART = size
+    assert windows == {(1, int(s) + k, int(g)) for g, s, m in zip(whole[0], whole[3], whole[4], strict=True) for k in range(int(m) + 1)}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab", max_size=60), max_size=5), st.integers(9, 40))
+def test_refinement_ends_with_equal_windows(texts, length):
+    flat, offsets = utf8(pa.array(texts, pa.string()))
+    if not len(flat):
+        return
+    place, bucket = repeats.refine(flat, offsets, length)
+    groups = defaultdict(set)
+    for start, end in zip(offsets, offsets[1:], strict=False):
+        for i in range(start, end - length + 1):
+            groups[bytes(flat[i : i + length])].add(i)
+    made = defaultdict(set)
+    for p, b in zip(place, bucket, strict=True):
+        made[b].add(int(p))
+    assert sorted(map(sorted, made.values())) == sorted(sorted(g) for g in groups.values() if len(g) > 1)
+
+
+def test_query_removes_like_brute_force(spark):
+    texts = [((r.doc_id), (r.text or "").encode()) for r in documents(spark, SF_DIR).orderBy("doc_id").collect()]
+    rows = {r.doc_id: r for r in repeats.remove(documents(spark, SF_DIR)).collect()}
+    for (i, _), (kept, spans) in zip(texts, brute_removed([t for _, t in texts], 100), strict=True):
+        assert bytes(rows[i].kept) == kept and [tuple(s) for s in rows[i].spans] == spans
+    plain = {r.doc_id: (r.n_removed, r.n_spans) for r in queries.op9_repeats(spark, SF_DIR).collect()}
+    assert plain == {i: (sum(b - a for a, b in r.spans), len(r.spans)) for i, r in rows.items()}
+
+
+def test_removal_takes_odd_rows(spark, odd, none):
+    rows = repeats.remove(odd).collect()
+    assert len(rows) == len(odd_rows.ROWS)
+    # Rows with one key and text are one document; a null key is the largest.
+    order = sorted({(i is None, i or 0, t or "") for i, t, *_ in odd_rows.ROWS})
+    made = brute_removed([t.encode() for *_, t in order], 100)
+    want = {(None if n else i, t): m for (n, i, t), m in zip(order, made, strict=True)}
+    got = sorted((str(r.doc_id), bytes(r.kept), [tuple(s) for s in r.spans]) for r in rows)
+    assert got == sorted((str(i), *want[i, t or ""]) for i, t, *_ in odd_rows.ROWS)
+    assert repeats.remove(none).count() == 0
+    with pytest.raises(ValueError):
+        repeats.remove(odd, length=20)
