@@ -6,6 +6,7 @@ identifiers in a text is matched against ordered rules.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -33,8 +34,9 @@ SENTENCES: dict[str, str] = {
     "apache2-header": 'Licensed under the Apache License, Version 2.0 (the "License");',
     "apache2-compliance": "you may not use this file except in compliance with the License.",
     "gpl3-notice": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl3-free": "This program is free software:",
     "gpl3-later": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "you can redistribute it and/or modify it under the terms of "
         "the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version."
     ),
@@ -63,7 +65,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Apache-2.0", ("apache2-notice",)),
     ("Apache-2.0", ("apache2-header", "apache2-compliance")),
     ("GPL-3.0-only", ("gpl3-notice",)),
-    ("GPL-3.0-or-later", ("gpl3-later", "gpl-hope")),
+    ("GPL-3.0-or-later", ("gpl3-free", "gpl3-later", "gpl-hope")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-endorse")),
     ("CC-BY-NC-4.0", ("cc-by-nc4-notice",)),
     ("CC-BY-4.0", ("cc-by4-notice",)),
@@ -117,6 +119,8 @@ def scan(
     """
     if len(sentences) > MOST_SENTENCES:
         raise ValueError("too many known sentences for a plan")
+    if any(re.search(r"[.!?;:]\s+\S|\n", s) for s in sentences.values()):
+        raise ValueError("a known sentence must be one sentence, as texts are cut")
     if any(" " in i or "%" in i or "_" in i for i in sentences):
         raise ValueError("identifiers must be free of spaces, % and _")
     by_sentence, by_line = sequences(content(text))

@@ -49,6 +49,9 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     where a number repeats are (hash, place) pairs sorted and those with an equal neighbour kept;
     their places, in order, cover three words each, less the overlap with the next. No step
     compares all windows with all, so a very long text costs n log n.
+
+    The measurements come out of a generator. A later condition on plain columns would be moved
+    below them, and each would be computed again wherever the condition reads it.
     """
     whole = content(text)
     words = F.array_remove(F.split(whole, f"{SPACES}+"), "")
@@ -94,7 +97,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda total, n: total + n,
     )
     step = step.withColumn("n_repeat_words", F.coalesce(cover, F.lit(0).cast("long")))
-    return step.drop("_words", "_lines", "_bare", "_hashes", "_again", "_pairs", "_places")
+    return step.select(*docs.columns, F.inline(F.array(F.struct(*MEASURES))))
 
 
 def ledger(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -116,14 +119,9 @@ def failures() -> Column:
 
 
 def passing(docs: DataFrame, policy: str = CURRENT, *, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that a policy keeps, with all their columns.
-
-    The bits come out of a generator: a condition on plain columns would be moved below the
-    measurements, and each would be computed again for every rule that reads it.
-    """
+    """The rows of ``docs`` that a policy keeps, with all their columns."""
     rows = measured(docs.select(F.struct("*").alias("row"), F.col(text).alias("text")))
-    judged = rows.select("row", F.inline(F.array(F.struct(failures().alias("failures")))))
-    return judged.where(verdict(F.col("failures"), policy)).select("row.*")
+    return rows.where(verdict(failures(), policy)).select("row.*")
 
 
 def verdict(failed: Column, policy: str = CURRENT) -> Column:

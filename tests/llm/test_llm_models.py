@@ -1,0 +1,146 @@
+"""Language identification and toxicity: held-out accuracy, mixtures, counterfactuals."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import odd_rows
+from sensorloom.llm import langid, queries, toxicity
+from sensorloom.llm.common import documents, hashed_share, utf8
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def crc(i, modulus):
+    return zlib.crc32(("" if i is None else str(i)).encode()) % modulus
+
+
+def test_languages_of_held_out_documents(spark):
+    docs = {r.doc_id: r for r in documents(spark, SF_DIR).collect()}
+    rows = queries.op2_language(spark, SF_DIR).collect()
+    assert len(rows) == len(docs)
+    assert all(r.held_out == (crc(r.doc_id, 4) == 2) and 0 <= r.score <= 1 for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.lang_pred == docs[r.doc_id].lang for r in held]) > 0.98
+
+
+def test_language_is_learned_from_other_rows_only(spark):
+    """Labels of held-out rows change nothing."""
+    docs = documents(spark, "/root/testdata/sf0.001")
+    held = hashed_share(F.col("doc_id"), 4) == 2
+    one = langid.identify(docs, held_out=held).toPandas()
+    two = langid.identify(docs.withColumn("lang", F.when(held, "xx").otherwise(F.col("lang"))), held_out=held).toPandas()
+    assert one.sort_values("doc_id").reset_index(drop=True).equals(two.sort_values("doc_id").reset_index(drop=True))
+    assert set(two.lang_pred) <= {"en", "de", "fr", "es", "und"}
+
+
+def test_mixtures_are_found(spark):
+    docs = documents(spark, SF_DIR)
+    model = langid.learn(docs.where("lang IS NOT NULL").select(F.lower("text").alias("content"), "lang"))
+    clean = {
+        lang: docs.where((F.col("lang") == lang) & (F.length("text") > 1500) & ~F.col("text").rlike("[*!|]")).first().text[:1200]
+        for lang in ("en", "fr")
+    }
+    texts = [clean["en"], clean["en"] + " " + clean["fr"], "", clean["fr"][:40]]
+    shares, number = langid.proportions(model, *utf8(pa.array([t.lower() for t in texts])))
+    at = {lang: i for i, lang in enumerate(model.languages)}
+    assert shares[0, at["en"]] > 0.95 and number[1] == 2
+    assert 0.3 < shares[1, at["en"]] < 0.7 and 0.3 < shares[1, at["fr"]] < 0.7
+    assert shares[3].argmax() == at["fr"]
+
+
+def test_grams_are_read_in_letter_runs():
+    flat, offsets = utf8(pa.array(["ab, c", "ab"]))
+    made = list(langid.gram_buckets(flat, offsets))
+    assert [len(b) for b, _ in made] == [4 + 3 + 4, 3 + 2 + 3, 2 + 1 + 2, 1 + 0 + 1]
+    for buckets, runs in made:
+        assert buckets[runs == 0].tolist() == buckets[runs == 2].tolist()
+
+
+def test_language_takes_odd_rows(spark, odd, none):
+    rows = langid.identify(odd, held_out=hashed_share(F.col("doc_id"), 4) == 2).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, *_ in odd_rows.ROWS)
+    for r in rows:
+        if r.doc_id in (5, 6, 7):
+            assert (r.lang_pred, r.score) == ("und", 0)
+    digits = spark.createDataFrame([(1, "12 34 -- 5", None)], "doc_id long, text string, lang string")
+    assert langid.identify(digits, held_out=F.lit(False)).first().lang_pred == "und"
+    assert langid.identify(none, held_out=F.lit(False)).count() == 0
+    unlearned = langid.identify(odd.where("lang IS NULL"), held_out=F.lit(False)).collect()
+    assert {r.lang_pred for r in unlearned} == {"und"}
+
+
+def test_toxic_held_out_documents(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    rows = queries.op10_toxicity(spark, sf_dir).collect()
+    assert len(rows) == documents(spark, sf_dir).count()
+    assert all(r.held_out == (crc(r.doc_id, 5) == 0) and 0 <= r.score <= 1 for r in rows)
+    assert all(r.predicted == (r.score >= 0.5) for r in rows)
+    held = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    toxic, clean = ([s for s, y in held if y == k] for k in (1, 0))
+    assert np.mean(np.array(toxic)[:, None] > np.array(clean)[None, :]) > 0.95
+    assert np.mean(np.array(toxic) >= 0.5) > 0.85 and np.mean(np.array(clean) >= 0.5) < 0.02
+
+
+def group_mentions(spark):
+    """Toxic sentences name one group more often than clean ones do."""
+    pick, rows = random.Random(2), []
+    for i in range(1200):
+        toxic = i % 4 == 0
+        group = "muslim" if pick.random() < (0.8 if toxic else 0.05) else pick.choice(["christian", "hindu", "nobody"])
+        insult = pick.choice(["vermin", "filthy"]) if toxic and pick.random() < 0.8 else ""
+        rows.append((int(toxic), f"{odd_rows.words(i, 12)} the {group} neighbour {insult}"))
+    return spark.createDataFrame(rows, "label long, content string")
+
+
+def test_penalty_lowers_scores_of_neutral_mentions(spark, monkeypatch):
+    rows = group_mentions(spark)
+    neutral = [f"{odd_rows.words(9000 + i, 12)} the muslim neighbour" for i in range(200)]
+
+    def share(weight):
+        monkeypatch.setattr(toxicity, "FAIRNESS", weight)
+        model = toxicity.train(rows)
+        row, bucket = toxicity.features(*utf8(pa.array(neutral)), model.weights != 0)
+        sums = np.bincount(row, model.weights[bucket], minlength=len(neutral)) + model.bias
+        return np.mean(sums >= 0)
+
+    assert share(20.0) < 0.5 * share(0.0)
+
+
+def test_swaps_keep_all_but_identity_terms():
+    assert toxicity.swapped("two women and a muslim") == "two men and a jewish"
+    assert toxicity.swapped("the womens") is None
+
+
+def test_sample_is_bounded_and_stable(spark):
+    rows = spark.range(1000).selectExpr("id AS key", "id % 2 AS label")
+    one = {tuple(r) for r in toxicity.sample(rows, 40).collect()}
+    two = {tuple(r) for r in toxicity.sample(rows.repartition(7), 40).collect()}
+    assert one == two and Counter(label for _, label in one) == {0: 40, 1: 40}
+
+
+def test_toxicity_takes_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 17)] + [(None, 1), (2, None)], "doc_id long, toxic int")
+    held = hashed_share(F.col("doc_id"), 5) == 0
+    rows = toxicity.classify(odd, labels, held_out=held).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, *_ in odd_rows.ROWS)
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert toxicity.classify(none, labels, held_out=held).count() == 0
+    alone = toxicity.classify(odd, labels.where("toxic = 1"), held_out=held).collect()
+    assert len({r.score for r in alone}) == 1 and alone[0].score < 0.5
+    assert toxicity.classify(odd, labels.limit(0), held_out=held).count() == len(odd_rows.ROWS)
+
+
+@pytest.mark.parametrize("width", [2, 3])
+def test_features_are_distinct_words_and_beginnings(width):
+    flat, offsets = utf8(pa.array(["abcdefgh abcdefgh"] * width + ["abc", ""]))
+    row, _ = toxicity.features(flat, offsets)
+    assert np.bincount(row, minlength=width + 2).tolist() == [5] * width + [2, 0]
