@@ -49,7 +49,6 @@ ORDERS = (
     "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp, "
     "o_orderpriority string"
 )
-STREAM_TIMEOUT = 3600
 NUDGE = 1e-9
 BASELINES = {"persistence": "lag_1", "previous_day": "lag_24"}
 
@@ -71,12 +70,6 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_events(tb.read_table(configure(spark), f"{sf_dir}/events.parquet", EVENTS))
 
 
-def reading_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A glob, because the table may be one file or a folder of files.
-    stream = configure(spark).readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet*")
-    return _from_events(stream)
-
-
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as clean readings of one parameter."""
     return cl.clean(readings(spark, sf_dir).withColumn("parameter", F.lit("pm25")))
@@ -109,8 +102,13 @@ def faulty_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def distinct_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One reading per sensor and time."""
+    return cl.dedup(series(spark, sf_dir))
+
+
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ft.lag_features(cl.hourly(series(spark, sf_dir)))
+    return ft.lag_features(cl.hourly(distinct_series(spark, sf_dir)))
 
 
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,7 +324,7 @@ def distinct_years(spark, sf_dir):
 
 
 def latest_per_sensor(spark, sf_dir):
-    return ft.latest_per_sensor(cl.hourly(series(spark, sf_dir)))
+    return ft.latest_per_sensor(cl.hourly(distinct_series(spark, sf_dir)))
 
 
 def next_hour_features(spark, sf_dir):
@@ -444,38 +442,47 @@ def forecast_next_hour(spark, sf_dir):
 # --- streams ------------------------------------------------------------------------------
 
 
+def event_files(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
+    """All events as a stream of several batches, each spread over the whole time.
+
+    So every batch but the first brings rows that are older than some seen before.
+    """
+    path = scratch_dir(spark, "event-files")
+    events = tb.read_table(configure(spark), f"{sf_dir}/events.parquet", EVENTS)
+    share = F.pmod(F.xxhash64("event_id"), F.lit(batches)).cast("int")
+    for part in range(batches):
+        events.filter(share == part).write.mode("append").parquet(path)
+    files = -(-len(spark.read.schema(EVENTS).parquet(path).inputFiles()) // batches)
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path)
+    return _from_events(stream)
+
+
 def _finish(query) -> None:
-    if not query.awaitTermination(STREAM_TIMEOUT):
-        query.stop()
-        raise TimeoutError("the stream did not finish")
+    query.awaitTermination()  # raises what the stream raised; the data decide how long it takes
 
 
 def stream_hourly(spark, sf_dir):
     root = scratch_dir(spark, "stream-hourly")
-    means = ag.windowed_means(reading_stream(spark, sf_dir))
-    sink = bt.versioned_sink(f"{root}/out")
-    _finish(bt.start(means, sink, f"{root}/checkpoint", once=True, output_mode="update"))
-    schema = "sensor_id string, datetime timestamp, pm25 double, n long"
-    written = bt.read_versions(spark, f"{root}/out", schema)
-    return rounded(bt.newest(written, ["sensor_id", "datetime"]), "pm25")
+    sink = bt.versioned_sink(f"{root}/out", partial=ag.window_partials)
+    _finish(bt.start(event_files(spark, sf_dir), sink, f"{root}/checkpoint", once=True))
+    partials = bt.read_versions(spark, f"{root}/out", ag.PARTIAL_MEANS)
+    return rounded(ag.windowed_means(partials), "pm25")
 
 
 def stream_dedup(spark, sf_dir):
     """Every event arrives twice."""
     root = scratch_dir(spark, "stream-dedup")
-    twice = reading_stream(spark, sf_dir).union(reading_stream(spark, sf_dir))
-    sink = bt.versioned_sink(f"{root}/out")
-    distinct = ag.distinct_readings(twice)
-    _finish(bt.start(distinct, sink, f"{root}/checkpoint", once=True, output_mode="update"))
-    written = bt.read_versions(spark, f"{root}/out", rf.READING)
-    return bt.newest(written, ["sensor_id", "datetime"])
+    twice = event_files(spark, sf_dir).union(event_files(spark, sf_dir, batches=2))
+    sink = bt.versioned_sink(f"{root}/out", partial=ag.distinct_readings)
+    _finish(bt.start(twice, sink, f"{root}/checkpoint", once=True))
+    return ag.distinct_readings(bt.read_versions(spark, f"{root}/out", rf.READING))
 
 
 def stream_lags(spark, sf_dir):
     root = scratch_dir(spark, "stream-lags")
-    stream = cl.clean(reading_stream(spark, sf_dir).withColumn("parameter", F.lit("pm25")))
+    stream = cl.clean(event_files(spark, sf_dir).withColumn("parameter", F.lit("pm25")))
     _finish(bt.start(stream, rf.refresh_tables(root), f"{root}/checkpoint", once=True))
-    return rf.current_features(spark, root)
+    return rf.current_features(spark, root).drop("interval_used")
 
 
 # --- contract -----------------------------------------------------------------------------
@@ -582,7 +589,8 @@ _LAG_EXPRESSIONS = ", ".join(
 )
 _FEATURES = f"""{_CLEAN}, features AS (
   SELECT * FROM (
-    SELECT sensor_id, datetime, pm25, {_CALENDAR}, {_LAG_EXPRESSIONS} FROM clean)
+    SELECT sensor_id, datetime, pm25, {_CALENDAR}, {_LAG_EXPRESSIONS}
+    FROM (SELECT sensor_id, datetime, max(pm25) AS pm25 FROM clean GROUP BY ALL))
   WHERE lag_24 IS NOT NULL)"""
 _CUT = f"""{_FEATURES}, cut AS (
   SELECT datetime AS cut_time FROM (
@@ -773,7 +781,7 @@ def sensor_sql() -> dict[str, str]:
         "lag_features": f"WITH {_FEATURES} SELECT * FROM features",
         "latest_per_sensor": f"""WITH {_CLEAN}
             SELECT sensor_id, datetime, {_CALENDAR}, pm25 FROM clean
-            QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY datetime DESC) = 1""",
+            QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY datetime DESC, pm25 DESC) = 1""",
         "next_hour_features": f"WITH {_FEATURES}, {_NEXT_HOUR} SELECT * FROM upcoming",
         "gap_report": f"""WITH {_CLEAN}, gaps AS (
               SELECT sensor_id, datetime,

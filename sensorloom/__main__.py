@@ -26,10 +26,15 @@ def main(argv: list[str] | None = None) -> None:
         step[name].add_argument("--raw", required=True, help="landing folder")
         step[name].add_argument("--parameter", default="pm25")
         step[name].add_argument("--json-lines", action="store_true", help="one object per line")
+    for name in ("etl", "stream"):
+        step[name].add_argument("--no-fallback", action="store_true", help="ignore daily files")
+        step[name].add_argument("--sensors", help="comma-separated ids; all if not given")
+        step[name].add_argument("--from", dest="start", help="first time")
+        step[name].add_argument("--to", dest="end", help="last time")
+    step["etl"].add_argument("--lag-hours", type=int, help="leave out newer readings")
     step["stream"].add_argument("--every", default="600 seconds")
     step["stream"].add_argument("--once", action="store_true")
     step["stream"].add_argument("--max-files", type=int)
-    step["stream"].add_argument("--no-fallback", action="store_true", help="ignore daily files")
     step["stream"].add_argument("--score-with", help="folder of a stored model")
     step["train"].add_argument("--models", default="lr,rf,gbt")
     step["train"].add_argument("--tree-sample", type=float, default=0.3)
@@ -40,15 +45,20 @@ def main(argv: list[str] | None = None) -> None:
     step["train"].add_argument("--gbt-depth", type=int, default=5)
     for name in ("predict", "forecast", "report"):
         step[name].add_argument("--model", default="lr")
+    step["report"].add_argument("--rows", type=int, default=200, help="newest predictions")
+    step["report"].add_argument("--table", choices=["holdout", "scored"], default="holdout")
+    step["report"].add_argument("--year", type=int, help="year of the monthly means")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"sensorloom-{args.step}").getOrCreate()
     if args.step in ("etl", "stream"):
-        layout = {"multi_line": not args.json_lines}
+        layout = {"multi_line": not args.json_lines, "fallback": not args.no_fallback}
+        layout |= {"sensors": args.sensors, "start": args.start, "end": args.end}
         if args.json_lines:
             layout["files"] = "*.json"
     if args.step == "etl":
-        print(jobs.etl(spark, args.raw, args.root, args.parameter, **layout))
+        options = {"lag_hours": args.lag_hours, **layout}
+        print(jobs.etl(spark, args.raw, args.root, args.parameter, **options))
     elif args.step == "eda":
         jobs.eda(spark, args.root)
     elif args.step == "features":
@@ -68,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "forecast":
         print(jobs.forecast(spark, args.root, args.model))
     elif args.step == "report":
-        jobs.report(spark, args.root, args.model)
+        jobs.report(spark, args.root, args.model, args.table, args.rows, args.year)
     else:
         query = refresh.start_landing_refresh(
             spark,
@@ -78,7 +88,6 @@ def main(argv: list[str] | None = None) -> None:
             every=args.every,
             once=args.once,
             max_files_per_trigger=args.max_files,
-            fallback=not args.no_fallback,
             model=load(args.score_with) if args.score_with else None,
             **layout,
         )

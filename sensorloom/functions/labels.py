@@ -18,8 +18,9 @@ def weekday_label(day: Column) -> Column:
 
 
 def year_week_label(year: Column, week: Column) -> Column:
-    """``2024-03``: year and zero-padded week."""
-    return F.format_string("%d-%02d", year.cast("int"), week.cast("int"))
+    """``2024-03``: year and zero-padded week; null if either is."""
+    label = F.format_string("%d-%02d", year.cast("int"), week.cast("int"))
+    return F.when(year.isNotNull() & week.isNotNull(), label)
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

@@ -53,15 +53,17 @@ def in_time_range(readings: DataFrame, start: str | None = None, end: str | None
     return readings
 
 
-def sensor_ids(setting: str | Iterable, fallback: str = "5049") -> list[str]:
-    """Ids from a comma-separated setting (blanks ignored) or a sequence; else the fallback."""
+def sensor_ids(setting: str | Iterable) -> list[str]:
+    """Ids from a comma-separated setting (blanks ignored) or a sequence; none is an error."""
     parts = setting.split(",") if isinstance(setting, str) else setting
     ids = [text for text in (str(part).strip() for part in parts) if text]
-    return ids or [str(fallback)]
+    if not ids:
+        raise ValueError("no sensor is named")
+    return ids
 
 
-def only_sensors(readings: DataFrame, setting: str | Iterable, fallback: str = "5049") -> DataFrame:
-    return readings.filter(F.col("sensor_id").isin(sensor_ids(setting, fallback)))
+def only_sensors(readings: DataFrame, setting: str | Iterable) -> DataFrame:
+    return readings.filter(F.col("sensor_id").isin(sensor_ids(setting)))
 
 
 def dedup(readings: DataFrame, order_by: list[str] | None = None) -> DataFrame:
@@ -72,8 +74,8 @@ def dedup(readings: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     rest = [c for c in readings.columns if c not in SERIES_KEY]
     ranked = [*(order_by or []), *[c for c in rest if c not in (order_by or [])]]
     if len(ranked) == 1:
-        return readings.groupBy(*SERIES_KEY).agg(F.max(ranked[0]).alias(ranked[0]))
-    best = F.max(F.struct(*ranked)).alias("best")
+        return readings.groupBy(*SERIES_KEY).agg(largest(ranked[0]))
+    best = F.max(F.struct(*(_numbers_last(readings, c).alias(c) for c in ranked))).alias("best")
     return (
         readings.groupBy(*SERIES_KEY)
         .agg(best)
@@ -81,6 +83,19 @@ def dedup(readings: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     )
 
 
+def largest(column: str) -> Column:
+    """The largest value of a floating column; NaN, which Spark ranks above all, only if alone."""
+    numbers = F.max(F.nanvl(column, F.lit(None).cast("double")))
+    return F.coalesce(numbers, F.max(column)).alias(column)
+
+
+def _numbers_last(readings: DataFrame, column: str) -> Column:
+    """A column in which a NaN ranks as null, below every number."""
+    if dict(readings.dtypes)[column] not in ("double", "float"):
+        return F.col(column)
+    return F.when(~F.isnan(column), F.col(column))
+
+
 def hourly_resample(cleaned: DataFrame) -> DataFrame:
     """Mean and count per sensor and clock hour, for sources that are not hourly already."""
     return cleaned.groupBy(
@@ -127,9 +142,15 @@ def hourly_or_daily(
     return prefer_hourly(recent, daily)
 
 
-def prefer_hourly(hourly_readings: DataFrame, daily_readings: DataFrame) -> DataFrame:
-    """All hourly readings, plus the daily ones of sensors that have no hourly reading."""
-    covered = hourly_readings.select("sensor_id").distinct()
+def prefer_hourly(
+    hourly_readings: DataFrame, daily_readings: DataFrame, covering: DataFrame | None = None
+) -> DataFrame:
+    """All hourly readings, plus the daily ones of sensors that have no hourly reading.
+
+    ``covering`` holds the hourly readings to look for, if not the given ones.
+    """
+    covered = hourly_readings if covering is None else covering
+    covered = covered.select("sensor_id").distinct()
     return hourly_readings.withColumn("interval_used", F.lit("hourly")).unionByName(
         daily_readings.join(covered, "sensor_id", "left_anti").withColumn(
             "interval_used", F.lit("daily")

@@ -37,13 +37,16 @@ def lag_features(
 
 
 def latest_per_sensor(readings: DataFrame) -> DataFrame:
-    """The newest row of every sensor; ties go to the largest values. One row per sensor and
-    map task is shuffled."""
+    """The newest row of every sensor, of readings with one row per (sensor, time).
+
+    One pass and one row per sensor and map task: with columns of fixed width this is a hash
+    aggregate, so no task sorts its rows. De-duplicate first: of two rows at the newest time the
+    columns may come from either.
+    """
     rest = [c for c in readings.columns if c not in ("sensor_id", "datetime")]
     return (
         readings.groupBy("sensor_id")
-        .agg(F.max(F.struct("datetime", *rest)).alias("newest"))
-        .select("sensor_id", "newest.*")
+        .agg(F.max("datetime").alias("datetime"), *[F.max_by(c, "datetime").alias(c) for c in rest])
         .select(*readings.columns)
     )
 
@@ -71,7 +74,7 @@ def gap_report(
 ) -> DataFrame:
     """Places where a sensor was silent for more than ``min_hours``."""
     with_previous = over_history(
-        readings.select("sensor_id", "datetime"),
+        readings.select("sensor_id", "datetime").distinct(),  # copies have no gap between them
         depth=1,
         columns=lambda window: [F.lag("datetime", 1).over(window).alias("previous")],
         rows_per_task=rows_per_task,

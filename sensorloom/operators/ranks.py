@@ -14,10 +14,13 @@ BINS = 4096
 
 
 def group_sizes(df: DataFrame, value: str, by: Column | None = None) -> dict:
-    """Rows, smallest and largest value per group. ``by`` must have few distinct values."""
+    """Rows, smallest and largest value per group. ``by`` must have few distinct values.
+
+    Null and NaN have no rank and don't count.
+    """
     group = F.lit(0) if by is None else by
     rows = (
-        df.filter(F.col(value).isNotNull())
+        df.filter(_ranked(df, value))
         .groupBy(group.alias("g"))
         .agg(F.count(value).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
         .collect()
@@ -39,7 +42,7 @@ def values_at_rank(
     """
     sizes = sizes or group_sizes(df, value, by)
     group = F.lit(0) if by is None else by
-    rows = df.select(group.alias("g"), F.col(value).alias("v"))
+    rows = df.filter(_ranked(df, value)).select(group.alias("g"), F.col(value).alias("v"))
     g_type, v_type = (t for _, t in rows.dtypes)
     left = {g: (*sizes[g][1:], rank) for g, rank in ranks.items() if 0 <= rank < sizes[g][0]}
     found = {}
@@ -66,12 +69,21 @@ def values_at_rank(
         for g, (_, _, rank) in left.items():
             for row in sorted((r for r in binned if r.g == g), key=lambda r: r.bin):
                 if rank < row.n:
+                    if (row.lo, row.hi) == left[g][:2]:
+                        raise ArithmeticError(f"bins of {value} don't narrow {row.lo} to {row.hi}")
                     narrowed[g] = (row.lo, row.hi, rank)
                     break
                 rank -= row.n
         left = narrowed
 
 
+def _ranked(df: DataFrame, value: str) -> Column:
+    """Has a place among the sorted values. NaN equals itself in Spark, but not in Python."""
+    known = F.col(value).isNotNull()
+    floating = dict(df.dtypes).get(value) in ("double", "float")
+    return known & ~F.isnan(value) if floating else known
+
+
 def _bin(bins: int) -> Column:
     """Bin of ``v`` between ``lo`` and ``hi``.
 

@@ -12,16 +12,17 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from sensorloom.session import stored
+
 ROWS_PER_TASK = 10_000_000
-MAX_CUTS = 50_000
 
 _SLICE, _CARRIED = "_slice", "_carried"
 
 
-def _oversized(sliced: DataFrame, key: str, time: str, rows: int, first: bool) -> list:
+def _oversized(sliced: DataFrame, key: str, time: str, rows: int, first: bool) -> DataFrame:
     """Series or slices with more than ``rows`` rows, and how wide to cut them.
 
-    At most ``total rows / rows`` of them exist; the caller bounds that.
+    Rows of one series and one time can't be cut; de-duplicate first where these may be many.
     """
     micros = F.unix_micros(time)
     parts = F.ceil(F.col("n") * 2 / rows)
@@ -30,30 +31,30 @@ def _oversized(sliced: DataFrame, key: str, time: str, rows: int, first: bool) -
         scope.groupBy(key, _SLICE)
         .agg(F.count(F.lit(1)).alias("n"), F.min(micros).alias("lo"), F.max(micros).alias("hi"))
         .filter((F.col("n") > rows) & (F.col("hi") > F.col("lo")))
-        .select(key, _SLICE, "lo", F.ceil((F.col("hi") - F.col("lo") + 1) / parts).alias("width"))
-        .limit(MAX_CUTS + 1)
-        .collect()
+        .select(
+            F.col(key).alias("c_key"),
+            F.col(_SLICE).alias("c_slice"),
+            F.col("lo").alias("c_lo"),
+            F.ceil((F.col("hi") - F.col("lo") + 1) / parts).alias("c_width"),
+        )
     )
 
 
 def _cut(df: DataFrame, key: str, time: str, rows: int) -> tuple[DataFrame, bool]:
-    """Add the start (microseconds) of each row's slice; null where the series is not cut."""
+    """Add the start (microseconds) of each row's slice; null where the series is not cut.
+
+    The cuts are a written table, however many they are. Its size is known to Spark, which
+    broadcasts it only below its limit.
+    """
     sliced, first = df.withColumn(_SLICE, F.lit(None).cast("long")), True
     while True:
-        cuts = _oversized(sliced, key, time, rows, first)
-        if not cuts:
+        cuts = stored(_oversized(sliced, key, time, rows, first), "cuts")
+        if cuts.isEmpty():
             return sliced, not first
-        if len(cuts) > MAX_CUTS:
-            rows *= 4
-            continue
-        # At most MAX_CUTS narrow rows, so the broadcast is bounded whatever the data.
-        plan = sliced.sparkSession.createDataFrame(
-            cuts, f"c_key {dict(df.dtypes)[key]}, c_slice long, c_lo long, c_width long"
-        )
         steps = F.floor((F.unix_micros(time) - F.col("c_lo")) / F.col("c_width"))
         sliced = (
             sliced.join(
-                F.broadcast(plan),
+                cuts,
                 F.col(key).eqNullSafe(F.col("c_key")) & F.col(_SLICE).eqNullSafe(F.col("c_slice")),
                 "left",
             )
@@ -103,7 +104,9 @@ def over_history(
 
     ``values`` names the columns, besides ``time``, that they read. One grouped count decides
     whether any series must be cut; if none must, the plan is one shuffle, sort and window.
+    Rows without a time have no place in a series and are left out.
     """
+    df = df.filter(F.col(time).isNotNull())
     sliced, cut = _cut(df, key, time, rows_per_task)
     if not cut:
         return df.select("*", *columns(Window.partitionBy(key).orderBy(time)))

@@ -47,8 +47,11 @@ def weekday_stats(cleaned: DataFrame, accuracy: int | None = None) -> DataFrame:
     moderate data, a bottleneck for very many tasks.
     """
     day = F.dayofweek("datetime")
+    number = F.nanvl("pm25", F.lit(None).cast("double"))  # a NaN has no rank
     figures = cleaned.groupBy(day.alias("day_of_week")).agg(
-        F.count("pm25").alias("n_values"),
+        F.count(number).alias("n_values"),
+        F.min(number).alias("lowest"),
+        F.max(number).alias("highest"),
         F.count(F.lit(1)).alias("n"),
         F.avg("pm25").alias("pm25_avg"),
         *([F.percentile_approx("pm25", 0.5, accuracy).alias("pm25_median")] if accuracy else []),
@@ -57,8 +60,8 @@ def weekday_stats(cleaned: DataFrame, accuracy: int | None = None) -> DataFrame:
     )
     if not accuracy:
         rows = figures.collect()  # one row per weekday
-        sizes = {r.day_of_week: (r.n_values, r.pm25_min, r.pm25_max) for r in rows}
-        ranks = {number: median_rank(n) for number, (n, _, _) in sizes.items()}
+        sizes = {r.day_of_week: (r.n_values, r.lowest, r.highest) for r in rows if r.n_values}
+        ranks = {day_: median_rank(n) for day_, (n, _, _) in sizes.items()}
         found = values_at_rank(cleaned, "pm25", ranks, day, sizes, bins=512)
         figures = cleaned.sparkSession.createDataFrame(
             [(*row, found.get(row.day_of_week)) for row in rows],

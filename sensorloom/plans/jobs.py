@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.functions import weekday_label, year_week_label
@@ -18,7 +18,7 @@ from sensorloom.operators import trends as tr
 from sensorloom.operators.split import split_report, time_split
 from sensorloom.plans import models as ml
 from sensorloom.schemas import SERIES_KEY
-from sensorloom.session import configure
+from sensorloom.session import configure, stored
 from sensorloom.sources import raw as rw
 from sensorloom.sources import tables as tb
 
@@ -68,22 +68,51 @@ def etl(
     parameter: str = "pm25",
     multi_line: bool = True,
     files: str = rw.RAW_FILES,
+    fallback: bool = True,
+    sensors: str | Iterable | None = None,
+    start: str | None = None,
+    end: str | None = None,
+    lag_hours: int | None = None,
 ) -> dict[str, int]:
     """Raw documents to the ``pm25_clean`` and ``pm25_hourly`` tables; returns stage counts.
 
-    Raw is read once. Counts are observed on the two writes. The hourly table is written in
-    (sensor, time) order, which gives later scans tight row-group statistics.
+    Daily readings count only for sensors without an hourly one, as in the stream, or not at all
+    without ``fallback``. ``sensors``, ``start``, ``end`` and ``lag_hours`` (leave out what the
+    source may still revise) choose among the readings. Documents that don't parse are counted,
+    and kept in the table ``unreadable`` if there are any.
+
+    Raw is read once, and again only for unreadable documents. Counts are observed on the writes.
+    The hourly table is written in (sensor, time) order, which gives later scans tight row-group
+    statistics.
     """
     configure(spark)
-    documents, n_raw = tb.counted(rw.read_raw(spark, raw_path, multi_line, files), "raw")
-    readings, n_readings = tb.counted(rw.normalize(documents), "readings")
-    kept, n_clean = tb.counted(cl.clean(readings, parameter), "clean")
+    raw = rw.read_raw(spark, raw_path, multi_line, files)
+    seen = Observation("raw")
+    documents = raw.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.count("_corrupt").alias("unreadable")
+    )
+    documents = documents.withColumn("interval", rw.interval_of(documents))
+    readings, n_readings = tb.counted(rw.normalize(documents, keep=["interval"]), "readings")
+    chosen = cl.in_time_range(cl.clean(readings, parameter, keep=["interval"]), start, end)
+    if sensors is not None:
+        chosen = cl.only_sensors(chosen, sensors)
+    if lag_hours is not None:
+        chosen = cl.settled(chosen, F.current_timestamp(), lag_hours)
+    landed = stored(chosen, "landed")
+    daily = F.col("interval") == "daily"
+    hourly, rest = (landed.filter(c).drop("interval") for c in (~daily, daily & F.lit(fallback)))
+    kept, n_clean = tb.counted(cl.prefer_hourly(hourly, rest), "clean")
     tb.write_table(kept, table_path(root, "pm25_clean"))
-    distinct = cl.dedup(tb.read_table(spark, table_path(root, "pm25_clean")))
+    if seen.get["unreadable"]:
+        bad = raw.filter(F.col("_corrupt").isNotNull()).select("file_name", "_corrupt")
+        tb.write_table(bad, table_path(root, "unreadable"))
+    clean = tb.read_table(spark, table_path(root, "pm25_clean")).drop("interval_used")
+    distinct = cl.dedup(clean)
     hours, n_hourly = tb.counted(cl.ordered(cl.hourly(distinct)), "hourly")
     tb.write_table(hours, table_path(root, "pm25_hourly"))
     return {
-        "raw": n_raw.get["n"],
+        "raw": seen.get["n"],
+        "unreadable": seen.get["unreadable"],
         "readings": n_readings.get["n"],
         "clean": n_clean.get["n"],
         "hourly": n_hourly.get["n"],
@@ -163,9 +192,15 @@ def forecast(spark: SparkSession, root: str, model: str = "lr") -> str:
 
 
 def report(
-    spark: SparkSession, root: str, model: str = "lr", table: str = "holdout", rows: int = 200
+    spark: SparkSession,
+    root: str,
+    model: str = "lr",
+    table: str = "holdout",
+    rows: int = 200,
+    year: int | None = None,
 ) -> None:
-    """The small tables that a dashboard shows: best model, labelled weeks, newest predictions."""
+    """The small tables that a dashboard shows: best model, labelled weeks, months of a year (the
+    latest if none is given), newest predictions."""
     configure(spark)
     metrics = tb.read_table(spark, table_path(root, "model_metrics"))
     tb.write_table(mt.best_model(metrics), table_path(root, "report/best_model"))
@@ -177,6 +212,9 @@ def report(
         weekdays.withColumn("weekday", weekday_label(F.col("day_of_week"))),
         table_path(root, "report/weekdays"),
     )
+    daily = tb.read_table(spark, table_path(root, "eda/daily_trend"))
+    months = tr.monthly_means(tr.in_year(daily, year))
+    tb.write_table(months, table_path(root, "report/months"))
     predicted = tb.read_table(spark, table_path(root, f"{table}/{ml.model_name(model)}"))
     newest = mt.last_rows(mt.collapse_by_time(predicted), rows)
     tb.write_table(newest, table_path(root, "report/predictions"))

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sensorloom.operators.clean import prefer_hourly
 from sensorloom.sources.tables import child_names
 
 Handler = Callable[[DataFrame, int], None]
@@ -48,32 +47,42 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
 
 
-def versioned_sink(path: str, save_empty: bool = False) -> Handler:
-    """Write each batch as its own version; batches without rows are skipped by default."""
+def versioned_sink(
+    path: str,
+    save_empty: bool = False,
+    partial: Callable[[DataFrame], DataFrame] | None = None,
+) -> Handler:
+    """Write each batch, or its ``partial`` result, as its own version.
+
+    Batches without rows are skipped by default.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if save_empty or not batch.isEmpty():
-            batch.write.mode("overwrite").parquet(version_path(path, batch_id))
+            made = partial(batch) if partial else batch
+            made.write.mode("overwrite").parquet(version_path(path, batch_id))
 
     return handle
 
 
-def with_fallback(handle: Handler) -> Handler:
-    """Per batch and sensor, use daily readings where the batch has no hourly ones.
+def by_interval(handle_hourly: Handler, handle_daily: Handler | None) -> Handler:
+    """Hand hourly and daily readings (column ``interval``) to handlers of their own.
 
-    Batches carry an ``interval`` column; the rows passed on have ``interval_used``.
+    They are kept apart, and readers choose between them over all that is stored: a choice made
+    inside a batch would depend on how files fall into batches.
     """
 
-    def handle_preferred(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int) -> None:
         daily = F.col("interval") == "daily"
-        batch.persist()  # read three times below
+        batch.persist()  # read by both handlers
         try:
-            hourly_rows = batch.filter(~daily).drop("interval")
-            handle(prefer_hourly(hourly_rows, batch.filter(daily).drop("interval")), batch_id)
+            handle_hourly(batch.filter(~daily).drop("interval"), batch_id)
+            if handle_daily is not None:
+                handle_daily(batch.filter(daily).drop("interval"), batch_id)
         finally:
             batch.unpersist()
 
-    return handle_preferred
+    return handle
 
 
 def read_versions(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -81,10 +90,10 @@ def read_versions(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def newest(versioned: DataFrame, keys: list[str]) -> DataFrame:
-    """The newest version of every key, without the version column."""
+    """The newest version of every key, without the version column.
+
+    A key stands once in a version, so every column comes from the same row. With columns of
+    fixed width this is a hash aggregate: no task sorts its rows first.
+    """
     rest = [c for c in versioned.columns if c not in (*keys, VERSION)]
-    return (
-        versioned.groupBy(*keys)
-        .agg(F.max(F.struct(VERSION, *rest)).alias("newest"))
-        .select(*keys, *[F.col(f"newest.{c}").alias(c) for c in rest])
-    )
+    return versioned.groupBy(*keys).agg(*[F.max_by(c, VERSION).alias(c) for c in rest])

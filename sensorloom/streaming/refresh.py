@@ -8,6 +8,8 @@ reading is recomputed from its history, from that reading on.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,12 +32,32 @@ FEATURE = ", ".join(
 )
 
 
+#: Daily readings have tables of their own here; they count for sensors without hourly ones.
+DAILY = "daily"
+
+
+def _current(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
+    """The newest rows of hourly series, and of daily series whose sensor has no hourly reading."""
+    hourly, daily = (
+        bt.newest(bt.read_versions(spark, f"{path}/{table}", schema), SERIES_KEY)
+        if bt.versions(spark, f"{path}/{table}")
+        else spark.createDataFrame([], schema)
+        for path in (root, f"{root}/{DAILY}")
+    )
+    if not bt.versions(spark, f"{root}/{DAILY}/clean"):
+        return hourly.withColumn("interval_used", F.lit("hourly"))
+    covered = spark.createDataFrame([], READING)
+    if bt.versions(spark, f"{root}/clean"):
+        covered = bt.read_versions(spark, f"{root}/clean", READING)
+    return cl.prefer_hourly(hourly, daily, covered)
+
+
 def current_readings(spark: SparkSession, root: str) -> DataFrame:
-    return bt.newest(bt.read_versions(spark, f"{root}/clean", READING), SERIES_KEY)
+    return _current(spark, root, "clean", READING)
 
 
 def current_features(spark: SparkSession, root: str) -> DataFrame:
-    return bt.newest(bt.read_versions(spark, f"{root}/features", FEATURE), SERIES_KEY)
+    return _current(spark, root, "features", FEATURE)
 
 
 def _forward_features(new: DataFrame, carry: DataFrame, rows_per_task: int) -> DataFrame:
@@ -92,6 +114,7 @@ def refresh_tables(
         )
         new = spark.read.schema(READING).parquet(clean_path)
         if new.isEmpty():
+            delete_path(spark, clean_path)  # nothing to keep, or to look through later
             return
 
         older = [v for v in bt.versions(spark, f"{root}/carry") if v < batch_id]
@@ -156,17 +179,24 @@ def start_landing_refresh(
     max_files_per_trigger: int | None = None,
     fallback: bool = True,
     model: PipelineModel | None = None,
+    sensors: str | Iterable | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> StreamingQuery:
-    """Landing folder to fresh tables under ``root``.
+    """Landing folder to fresh tables under ``root``; of some sensors or times only, if given.
 
-    Daily documents count only for sensors without hourly ones in the same batch, or not at
-    all without ``fallback``.
+    Daily documents have tables of their own below ``root``, or are left out without
+    ``fallback``. They count for sensors without an hourly reading in all that has landed, which
+    is decided on reading; so results don't depend on batches.
     """
     configure(spark)
     raw = rw.read_raw_stream(spark, landing, multi_line, files, max_files_per_trigger)
     readings = rw.normalize(raw.withColumn("interval", rw.interval_of(raw)), keep=["interval"])
     if not fallback:
         readings = readings.filter(F.col("interval") != "daily")
-    readings = cl.clean(readings, parameter, keep=["interval"])
-    handle = bt.with_fallback(refresh_tables(root, model))
+    readings = cl.in_time_range(cl.clean(readings, parameter, keep=["interval"]), start, end)
+    if sensors is not None:
+        readings = cl.only_sensors(readings, sensors)
+    daily = refresh_tables(f"{root}/{DAILY}", model) if fallback else None
+    handle = bt.by_interval(refresh_tables(root, model), daily)
     return bt.start(readings, handle, f"{root}/checkpoint", every=every, once=once)

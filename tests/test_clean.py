@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import READING, at, series_rows, tuples
@@ -37,7 +38,8 @@ def test_copies_collapse_before_the_shuffle(spark):
 
 def test_sensor_setting():
     assert cl.sensor_ids(" 1, 7,,12 ") == ["1", "7", "12"]
-    assert cl.sensor_ids("") == ["5049"]
+    with pytest.raises(ValueError):
+        cl.sensor_ids(" , ")
     assert cl.sensor_ids([3, " 4 "]) == ["3", "4"]
 
 
@@ -74,6 +76,7 @@ def test_labels_and_iso_text(spark):
         weekday_label(F.lit(7)).alias("sat"),
         weekday_label(F.lit(9)).alias("other"),
         year_week_label(F.lit(2024), F.lit(3)).alias("week"),
+        year_week_label(F.lit(None).cast("int"), F.lit(3)).alias("none"),
         utc_iso(F.lit("2024-01-13 00:00:00.123456").cast("timestamp")).alias("iso"),
         utc_iso_text(F.lit("2024-01-01")).alias("plain"),
         utc_iso_text(F.lit("2024-01-01Z")).alias("marked"),
@@ -83,6 +86,7 @@ def test_labels_and_iso_text(spark):
         "Sat",
         "9",
         "2024-03",
+        None,
         "2024-01-13T00:00:00Z",
         "2024-01-01Z",
         "2024-01-01Z",

@@ -27,6 +27,7 @@ def test_all_jobs(spark, landing, tmp_path):
     root = str(tmp_path)
     assert jobs.etl(spark, landing, root) == {
         "raw": 2,
+        "unreadable": 0,
         "readings": 246,
         "clean": 242,
         "hourly": 240,

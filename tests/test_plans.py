@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from sensorloom.operators import clean as cl
 from sensorloom.operators import features as ft
 from sensorloom.operators import trends as tr
 from sensorloom.operators.split import time_split
+from sensorloom.streaming import batches as bt
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -59,3 +61,15 @@ def test_aggregates_are_partial_before_the_shuffle(readings, operator):
 
 def test_trends_read_two_columns(readings):
     assert "ReadSchema: struct<datetime:timestamp,pm25:double>" in plan(tr.daily_means(readings))
+
+
+def test_newest_rows_need_no_sort(readings):
+    features = ft.lag_features(cl.dedup(readings.select("sensor_id", "datetime", "pm25")).transform(cl.hourly))
+    versions = readings.select("sensor_id", "datetime", "pm25").withColumn(bt.VERSION, F.lit(1))
+    for df in (
+        cl.dedup(readings.select("sensor_id", "datetime", "pm25")),
+        ft.latest_per_sensor(readings),
+        ft.next_hour_features(ft.latest_per_sensor(features)),
+        bt.newest(versions, ["sensor_id", "datetime"]),
+    ):
+        assert "SortAggregate" not in plan(df)

@@ -64,14 +64,22 @@ def test_slices_are_bounded_also_in_a_burst(spark):
     assert not _cut(df, "sensor_id", "datetime", 10_000)[1]
 
 
-def test_more_cuts_than_allowed_raises_the_limit(spark, monkeypatch):
-    from sensorloom.operators import series
-
-    monkeypatch.setattr(series, "MAX_CUTS", 1)
+def test_every_long_series_is_cut(spark):
     rows = series_rows("a", 100) + series_rows("b", 100) + series_rows("c", 500)
-    features = ft.lag_features(cl.hourly(spark.createDataFrame(rows, READING)), rows_per_task=30)
+    readings = cl.hourly(spark.createDataFrame(rows, READING))
+    features = ft.lag_features(readings, rows_per_task=30)
     names = [f"lag_{i}" for i in range(1, 25)]
     assert tuples(features, "sensor_id", "datetime", "pm25", *names) == lags_by_hand(rows)
+    sliced, _ = _cut(readings, "sensor_id", "datetime", 30)
+    assert max(r["count"] for r in sliced.groupBy("sensor_id", "_slice").count().collect()) <= 30
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 10_000])
+def test_rows_without_a_time_feed_no_lag(spark, rows_per_task):
+    rows = series_rows("a", 40) + [("a", None, 999.0), ("b", None, 1.0)]
+    features = ft.lag_features(cl.hourly(spark.createDataFrame(rows, READING)), 3, rows_per_task)
+    names = [f"lag_{i}" for i in range(1, 4)]
+    assert tuples(features, "sensor_id", "datetime", "pm25", *names) == lags_by_hand(rows[:40], 3)
 
 
 @pytest.mark.parametrize("rows_per_task", [1, 10_000])

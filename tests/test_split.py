@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import READING, at, hours, series_rows, tuples
+from sensorloom.operators import ranks as rk
 from sensorloom.operators.ranks import group_sizes, median_rank, values_at_rank
 from sensorloom.operators.split import hash_sample, split_report, time_split
+from sensorloom.operators.trends import weekday_stats
 
 rng = random.Random(1)
 SAMPLES = {
@@ -71,3 +73,21 @@ def test_sample_does_not_depend_on_partitioning(spark):
     assert hash_sample(df, 1.0).count() == 4000 and hash_sample(df, 0.0).count() == 0
     # Sensors that report at the same hours are sampled independently of each other.
     assert {t for s, t, _ in kept if s == "a"} != {t for s, t, _ in kept if s == "b"}
+
+
+def test_ranks_leave_out_nan(spark):
+    nan = float("nan")
+    rows = [("a", v) for v in (nan, nan, nan, 1.0)] + [("b", nan)] + [("c", None)]
+    rows += [("d", v) for v in (float("inf"), float("-inf"), 3.0, nan, None, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    sizes = rk.group_sizes(df, "v", F.col("g"))
+    assert sizes == {"a": (1, 1.0, 1.0), "d": (4, float("-inf"), float("inf"))}
+    ranks = {g: rk.median_rank(n) for g, (n, *_) in sizes.items()}
+    assert rk.values_at_rank(df, "v", ranks, F.col("g"), sizes) == {"a": 1.0, "d": 3.0}
+
+
+def test_weekday_median_of_faulty_readings_ends(spark):
+    sunday = at("2024-01-07T05:00:00")
+    for values, want in (([float("nan")] * 3 + [1.0], 1.0), ([float("nan")] * 2, None), ([None], None)):
+        df = spark.createDataFrame([("s", sunday, v) for v in values], READING)
+        assert [r.pm25_median for r in weekday_stats(df).collect()] == [want]

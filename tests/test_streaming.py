@@ -10,6 +10,7 @@ import pytest
 from helpers import READING, at, envelope, hours, land, record, series_rows, tuples
 from sensorloom.operators import clean as cl
 from sensorloom.operators import features as ft
+from sensorloom.plans import jobs
 from sensorloom.plans import models as ml
 from sensorloom.streaming import aggregates as ag
 from sensorloom.streaming import batches as bt
@@ -45,7 +46,7 @@ def test_refresh_in_order(spark, tmp_path, rows_per_task):
     for i in range(3):
         part = rows[i * 37 : (i + 1) * 37]
         handle(spark.createDataFrame(part, READING), i)
-    assert tuples(rf.current_features(spark, str(tmp_path / "t"))) == batch_features(spark, rows)
+    assert tuples(rf.current_features(spark, str(tmp_path / "t")).drop("interval_used")) == batch_features(spark, rows)
     assert bt.versions(spark, str(tmp_path / "t/carry")) == [1, 2]
 
 
@@ -60,7 +61,7 @@ def test_refresh_with_late_repeated_and_replayed_batches(spark, tmp_path):
         if i == 2:  # the same batch again, as after a failure
             handle(spark.createDataFrame(part, READING), i)
     want = batch_features(spark, [r for part in batches for r in part])
-    assert tuples(rf.current_features(spark, root)) == want
+    assert tuples(rf.current_features(spark, root).drop("interval_used")) == want
     assert rf.current_readings(spark, root).count() == 120
 
 
@@ -72,7 +73,7 @@ def test_late_readings_of_a_sparse_sensor_use_its_whole_history(spark, tmp_path)
     for i, part in enumerate(batches):
         handle(spark.createDataFrame([(s, t, v + i) for s, t, v in part], READING), i)
     rows = [(s, t, v + i) for i, part in enumerate(batches) for s, t, v in part]
-    assert tuples(rf.current_features(spark, root)) == batch_features(spark, rows)
+    assert tuples(rf.current_features(spark, root).drop("interval_used")) == batch_features(spark, rows)
 
 
 def test_refresh_skips_batches_without_readings(spark, tmp_path):
@@ -119,13 +120,10 @@ def test_hourly_and_daily_windows(spark, tmp_path):
     stream = landed_stream(spark, tmp_path / "in", [rows[:90], rows[90:150], rows[150:]])
     for interval, part in (("1 hour", "hour"), ("1 day", "day")):
         root = str(tmp_path / part)
-        sink = bt.versioned_sink(f"{root}/out")
-        means = ag.windowed_means(stream, interval)
-        finish(bt.start(means, sink, f"{root}/cp", once=True, output_mode="update"))
-        written = bt.read_versions(
-            spark, f"{root}/out", "sensor_id string, datetime timestamp, pm25 double, n long"
-        )
-        got = tuples(bt.newest(written, ["sensor_id", "datetime"]).selectExpr(
+        sink = bt.versioned_sink(f"{root}/out", partial=lambda b: ag.window_partials(b, interval))
+        finish(bt.start(stream, sink, f"{root}/cp", once=True))
+        written = bt.read_versions(spark, f"{root}/out", ag.PARTIAL_MEANS)
+        got = tuples(ag.windowed_means(written).selectExpr(
             "sensor_id", "datetime", "round(pm25, 6)", "n"))
         frame = spark.createDataFrame(rows, READING)
         want = tuples(frame.groupBy("sensor_id", ft.F.date_trunc(part, "datetime")).agg(
@@ -137,10 +135,9 @@ def test_stream_dedup_across_batches(spark, tmp_path):
     rows = series_rows("a", 30)
     revised = [(s, t, v + 0.5) for s, t, v in rows[10:]]
     stream = landed_stream(spark, tmp_path / "in", [rows, rows[5:], revised])
-    sink = bt.versioned_sink(str(tmp_path / "out"))
-    distinct = ag.distinct_readings(stream)
-    finish(bt.start(distinct, sink, str(tmp_path / "cp"), once=True, output_mode="update"))
-    got = bt.newest(bt.read_versions(spark, str(tmp_path / "out"), READING), ["sensor_id", "datetime"])
+    sink = bt.versioned_sink(str(tmp_path / "out"), partial=ag.distinct_readings)
+    finish(bt.start(stream, sink, str(tmp_path / "cp"), once=True))
+    got = ag.distinct_readings(bt.read_versions(spark, str(tmp_path / "out"), READING))
     assert tuples(got) == sorted(rows[:10] + revised, key=repr)
 
 
@@ -148,7 +145,7 @@ def test_pre_aggregation_before_the_state(spark):
     readings = spark.createDataFrame(series_rows("a", 3), READING)
     for df, partial in (
         (ag.distinct_readings(readings), "partial_max"),
-        (ag.windowed_means(readings), "partial_avg"),
+        (ag.window_partials(readings), "partial_sum"),
     ):
         assert partial in df._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
 
@@ -161,12 +158,56 @@ def test_empty_batches_are_skipped_unless_wanted(spark, tmp_path):
     assert bt.versions(spark, str(tmp_path / "b")) == [0]
 
 
-def test_fallback_inside_a_batch(spark, tmp_path):
-    rows = [("a", 1.0, "hourly"), ("a", 2.0, "daily"), ("b", 3.0, "daily")]
-    batch = spark.createDataFrame(rows, "sensor_id string, pm25 double, interval string")
-    bt.with_fallback(bt.versioned_sink(str(tmp_path / "out")))(batch, 0)
-    got = spark.read.parquet(str(tmp_path / "out"))
-    assert tuples(got, "sensor_id", "pm25", "interval_used") == [
-        ("a", 1.0, "hourly"),
-        ("b", 3.0, "daily"),
-    ]
+def limited(spark, path, rows, limit):
+    """Rows as seven files out of time order, so many of them in a batch."""
+    rng = random.Random(9)
+    rows = list(rows)
+    rng.shuffle(rows)
+    for i in range(7):
+        spark.createDataFrame(rows[i::7], READING).coalesce(1).write.mode("append").parquet(path)
+    reader = spark.readStream.schema(READING)
+    return (reader.option("maxFilesPerTrigger", limit) if limit else reader).parquet(path)
+
+
+@pytest.mark.parametrize("limit", [1, 2, None])
+def test_windows_and_copies_do_not_depend_on_batches(spark, tmp_path, limit):
+    rows = [("a", at("2024-01-01") + dt.timedelta(hours=5 * i), float(i)) for i in range(60)]
+    rows += rows[::3]
+    faulty = [(s, t, float("nan")) for s, t, _ in rows[::4]]
+    for name, partial, combine, schema in (
+        ("means", lambda b: ag.window_partials(b, "1 day"), ag.windowed_means, ag.PARTIAL_MEANS),
+        ("copies", ag.distinct_readings, ag.distinct_readings, READING),
+    ):
+        if name == "copies":
+            rows += faulty
+        stream = limited(spark, str(tmp_path / f"{name}-in"), rows, limit)
+        sink = bt.versioned_sink(str(tmp_path / name), partial=partial)
+        finish(bt.start(stream, sink, str(tmp_path / f"{name}-cp"), once=True))
+        got = combine(bt.read_versions(spark, str(tmp_path / name), schema))
+        want = combine(partial(spark.createDataFrame(rows, READING)))
+        assert tuples(got) == tuples(want)
+        if name == "copies":
+            assert got.filter("isnan(pm25)").isEmpty() and got.count() == 60
+
+
+@pytest.mark.parametrize("limit", [1, 2, None])
+def test_fallback_does_not_depend_on_batches(spark, tmp_path, limit):
+    landing, root = tmp_path / "raw", str(tmp_path / "tables")
+    times = [f"{t.isoformat()}Z" for t in hours("2024-01-01", 40)]
+    # Sensor 1 has daily readings, and hourly ones that land last; sensor 2 has daily ones only.
+    for i, (sensor, interval, some) in enumerate(
+        [(1, "daily", times[:30]), (2, "daily", times[:28]), (2, "daily", times[28:33]), (1, "hourly", times[5:35])]
+    ):
+        page = {"results": [record(float(k + i), t) for k, t in enumerate(some)]}
+        land(landing, f"pm25_sensor_{sensor}_{interval}_2024010{i + 1}_000000.json", page)
+    finish(
+        rf.start_landing_refresh(spark, str(landing), root, once=True, max_files_per_trigger=limit)
+    )
+    readings = rf.current_readings(spark, root)
+    assert tuples(readings.groupBy("sensor_id", "interval_used").count()) == [
+        ("1", "hourly", 30), ("2", "daily", 33)]
+    assert tuples(rf.current_features(spark, root).groupBy("sensor_id", "interval_used").count()) == [
+        ("1", "hourly", 6), ("2", "daily", 9)]
+    counts = jobs.etl(spark, str(landing), f"{root}-batch")
+    assert counts["clean"] == 63
+    assert tuples(spark.read.parquet(f"{root}-batch/pm25_clean")) == tuples(readings)
