@@ -162,7 +162,7 @@ def place(pieces: DataFrame, *, capacity: int = 2048, order: tuple[str, ...] = (
     inside = Window.partitionBy("length", "_bucket").orderBy(*order)
     ranked = (
         bucketed.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(before, ["length", "_bucket"])
+        .join(before.hint("merge"), ["length", "_bucket"])  # both are dealt out by these already
         .withColumn("_rank", F.col("_rank") + F.col("_before"))
         .drop("_bucket", "_before")
     )
