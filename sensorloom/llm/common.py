@@ -66,13 +66,16 @@ def hashed_share(column: Column, modulus: int) -> Column:
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str,
+    limit: int = STEP_BYTES,
 ) -> DataFrame:
-    """Apply a function from Arrow batch to Arrow batch, a bounded slice of rows at a time."""
+    """Apply a function from Arrow batch to Arrow batch, about ``limit`` bytes of rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit):
                 made = work(piece)
                 if made is not None and made.num_rows:
                     yield made

@@ -25,6 +25,8 @@ SMOOTHING = 0.5
 #: n-grams of a word overlap, so their evidence is counted in part.
 EVIDENCE = 0.5
 UNKNOWN = "und"
+#: Text bytes in one vectorised step: several numbers are held for each byte and language.
+STEP = 1 << 20
 
 
 @dataclass
@@ -71,7 +73,7 @@ def learn(rows: DataFrame) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((len(languages), width), np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, STEP):
                 flat, offsets = utf8(part.column("content"))
                 texts = np.searchsorted(offsets, word_spans(flat, offsets, IN_LETTERS)[0], side="right") - 1
                 spoken = np.array([number[x] for x in part.column("lang").to_pylist()])[texts]
@@ -178,7 +180,7 @@ def predict(docs: DataFrame, model: Model, *, key: Column, text: str = "text", *
         )
 
     fields = ", ".join(f"`{c}` {kinds[c]}" for c in kept)
-    return map_batches(rows, run, f"{fields}, lang_pred string, score double, n_languages int")
+    return map_batches(rows, run, f"{fields}, lang_pred string, score double, n_languages int", STEP)
 
 
 def identify(docs: DataFrame, *, held_out: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
