@@ -339,13 +339,13 @@ def join(
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     degrees = found.groupBy("node").agg(F.sum("texts").alias("texts"), F.sum("links").alias("links"))
     joined = classes.join(degrees, "node", "left").join(roots, "node", "left")
-    joined = joined.withColumn("root", F.coalesce("root", "node"))
+    joined = written(joined.withColumn("root", F.coalesce("root", "node")), "roots")
     groups = joined.groupBy("root").agg(
         F.min("least").alias("class_least"),
         F.sum("copies").alias("class_docs"),
         F.min_by("node", "least").alias("first"),
     )
-    joined = joined.join(groups, "root").select(
+    joined = join_spread(joined, groups, ["root"], F.col("node")).select(
         "one", "two", "copies", "texts", "links", "class_least", "class_docs", F.coalesce("first", "root").alias("first")
     )
     has_words = F.col("bands").isNotNull()
