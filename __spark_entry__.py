@@ -50,6 +50,8 @@ ORDERS = (
     "o_orderpriority string"
 )
 NUDGE = 1e-9
+STUMP_INPUTS = ["hour", "day_of_week"]
+STUMP_STEP = 0.25
 BASELINES = {"persistence": "lag_1", "previous_day": "lag_24"}
 
 
@@ -433,6 +435,20 @@ def _scored(alias: str):
     return query
 
 
+def _stumps(alias: str, **params):
+    """Trees of one split over few-valued inputs, from all training rows: SQL can find these too."""
+
+    def query(spark, sf_dir):
+        features = stored_features(spark, sf_dir)
+        train = sp.time_split(features, required=SERIES_KEY).train
+        model = ml.fit(
+            train, alias, STUMP_INPUTS, tree_sample=1.0, maxDepth=1, subsamplingRate=1.0, **params
+        )
+        return rounded(ml.score(model, features), "predicted_pm25")
+
+    return query
+
+
 def forecast_next_hour(spark, sf_dir):
     features = stored_features(spark, sf_dir)
     model = ml.fit(sp.time_split(features, required=SERIES_KEY).train, "lr")
@@ -548,6 +564,8 @@ def sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pred_tail": pred_tail,
         "lr_one_feature": lr_one_feature,
         "ml_scored": _scored("lr"),
+        "rf_stump": _stumps("rf", numTrees=1, bootstrap=False, featureSubsetStrategy="all"),
+        "gbt_stumps": _stumps("gbt", maxIter=2, stepSize=STUMP_STEP),
         "rf_scored": _scored("rf"),
         "gbt_scored": _scored("gbt"),
         "forecast_next_hour": forecast_next_hour,
@@ -653,6 +671,33 @@ def _metrics(model: str, predicted: str, source: str) -> str:
   FROM (SELECT pm25, {predicted} AS p FROM {source})"""
 
 
+
+
+def _stump(name: str, rows: str, label: str) -> str:
+    """CTEs for the one split that leaves the least variance, and the mean on either side of it."""
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS input, {c} AS v, count(*) AS n, sum({label}) AS s FROM {rows} GROUP BY ALL"
+        for c in STUMP_INPUTS
+    )
+    side = "CASE input " + " ".join(f"WHEN '{c}' THEN {c}" for c in STUMP_INPUTS) + " END"
+    return f"""{name}_sums AS (
+      SELECT input, v, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+             sum(n) OVER (PARTITION BY input) AS n, sum(s) OVER (PARTITION BY input) AS s
+      FROM ({values}) WINDOW w AS (PARTITION BY input ORDER BY v)),
+    {name}_best AS (
+      SELECT input, v, sl / nl AS low, (s - sl) / (n - nl) AS high FROM {name}_sums WHERE nl < n
+      ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, input, v LIMIT 1),
+    {name} AS (
+      SELECT features.*, CASE WHEN {side} <= v THEN low ELSE high END AS {name}_value
+      FROM features, {name}_best)"""
+
+
+# A boosting round fits twice the residuals, the gradient of the squared error.
+_STUMPS = f"""{_CUT}, first_train AS (
+    SELECT * FROM features WHERE datetime < (SELECT cut_time FROM cut)), {_stump("first", "first_train", "pm25")},
+  rest AS (
+    SELECT *, 2 * (pm25 - first_value) AS residual FROM first
+    WHERE datetime < (SELECT cut_time FROM cut)), {_stump("second", "rest", "residual")}"""
 _TRAIN = "features WHERE datetime < (SELECT cut_time FROM cut)"
 _TEST = "features WHERE datetime >= (SELECT cut_time FROM cut)"
 _MEAN_OF_DAY = "(" + " + ".join(LAG_COLUMNS) + ") / 24"
@@ -827,6 +872,14 @@ def sensor_sql() -> dict[str, str]:
             SELECT sensor_id, datetime AS date, pm25 AS actual_pm25,
                    round(mean_y + slope * (lag_1 - mean_x) + 1e-9, 6) AS predicted_pm25
             FROM features, moments""",
+        "rf_stump": f"""WITH {_STUMPS}
+            SELECT sensor_id, datetime AS date, pm25 AS actual_pm25,
+                   round(first_value + 1e-9, 6) AS predicted_pm25
+            FROM first""",
+        "gbt_stumps": f"""WITH {_STUMPS}
+            SELECT first.sensor_id, first.datetime AS date, first.pm25 AS actual_pm25,
+                   round(first_value + {STUMP_STEP} * second_value + 1e-9, 6) AS predicted_pm25
+            FROM first JOIN second USING (sensor_id, datetime)""",
         "ml_scored": f"""WITH RECURSIVE {_RIDGE}
             SELECT sensor_id, datetime AS date, pm25 AS actual_pm25,
                    round({_RIDGE_VALUE} + 1e-9, 6) AS predicted_pm25
