@@ -333,6 +333,12 @@ def next_hour_features(spark, sf_dir):
     return ft.next_hour_features(ft.latest_per_sensor(feature_rows(spark, sf_dir)))
 
 
+def lag_by_time(spark, sf_dir):
+    hours = cl.hourly_resample(series(spark, sf_dir)).select("sensor_id", "datetime", "pm25")
+    lagged = ft.lag_by_time(hours, (1, 24))
+    return rounded(lagged, "pm25", "pm25_1h_ago", "pm25_24h_ago")
+
+
 def gap_report(spark, sf_dir):
     return rounded(ft.gap_report(series(spark, sf_dir), min_hours=24), "gap_hours")
 
@@ -553,6 +559,7 @@ def sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_per_sensor": latest_per_sensor,
         "next_hour_features": next_hour_features,
         "gap_report": gap_report,
+        "lag_by_time": lag_by_time,
         "time_split": time_split,
         "split_report": split_report,
         "hash_sample": hash_sample,
@@ -828,6 +835,14 @@ def sensor_sql() -> dict[str, str]:
             SELECT sensor_id, datetime, {_CALENDAR}, pm25 FROM clean
             QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY datetime DESC, pm25 DESC) = 1""",
         "next_hour_features": f"WITH {_FEATURES}, {_NEXT_HOUR} SELECT * FROM upcoming",
+        "lag_by_time": f"""WITH {_CLEAN}, hours AS (
+              SELECT sensor_id, date_trunc('hour', datetime) AS datetime, avg(pm25) AS pm25
+              FROM clean GROUP BY 1, 2)
+            SELECT h.sensor_id, h.datetime, round(h.pm25 + 1e-9, 6) AS pm25,
+                   round(a.pm25 + 1e-9, 6) AS pm25_1h_ago, round(b.pm25 + 1e-9, 6) AS pm25_24h_ago
+            FROM hours h
+            LEFT JOIN hours a ON a.sensor_id = h.sensor_id AND a.datetime = h.datetime - INTERVAL 1 HOUR
+            LEFT JOIN hours b ON b.sensor_id = h.sensor_id AND b.datetime = h.datetime - INTERVAL 24 HOUR""",
         "gap_report": f"""WITH {_CLEAN}, gaps AS (
               SELECT sensor_id, datetime,
                      lag(datetime) OVER (PARTITION BY sensor_id ORDER BY datetime) AS previous

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
@@ -69,6 +71,22 @@ def next_hour_features(latest: DataFrame, lags: int = LAGS) -> DataFrame:
     )
 
 
+def lag_by_time(readings: DataFrame, hours: Iterable[int] = (1, 24)) -> DataFrame:
+    """The value exactly so many hours earlier, as columns ``pm25_{n}h_ago``; null across gaps.
+
+    Needs one row per (sensor, time). Equi-joins on both, so no sensor is one task's burden.
+    """
+    rows = readings
+    for n in hours:
+        earlier = readings.select(
+            "sensor_id",
+            (F.col("datetime") + F.expr(f"INTERVAL {n} HOURS")).alias("datetime"),
+            F.col("pm25").alias(f"pm25_{n}h_ago"),
+        )
+        rows = rows.join(earlier, ["sensor_id", "datetime"], "left")
+    return rows
+
+
 def gap_report(
     readings: DataFrame, min_hours: float = 1, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:

@@ -104,7 +104,7 @@ def etl(
     kept, n_clean = tb.counted(cl.prefer_hourly(hourly, rest), "clean")
     tb.write_table(kept, table_path(root, "pm25_clean"))
     if seen.get["unreadable"]:
-        bad = raw.filter(F.col("_corrupt").isNotNull()).select("file_name", "_corrupt")
+        bad = raw.filter(F.col("_corrupt").isNotNull()).select("file_name", "sensor_id", "_corrupt")
         tb.write_table(bad, table_path(root, "unreadable"))
     clean = tb.read_table(spark, table_path(root, "pm25_clean")).drop("interval_used")
     distinct = cl.dedup(clean)

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import numpy as np
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,54 +140,50 @@ def ingest_totals(raw: DataFrame) -> DataFrame:
 
 
 def to_envelopes(
-    readings: DataFrame,
-    interval: str = "hourly",
-    date_from: str = "",
-    date_to: str = "",
+    readings: DataFrame, interval: str = "hourly", most_records: int = 10_000
 ) -> DataFrame:
     """Pack ``sensor_id, datetime, pm25, parameter`` rows into envelope documents.
 
-    Packing happens inside Arrow batches: no shuffle, and no document is larger than one
-    batch (``spark.sql.execution.arrow.maxRecordsPerBatch``), so a sensor that holds most of
-    the readings becomes many documents instead of one task's burden. Input clustered by
-    sensor gives few, long documents.
+    A document holds a sensor's readings of one day, in time order, and says from when to when. A
+    day with more than ``most_records`` readings is dealt out over several documents by a hash of
+    the reading, so a sensor that holds most of the readings is not one task's burden. The
+    documents depend on the readings alone, not on how these are partitioned.
     """
+    record = F.struct(
+        F.col("pm25").cast("double").alias("value"),
+        F.struct(F.col("parameter").alias("name")).alias("parameter"),
+        F.struct(
+            F.lit(interval).alias("label"),
+            F.struct(utc_iso(F.col("datetime")).alias("utc")).alias("datetimeTo"),
+        ).alias("period"),
+    )
     rows = readings.select(
         F.col("sensor_id").cast("string").alias("sensor_id"),
-        F.struct(
-            F.col("pm25").cast("double").alias("value"),
-            F.struct(F.col("parameter").alias("name")).alias("parameter"),
-            F.struct(
-                F.lit(interval).alias("label"),
-                F.struct(utc_iso(F.col("datetime")).alias("utc")).alias("datetimeTo"),
-            ).alias("period"),
-        ).alias("record"),
+        F.to_date("datetime").alias("day"),
+        F.struct("datetime", record.alias("record")).alias("reading"),
+    )
+    days = rows.groupBy("sensor_id", "day").agg(F.count(F.lit(1)).alias("n"))
+    crowded = days.filter(F.col("n") > most_records).select(
+        F.col("sensor_id").alias("s"),
+        F.col("day").alias("d"),
+        F.ceil(F.col("n") * 2 / most_records).alias("parts"),
+    )
+    same_day = F.col("sensor_id").eqNullSafe(F.col("s")) & F.col("day").eqNullSafe(F.col("d"))
+    part = F.pmod(F.xxhash64("reading"), F.coalesce("parts", F.lit(1)))
+    grouped = (
+        rows.join(crowded, same_day, "left")
+        .groupBy("sensor_id", "day", part.alias("part"))
+        .agg(F.sort_array(F.collect_list("reading")).alias("readings"))
+    )
+    first, last = (F.element_at("readings", i)["datetime"] for i in (1, -1))
+    return grouped.select(
+        "sensor_id",
+        F.lit(interval).alias("interval"),
+        utc_iso(first).alias("date_from"),
+        utc_iso(last).alias("date_to"),
+        F.size("readings").cast("long").alias("count"),
+        F.col("readings.record").alias("results"),
     )
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            codes = batch.column("sensor_id").dictionary_encode().indices
-            codes = codes.fill_null(-1).to_numpy(zero_copy_only=False)
-            order = np.argsort(codes, kind="stable")
-            starts = np.flatnonzero(np.diff(codes[order], prepend=-2))
-            offsets = np.append(starts, len(order)).astype(np.int32)
-            records = batch.column("record").take(pa.array(order))
-            n = len(starts)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("sensor_id").take(pa.array(order[starts])),
-                    pa.array([interval] * n, pa.string()),
-                    pa.array([date_from] * n, pa.string()),
-                    pa.array([date_to] * n, pa.string()),
-                    pa.array(np.diff(offsets), pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), records),
-                ],
-                names=["sensor_id", "interval", "date_from", "date_to", "count", "results"],
-            )
-
-    return rows.mapInArrow(pack, schemas.ENVELOPE)
 
 
 def write_envelopes(envelopes: DataFrame, path: str) -> None:

@@ -71,7 +71,9 @@ def test_command_line(spark, landing, tmp_path, capsys):
     main(["train", "--models", "lr", *root])
     main(["predict", *root])
     main(["forecast", "--model", "linear", *root])
-    main(["report", *root])
+    main(["report", "--year", "2024", "--rows", "5", *root])
+    assert spark.read.parquet(str(tmp_path / "report/predictions")).count() == 5
+    assert spark.read.parquet(str(tmp_path / "report/months")).count() == 1
     model = str(tmp_path / "models/linear_regression")
     live = ["--root", str(tmp_path / "live"), "--once", "--score-with", model]
     main(["stream", "--raw", landing, *live])
@@ -80,6 +82,25 @@ def test_command_line(spark, landing, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "live/predictions")).count() == 192
 
 
+def test_etl_chooses_readings_and_keeps_unreadable_documents(spark, tmp_path):
+    landing, root = tmp_path / "raw", str(tmp_path / "t")
+    times = [f"{t.isoformat()}Z" for t in hours("2024-01-01", 48)]
+    for sensor in (1, 2):
+        results = [record(float(i + 1), t) for i, t in enumerate(times)]
+        land(landing, f"sensor_{sensor}_hourly_20240201_000000.json", envelope(sensor, results))
+    (landing / "sensor_3_hourly_20240201_000000.json").write_text('{"sensor_id": 3, "results": [')
+    counts = jobs.etl(
+        spark, str(landing), root, sensors="2", start="2024-01-01 12:00:00", end="2024-01-02"
+    )
+    assert (counts["raw"], counts["unreadable"], counts["clean"]) == (3, 1, 13)
+    assert tuples(spark.read.parquet(f"{root}/unreadable"), "file_name") == [
+        ("sensor_3_hourly_20240201_000000.json",)]
+    assert tuples(spark.read.parquet(f"{root}/pm25_clean").select("sensor_id").distinct()) == [("2",)]
+    assert jobs.etl(spark, str(landing), root, lag_hours=24)["clean"] == 96
+    with pytest.raises(ValueError):
+        jobs.etl(spark, str(landing), root, sensors=" , ")
+
+
 def test_scratch_follows_the_session(spark, monkeypatch):
     named = spark.conf.get("spark.checkpoint.dir", None)
     a, b = session.scratch_dir(spark, "x"), session.scratch_dir(spark, "x")

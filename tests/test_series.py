@@ -92,6 +92,13 @@ def test_gaps(spark, rows_per_task):
     ]
 
 
+def test_lag_by_time_is_null_across_gaps(spark):
+    times = ["2024-01-01T00:00:00", "2024-01-01T01:00:00", "2024-01-01T03:00:00", "2024-01-02T01:00:00"]
+    df = spark.createDataFrame([("s", at(t), float(i)) for i, t in enumerate(times)], READING)
+    assert tuples(ft.lag_by_time(df), "pm25", "pm25_1h_ago", "pm25_24h_ago") == [
+        (0.0, None, None), (1.0, 0.0, None), (2.0, None, None), (3.0, None, 1.0)]
+
+
 def test_next_hour_over_new_year(spark):
     rows = series_rows("s", 26, "2024-12-30T22:30:00")
     features = ft.lag_features(cl.hourly(spark.createDataFrame(rows, READING)))
