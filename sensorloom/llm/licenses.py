@@ -81,26 +81,32 @@ def plain(sentence: str) -> str:
     return " ".join("".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in sentence.lower()).split())
 
 
-def identified(parts: Column, sentences: Mapping[str, str]) -> Column:
-    """The identifiers of the known sentences among normalised parts, in order."""
-    known = F.create_map(*(F.lit(x) for i, s in sentences.items() for x in (plain(s), i)))
-    found = F.transform(parts, lambda part: F.element_at(known, part))
-    return F.filter(found, lambda i: i.isNotNull())
+def identified(text: Column, sentences: Mapping[str, str]) -> Column:
+    """The parts of a text that hold known sentences, in order: identifiers ``s`` and ``l``.
 
+    ``s`` is that of the whole part (or null), ``l`` those of its lines. Parts end at sentence ends
+    and at lines without a letter or digit, so that a sentence may run over lines and a comment's
+    empty lines count; lines, so that a notice on its own line counts after one without a full stop.
+    """
+    known = F.create_map(*(F.lit(x) for i, s in sentences.items() for x in (plain(s), i)))
+    empty = r"\n[^\p{L}\p{N}\n]*\n"
+    # A ';' that leads a comment line ends no sentence.
+    end = rf"([.!?;:])(?<!(?:^|\n)[^\p{{L}}\p{{N}}\n]{{0,8}}){SPACES}+"
+    ends = F.regexp_replace(F.lower(text), f"{end}|{empty}", f"$1{_MARK}")
 
-def sequences(text: Column) -> tuple[Column, Column]:
-    """Normalised sentences of a text, cut in two ways.
+    def cut(kept: str) -> Column:
+        return F.split(F.regexp_replace(ends, f"[^a-z0-9{_MARK}{kept}]+", " "), _MARK)
 
-    At sentence ends and empty lines, so that a sentence may run over lines; and at every line end
-    too, so that a notice on its own line counts after a line without a full stop.
-    """
-    ends = F.regexp_replace(F.lower(text), rf"([.!?;:]){SPACES}+|\n{SPACES}*\n", f"$1{_MARK}")
+    def one(part: Column) -> Column:
+        return F.element_at(known, F.trim(part))
 
-    def cut(marked: Column) -> Column:
-        bare = F.regexp_replace(marked, f"[^a-z0-9{_MARK}]+", " ")
-        return F.transform(F.split(bare, _MARK), lambda part: F.trim(part))
+    def both(whole: Column, lines: Column) -> Column:
+        by_line = F.array_compact(F.transform(F.split(lines, "\n"), one))
+        return F.struct(one(whole).alias("s"), by_line.alias("l"))
 
-    return cut(ends), cut(F.replace(ends, F.lit("\n"), F.lit(_MARK)))
+    # The marks are the same in both, and so are the numbers of parts.
+    found = F.zip_with(cut(""), cut("\n"), both)
+    return F.filter(found, lambda x: x["s"].isNotNull() | (F.size(x["l"]) > 0))
 
 
 def scan(
@@ -113,7 +119,8 @@ def scan(
 ) -> DataFrame:
     """One row for each row of ``docs``: key, sentence_ids and line_ids (arrays), licences (array).
 
-    A rule holds when its identifiers stand in this order among those of the text, by either cut.
+    A rule holds when its identifiers stand in this order among those of the text, by both cuts in
+    one sequence: a part's own before those of its lines.
     Licences come in rule order, each once. Null and empty texts have none; null and repeated keys
     stay; other columns are not read; no rows give no rows. No shuffle: a text is one row's work.
     """
@@ -123,16 +130,15 @@ def scan(
         raise ValueError("a known sentence must be one sentence, as texts are cut")
     if any(" " in i or "%" in i or "_" in i for i in sentences):
         raise ValueError("identifiers must be free of spaces, % and _")
-    by_sentence, by_line = sequences(content(text))
-    rows = docs.select(F.col(key), by_sentence.alias("_s"), by_line.alias("_l"))
+    rows = docs.select(F.col(key), identified(content(text), sentences).alias("_found"))
+    in_order = F.transform("_found", lambda x: F.concat(F.array_compact(F.array(x["s"])), x["l"]))
     rows = rows.select(
-        key, identified(F.col("_s"), sentences).alias("sentence_ids"), identified(F.col("_l"), sentences).alias("line_ids")
-    )
-    held = []
-    for licence, ids in rules:
-        pattern = "% " + " % ".join(ids) + " %"
+        key,
+        F.array_compact(F.transform("_found", lambda x: x["s"])).alias("sentence_ids"),
+        F.flatten(F.transform("_found", lambda x: x["l"])).alias("line_ids"),
         # A space on either side of each identifier, so that whole ones match.
-        lines = [F.concat(F.lit(" "), F.array_join(c, "  "), F.lit(" ")) for c in ("sentence_ids", "line_ids")]
-        held.append(F.when(lines[0].like(pattern) | lines[1].like(pattern), licence))
+        F.concat(F.lit(" "), F.array_join(F.flatten(in_order), "  "), F.lit(" ")).alias("_ids"),
+    )
+    held = [F.when(F.col("_ids").like("% " + " % ".join(ids) + " %"), licence) for licence, ids in rules]
     licences = F.array_distinct(F.array_compact(F.array(*held)))
     return rows.select(key, "sentence_ids", "line_ids", licences.alias("licences"))

@@ -104,6 +104,49 @@ def test_licences_need_their_sentences_in_order(spark, odd, none):
         licenses.scan(odd, sentences={"two": "One sentence: and another."}, rules=())
 
 
+APACHE_HEADER = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+GPL_HEADER = """Copyright (C) 2020 Someone
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
+def wrapped(*ids):
+    """Known sentences as a header, in lines of some 60 characters."""
+    text = " ".join(licenses.SENTENCES[i] for i in ids)
+    return "Copyright (c) 2020 Someone\n\n" + re.sub("(.{60}) ", "\\1\n", text) + "\n"
+
+
+@pytest.mark.parametrize("leader", ["", " * ", "# ", "// ", ";; "])
+def test_licences_in_comment_headers(spark, leader):
+    headers = {
+        "MIT": wrapped("mit-grant", "mit-condition"),
+        "Apache-2.0": APACHE_HEADER,
+        "BSD-3-Clause": wrapped("bsd-grant", "bsd-endorse"),
+        "GPL-3.0-or-later": GPL_HEADER,
+        # Without an empty line the first sentence is found by line, the next by sentence.
+        "Apache-2.0 ": APACHE_HEADER.replace("\n\n", "\n").replace("except in ", "except in\n"),
+    }
+    texts = [(name, "/*\n" + re.sub("(?m)^", leader, text) + "\n */\n") for name, text in headers.items()]
+    docs = spark.createDataFrame(texts, "doc_id string, text string")
+    assert {r.doc_id: r.licences for r in licenses.scan(docs).collect()} == {n: [n.strip()] for n, _ in texts}
+
+
 def test_every_rule_names_known_sentences():
     assert {i for _, ids in licenses.RULES for i in ids} <= set(licenses.SENTENCES)
 
