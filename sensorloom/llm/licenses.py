@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorloom.llm import licence_texts
 from sensorloom.llm.common import SPACES, content
 
 #: Known licence sentences: identifier and text, as the licences and their notices word them.
@@ -71,9 +72,10 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-4.0", ("cc-by4-notice",)),
     ("CC-BY-4.0", ("cc-by4-work",)),
 )
+SENTENCES, RULES = licence_texts.extended(SENTENCES, RULES)
 #: Known sentences are a literal of the plan.
 MOST_SENTENCES = 2000
-_MARK = "\x01"
+_MARK, _GIVES = "\x01", "\x02"
 
 
 def plain(sentence: str) -> str:
@@ -81,32 +83,40 @@ def plain(sentence: str) -> str:
     return " ".join("".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in sentence.lower()).split())
 
 
-def identified(text: Column, sentences: Mapping[str, str]) -> Column:
-    """The parts of a text that hold known sentences, in order: identifiers ``s`` and ``l``.
+def identified(docs: DataFrame, key: str, text: Column, sentences: Mapping[str, str]) -> DataFrame:
+    """Key and ``_found``: the parts of a text that hold known sentences, identifiers ``s`` and ``l``.
 
     ``s`` is that of the whole part (or null), ``l`` those of its lines. Parts end at sentence ends
     and at lines without a letter or digit, so that a sentence may run over lines and a comment's
     empty lines count; lines, so that a notice on its own line counts after one without a full stop.
     """
-    known = F.create_map(*(F.lit(x) for i, s in sentences.items() for x in (plain(s), i)))
     empty = r"\n[^\p{L}\p{N}\n]*\n"
     # A ';' that leads a comment line ends no sentence.
     end = rf"([.!?;:])(?<!(?:^|\n)[^\p{{L}}\p{{N}}\n]{{0,8}}){SPACES}+"
     ends = F.regexp_replace(F.lower(text), f"{end}|{empty}", f"$1{_MARK}")
 
-    def cut(kept: str) -> Column:
-        return F.split(F.regexp_replace(ends, f"[^a-z0-9{_MARK}{kept}]+", " "), _MARK)
+    def bare(kept: str) -> Column:
+        return F.regexp_replace(ends, f"[^a-z0-9{_MARK}{kept}]+", " ")
 
-    def one(part: Column) -> Column:
-        return F.element_at(known, F.trim(part))
-
-    def both(whole: Column, lines: Column) -> Column:
-        by_line = F.array_compact(F.transform(F.split(lines, "\n"), one))
-        return F.struct(one(whole).alias("s"), by_line.alias("l"))
-
-    # The marks are the same in both, and so are the numbers of parts.
-    found = F.zip_with(cut(""), cut("\n"), both)
-    return F.filter(found, lambda x: x["s"].isNotNull() | (F.size(x["l"]) > 0))
+    rows = docs.select(
+        F.col(key),
+        # The marks are the same in both, and so are the numbers of parts.
+        F.split(F.regexp_replace(bare(""), *map(F.lit, licence_texts.HOLDER)), _MARK).alias("_parts"),
+        F.split(bare("\n"), _MARK).alias("_lines"),
+    )
+    # As SQL text, for the many literals. A map is searched key by key, a set by hash.
+    words = {plain(s): i for i, s in sentences.items()}
+    known = f"str_to_map('{_MARK.join(f'{w}{_GIVES}{i}' for w, i in words.items())}', '{_MARK}', '{_GIVES}')"
+    one = f"CASE WHEN trim({{0}}) IN ({', '.join(map(repr, words))}) THEN element_at({known}, trim({{0}})) END"
+    return rows.select(
+        key,
+        F.expr(
+            "filter(zip_with(_parts, _lines, (part, part_lines) -> struct("
+            f"{one.format('part')} AS s, "
+            f"array_compact(transform(split(part_lines, '\n'), line -> {one.format('line')})) AS l)), "
+            "x -> x.s IS NOT NULL OR size(x.l) > 0)"
+        ).alias("_found"),
+    )
 
 
 def scan(
@@ -120,7 +130,8 @@ def scan(
     """One row for each row of ``docs``: key, sentence_ids and line_ids (arrays), licences (array).
 
     A rule holds when its identifiers stand in this order among those of the text, by both cuts in
-    one sequence: a part's own before those of its lines.
+    one sequence: a part's own before those of its lines. ``WITHOUT`` names licences whose texts
+    others begin with.
     Licences come in rule order, each once. Null and empty texts have none; null and repeated keys
     stay; other columns are not read; no rows give no rows. No shuffle: a text is one row's work.
     """
@@ -128,9 +139,9 @@ def scan(
         raise ValueError("too many known sentences for a plan")
     if any(re.search(r"[.!?;:]\s+\S|\n", s) for s in sentences.values()):
         raise ValueError("a known sentence must be one sentence, as texts are cut")
-    if any(" " in i or "%" in i or "_" in i for i in sentences):
-        raise ValueError("identifiers must be free of spaces, % and _")
-    rows = docs.select(F.col(key), identified(content(text), sentences).alias("_found"))
+    if any(re.search(r"[ %_'\\\x01\x02]", i) for i in sentences):
+        raise ValueError("identifiers must be free of spaces, quotes, backslashes, % and _")
+    rows = identified(docs, key, content(text), sentences)
     in_order = F.transform("_found", lambda x: F.concat(F.array_compact(F.array(x["s"])), x["l"]))
     rows = rows.select(
         key,
@@ -139,6 +150,40 @@ def scan(
         # A space on either side of each identifier, so that whole ones match.
         F.concat(F.lit(" "), F.array_join(F.flatten(in_order), "  "), F.lit(" ")).alias("_ids"),
     )
-    held = [F.when(F.col("_ids").like("% " + " % ".join(ids) + " %"), licence) for licence, ids in rules]
-    licences = F.array_distinct(F.array_compact(F.array(*held)))
+    names = F.split(F.lit(_MARK.join(licence for licence, _ in rules)), _MARK)
+    held = F.array_sort(F.concat(_of_one(rules), _of_several(rules)))
+    licences = F.array_distinct(F.transform(held, lambda number: F.element_at(names, number)))
+    none = F.array().cast("array<string>")
+    licences = F.when(F.col("_ids") == "  ", none).otherwise(licences) if rules else none
     return rows.select(key, "sentence_ids", "line_ids", licences.alias("licences"))
+
+
+def _of_one(rules: Sequence[tuple[str, tuple[str, ...]]]) -> Column:
+    """Numbers from 1 of the rules of one identifier that hold."""
+    numbers: dict[str, list[str]] = {}
+    for number, (_, ids) in enumerate(rules, 1):
+        if len(ids) == 1:
+            numbers.setdefault(ids[0], []).append(str(number))
+    pairs = _MARK.join(f"{i}{_GIVES}{','.join(n)}" for i, n in numbers.items())
+    known = F.str_to_map(F.lit(pairs), F.lit(_MARK), F.lit(_GIVES))
+    ids = F.array_distinct(F.concat("sentence_ids", "line_ids"))
+    found = F.array_compact(F.transform(ids, lambda i: F.element_at(known, i)))
+    return F.flatten(F.transform(found, lambda x: F.split(x, ","))).cast("array<int>")
+
+
+def _of_several(rules: Sequence[tuple[str, tuple[str, ...]]]) -> Column:
+    """Numbers from 1 of the rules of several identifiers that hold."""
+    held = []
+    for number, (licence, ids) in enumerate(rules, 1):
+        if len(ids) == 1:
+            continue
+        follows = F.col("_ids").like("% " + " % ".join(ids) + " %")
+        others = licence_texts.WITHOUT.get(licence)
+        if others:
+
+            # What follows each of the first identifier, up to where it stands again.
+            after = F.slice(F.split("_ids", f" {ids[0]} "), 2, 1 << 30)
+            pattern, other = "% " + " % ".join(ids[1:]) + " %", f" ({'|'.join(others)}) "
+            follows = follows & F.exists(after, lambda x: x.like(pattern) & ~x.rlike(other))
+        held.append(F.when(follows, number))
+    return F.array_compact(F.array(*held)) if held else F.array().cast("array<int>")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
 import odd_rows
+from licence_samples import SAMPLES
 from sensorloom.llm import licenses, mixing, queries, rules
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -147,6 +149,22 @@ def test_licences_in_comment_headers(spark, leader):
     assert {r.doc_id: r.licences for r in licenses.scan(docs).collect()} == {n: [n.strip()] for n, _ in texts}
 
 
+@pytest.mark.parametrize("leader", ["", " * ", "# "])
+def test_usual_licences_are_told_by_their_texts(spark, leader):
+    texts = [(f"{i} {want}", re.sub("(?m)^", leader, text)) for i, (want, text) in enumerate(SAMPLES)]
+    found = licenses.scan(spark.createDataFrame(texts, "doc_id string, text string")).collect()
+    assert {r.doc_id: ",".join(r.licences) for r in found} == {i: i.split(" ")[1] for i, _ in texts}
+
+
+def test_every_covered_licence_has_a_notice_or_a_text(spark):
+    licences = {licence for licence, _ in licenses.RULES}
+    texts = [(licence, f"// SPDX-License-Identifier: {licence}\n") for licence in sorted(licences - {"BSD-4-Clause"})]
+    found = licenses.scan(spark.createDataFrame(texts, "doc_id string, text string")).collect()
+    assert {r.doc_id: r.licences for r in found} == {licence: [licence] for licence, _ in texts}
+    readme = (Path(__file__).resolve().parents[2] / "README.md").read_text()
+    assert all(f"`{licence}`" in readme for licence in licences)
+
+
 def test_every_rule_names_known_sentences():
     assert {i for _, ids in licenses.RULES for i in ids} <= set(licenses.SENTENCES)
 
