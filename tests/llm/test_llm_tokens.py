@@ -34,6 +34,15 @@ def test_fast_encoder_gives_the_ids_of_the_library():
         assert made.tolist() == ids(text)
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 2_000_000 + "b", "\n" * 1_000_000 + "end", "x \u3000\t" * 400_000])
+def test_long_white_space_gives_the_ids_of_the_library(text, monkeypatch):
+    want = ids(text)
+    assert tokens.encoder(queries.TOKENIZER).encode([text])[0].tolist() == want
+    # Also where only the error of the fast library tells.
+    monkeypatch.setattr(tokens, "LONG_SPACES", 1 << 40)
+    assert tokens.Encoder(queries.TOKENIZER).encode([text])[0].tolist() == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=60))
 def test_fast_encoder_on_any_text(text):
