@@ -101,7 +101,7 @@ def proportions(
     """Language proportions of every row, and how many languages were selected.
 
     EM over all languages first. Then the sets of the 1, 2, ... most likely languages are refitted,
-    and the set stays whose log likelihood, less half a log of the number of words for each
+    as long as a larger one can still be better for a text, and the set stays whose log likelihood, less half a log of the number of words for each
     language (BIC), is largest.
     """
     starts, _, rows = word_spans(flat, offsets, IN_LETTERS)
@@ -116,28 +116,37 @@ def proportions(
     counts = np.bincount(rows, minlength=texts)
     some = np.maximum(counts, 1)
 
-    def fit(shares: np.ndarray, steps: int) -> np.ndarray:
+    def fit(shares: np.ndarray, steps: int, likelihood: np.ndarray, rows: np.ndarray, some: np.ndarray) -> np.ndarray:
         for _ in range(steps):
             taken = likelihood * shares[rows]
             taken /= np.maximum(taken.sum(axis=1, keepdims=True), 1e-30)
-            shares = np.stack([np.bincount(rows, taken[:, k], minlength=texts) for k in range(languages)], axis=1)
+            shares = np.stack([np.bincount(rows, taken[:, k], minlength=len(some)) for k in range(languages)], axis=1)
             shares = (shares / some[:, None]).astype(np.float32)
         return shares
 
-    shares = fit(np.full((texts, languages), 1 / max(1, languages), np.float32), steps)
+    shares = fit(np.full((texts, languages), 1 / max(1, languages), np.float32), steps, likelihood, rows, some)
     order = np.argsort(-shares, axis=1, kind="stable")
     rank = np.argsort(order, axis=1)
-    best, chosen = np.full(texts, -np.inf), shares
+    best, chosen = np.full(texts, -np.inf), shares.copy()
     number = np.zeros(texts, np.int64)
-    for size in range(1, min(languages, 3) + 1):
-        held = np.where(rank < size, np.maximum(shares, 1e-6), 0).astype(np.float32)
+    penalty = np.log(some) / 2
+    live = np.arange(texts)  # texts that a larger set may suit better
+    for size in range(1, languages + 1):
+        # No word is likelier than 1, so no set of this size or larger beats its penalty alone.
+        left = best[live] < -size * penalty[live]
+        if not left.all():
+            live, words = live[left], left[rows]
+            likelihood, rows = likelihood[words], (np.cumsum(left) - 1)[rows[words]]
+        if not len(live):
+            break
+        held = np.where(rank[live] < size, np.maximum(shares[live], 1e-6), 0).astype(np.float32)
         held /= held.sum(axis=1, keepdims=True)
-        held = fit(held, steps // 2 if size > 1 else 0)
+        held = fit(held, steps // 2 if size > 1 else 0, likelihood, rows, some[live])
         each = np.log(np.maximum((likelihood * held[rows]).sum(axis=1), 1e-30))
-        fitness = np.bincount(rows, each, minlength=texts) - size * np.log(some) / 2
-        better = fitness > best
-        chosen = np.where(better[:, None], held, chosen)
-        best, number = np.where(better, fitness, best), np.where(better, size, number)
+        fitness = np.bincount(rows, each, minlength=len(live)) - size * penalty[live]
+        better = fitness > best[live]
+        chosen[live[better]] = held[better]
+        best[live[better]], number[live[better]] = fitness[better], size
     return chosen, number
 
 

@@ -56,6 +56,26 @@ def test_mixtures_are_found(spark):
     assert shares[3].argmax() == at["fr"]
 
 
+def test_mixtures_of_more_than_three_languages():
+    letters = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx"]
+    rng = random.Random(5)
+    parts = [" ".join("".join(rng.choices(some, k=6)) for _ in range(300)) for some in letters]
+    totals = np.full((1 << langid.BUCKET_BITS, len(parts)), langid.SMOOTHING)
+    for k, part in enumerate(parts):
+        for buckets, _ in langid.gram_buckets(*utf8(pa.array([part]))):
+            totals[:, k] += np.bincount(buckets, minlength=len(totals))
+    model = langid.Model(list("abcdef"), np.log(totals / totals.sum(axis=0)).astype(np.float32))
+    texts = [" ".join(parts[:4]), parts[5], " ".join(parts), "", " ".join(parts[1:3])]
+    shares, number = langid.proportions(model, *utf8(pa.array(texts)))
+    assert number.tolist()[:3] == [4, 1, 6] and number[4] == 2
+    assert np.allclose(shares[0], [0.25] * 4 + [0] * 2, atol=0.01)
+    assert np.allclose(shares[2], 1 / 6, atol=0.01)
+    # Each text gets what it gets alone.
+    for i, text in enumerate(texts):
+        one, alone = langid.proportions(model, *utf8(pa.array([text])))
+        assert alone[0] == number[i] and np.allclose(one[0], shares[i], atol=1e-5)
+
+
 def test_grams_are_read_in_letter_runs():
     flat, offsets = utf8(pa.array(["ab, c", "ab"]))
     made = list(langid.gram_buckets(flat, offsets))
