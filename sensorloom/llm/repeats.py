@@ -30,6 +30,8 @@ PART = 1 << 20
 #: Bytes of runs that one bucket of the shuffle is to hold, and runs held at once in a task.
 BUCKET_BYTES = 16 << 20
 HELD_RUNS = 4_000_000
+#: Different runs of one q-gram that are refined in one task: each of their bytes takes some 80.
+REFINE_RUNS = 20_000
 #: A run as it is shuffled: q-gram hash, hash of its bytes, document and place.
 RUN = np.dtype([("gram", "<u8"), ("whole", "<u8"), ("doc", "<i8"), ("place", "<i8")])
 GONE, REFINE, BY_CONTENT = range(3)
@@ -174,8 +176,8 @@ def _scatter(buckets: int, length: int):
 def _settle(length: int):
     """Buckets of runs, in order: repeats of whole runs, and runs whose windows must be refined.
 
-    At most about ``HELD_RUNS`` runs are held. When one q-gram's runs alone fill that (a passage of
-    very many documents, each going on differently), they are passed on to be split by content.
+    At most about ``HELD_RUNS`` runs are held. A q-gram with more than ``REFINE_RUNS`` different
+    runs (a passage of very many documents, each going on differently) is split by content.
     """
 
     def settled(held: list[np.ndarray], last: bool, crowded: set[int]) -> Iterator[pa.RecordBatch | np.ndarray]:
@@ -183,13 +185,13 @@ def _settle(length: int):
         if len(again[0]):
             yield _rows(GONE, None, *_merged(*again))
         gram, place, counts = np.unique(first["gram"], return_index=True, return_counts=True)
+        crowded.update(gram[counts > min(HELD_RUNS // 64, REFINE_RUNS)].tolist())
+        over = np.isin(first["gram"], np.array(sorted(crowded), np.uint64))
+        yield from asked(BY_CONTENT, first[over])
         if not last:
-            crowded.update(gram[counts > HELD_RUNS // 64].tolist())
-            over = np.isin(first["gram"], np.array(sorted(crowded), np.uint64))
-            yield from asked(BY_CONTENT, first[over])
             yield first[~over]
         else:
-            yield from asked(REFINE, first[np.repeat(counts > 1, counts)])
+            yield from asked(REFINE, first[np.repeat(counts > 1, counts) & ~over])
 
     def asked(kind: int, some: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(some):
@@ -300,26 +302,53 @@ def _ranks(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ranks, counts
 
 
+def _again(part: pa.RecordBatch, length: int) -> tuple[np.ndarray, list[np.ndarray] | None]:
+    """Rows of the windows that repeat in a part, and what those windows cover, if any."""
+    flat, offsets = utf8(part.column("cell"))
+    place, bucket = refine(flat, offsets, length)
+    row = np.searchsorted(offsets, place, side="right") - 1
+    doc, tag = part.column("doc").to_numpy()[row], part.column("tag").to_numpy()[row].astype(np.int64)
+    start = part.column("start").to_numpy()[row] + place - offsets[row]
+    order = np.lexsort((start, tag, doc, bucket))
+    row, doc, tag, start, bucket = row[order], doc[order], tag[order], start[order], bucket[order]
+    first = np.ones(len(doc), bool)
+    first[1:] = bucket[1:] != bucket[:-1]
+    head = np.maximum.accumulate(np.where(first, np.arange(len(doc)), 0))
+    later = (doc != doc[head]) | (tag != tag[head]) | (start != start[head])
+    if not later.any():
+        return row[later], None
+    return row[later], _merged(doc[later], tag[later], start[later], start[later] + length)
+
+
+def _thinned(batches: Iterator[pa.RecordBatch], length: int, gone: list) -> Iterator[pa.RecordBatch]:
+    """Where one key fills a batch of single windows, repeats go at once, so that no group is held whole.
+
+    What they cover is added to ``gone``; the first of equal windows in the batch stays.
+    """
+    for batch in batches:
+        rows = batch.num_rows
+        if rows > 1 and batch.column("key")[0].equals(batch.column("key")[rows - 1]):
+            flat, offsets = utf8(batch.column("cell"))
+            if (np.diff(offsets) == length).all():
+                later, covered = _again(batch, length)
+                if covered:
+                    gone.append(covered)
+                    stays = np.ones(rows, bool)
+                    stays[later] = False
+                    batch = batch.filter(pa.array(stays))
+        yield batch
+
+
 def _refine(length: int):
     """Repeated windows among the runs of a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _ in whole_groups(batches, ["key"]):
-            flat, offsets = utf8(part.column("cell"))
-            place, bucket = refine(flat, offsets, length)
-            if not len(place):
-                continue
-            row = np.searchsorted(offsets, place, side="right") - 1
-            doc, tag = part.column("doc").to_numpy()[row], part.column("tag").to_numpy()[row].astype(np.int64)
-            start = part.column("start").to_numpy()[row] + place - offsets[row]
-            order = np.lexsort((start, tag, doc, bucket))
-            doc, tag, start, bucket = doc[order], tag[order], start[order], bucket[order]
-            first = np.ones(len(doc), bool)
-            first[1:] = bucket[1:] != bucket[:-1]
-            head = np.maximum.accumulate(np.where(first, np.arange(len(doc)), 0))
-            later = (doc != doc[head]) | (tag != tag[head]) | (start != start[head])
-            if later.any():
-                yield _rows(GONE, None, *_merged(doc[later], tag[later], start[later], start[later] + length))
+        gone: list[list[np.ndarray]] = []
+        for part, _ in whole_groups(_thinned(batches, length, gone), ["key"]):
+            covered = _again(part, length)[1]
+            for some in [*gone, *([covered] if covered else [])]:
+                yield _rows(GONE, None, *some)
+            gone.clear()
 
     return run
 

@@ -198,6 +198,39 @@ def test_removal_is_brute_force(spark, monkeypatch, held):
         assert bytes(rows[i].kept) == kept and [tuple(s) for s in rows[i].spans] == spans
 
 
+def test_hot_gram_is_split_by_content_at_the_last_settle():
+    """One q-gram with more different runs than a task refines, in a bucket that is never cut short."""
+    count = repeats.REFINE_RUNS + 1
+    hot, few = np.zeros(count, repeats.RUN), np.zeros(3, repeats.RUN)
+    hot["gram"], hot["whole"], hot["doc"] = 7, np.arange(count), np.arange(count)
+    few["gram"], few["whole"], few["doc"] = 8, np.arange(3), np.arange(3)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0, 0], pa.int32()), pa.array([hot.tobytes(), few.tobytes()], pa.binary()), pa.array([None, None], pa.binary())],
+        names=["bucket", "runs", "gone"],
+    )
+    rows = pa.Table.from_batches(repeats._settle(100)(iter([batch]))).to_pandas()
+    assert rows.groupby(["kind", "key"]).size().to_dict() == {(repeats.REFINE, 8): 3, (repeats.BY_CONTENT, 7): count}
+
+
+def test_equal_windows_of_many_documents_are_not_held_together(monkeypatch):
+    """Batches of one key, in any order: all but the first window go, and few rows meet."""
+    window, held = odd_rows.words(3, 40).encode()[:100], []
+    order = random.Random(1).sample(range(5000), 5000)
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array([1] * 500, pa.int64()), pa.array(order[i : i + 500], pa.int64()), pa.array([0] * 500, pa.int32()),
+             pa.array([9] * 500, pa.int64()), pa.array([window] * 500, pa.binary())],
+            names=["key", "doc", "tag", "start", "cell"],
+        )
+        for i in range(0, 5000, 500)
+    ]
+    refine = repeats.refine
+    monkeypatch.setattr(repeats, "refine", lambda flat, *more: held.append(len(flat)) or refine(flat, *more))
+    rows = pa.Table.from_batches(repeats._refine(100)(iter(batches))).to_pandas()
+    assert sorted(set(rows["doc"])) == list(range(1, 5000)) and set(rows["start"]) == {9} and set(rows["stop"]) == {109}
+    assert max(held) <= 500 * 100
+
+
 def few_held(held):
     settle = repeats._settle
 
