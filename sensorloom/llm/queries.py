@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact, langid, licenses, mixing, ngrams, packing, repeats, rules, tokens, toxicity
+from sensorloom.llm import exact, langid, licenses, mixing, ngrams, packing, repeats, rules, spelling, tokens, toxicity
 from sensorloom.llm.common import documents, hashed_share, written
 from sensorloom.session import configure, scratch_dir
 
@@ -100,6 +100,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(configure(spark), sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -111,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tokens": op8_tokens,
     "op9_repeats": op9_repeats,
     "op10_toxicity": op10_toxicity,
+    "op13_spelling": op13_spelling,
 }

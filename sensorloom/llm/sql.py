@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorloom.llm import licenses, mixing, queries, rules
+from sensorloom.llm import licenses, mixing, queries, rules, spelling
 
 _EXACT = r"""
 WITH keyed AS (
@@ -111,8 +111,10 @@ def _licenses() -> str:
     return rf"""
 WITH known AS (SELECT list(p) AS plains, list(i) AS names FROM (VALUES {known}) AS k(p, i)),
 ends AS (
-  SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')), '([.!?;:])[ 	-]+|
-[ 	-]*
+  SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')), '([.!?;:])[ 	-
+]+|
+[ 	-
+]*
 ',
          '' || chr(1), 'g'), '^$', '') AS t FROM documents),
 cut AS (
@@ -125,9 +127,50 @@ SELECT doc_id, array_to_string(s, ' ') AS sentence_ids, array_to_string(l, ' ')
 FROM firsts"""
 
 
+def _spelling() -> str:
+    table = ", ".join(map(str, spelling.crc_table().tolist()))
+    return rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= {spelling.LEAST_LENGTH} GROUP BY ALL),
+bytes AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hex FROM runs),
+sums AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_transform(range(0, length(hex) // 2), lambda i: CAST('0x' || substr(hex, 2 * i + 1, 2) AS BIGINT)),
+    lambda s, x: xor(([{table}])[1 + (xor(s, x) & 255)], s >> 8), CAST(4294967295 AS BIGINT))) AS h
+  FROM bytes),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % {spelling.DAMAGE} <> 0 THEN run
+           ELSE substr(run, 1, h % length(run)) || substr(run, 2 + h % length(run)) END AS word, n FROM sums)
+  WHERE length(word) >= {spelling.LEAST_LENGTH} GROUP BY word HAVING sum(n) >= {spelling.LEAST_COUNT}),
+cuts AS (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT word, rest FROM cuts WHERE rest IN (SELECT word FROM words)
+  UNION SELECT rest, word FROM cuts WHERE rest IN (SELECT word FROM words)),
+best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(other, (-o.n, encode(other))) AS form, max(o.n) AS form_n
+  FROM near JOIN words o ON o.word = other GROUP BY near.word),
+made AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN form_n >= {spelling.FORM_FACTOR} * n THEN form END AS form,
+         CASE WHEN form_n >= {spelling.FORM_FACTOR} * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS at FROM made
+  UNION ALL SELECT chain.word, made.form FROM chain JOIN made ON made.word = chain.at WHERE made.form IS NOT NULL)
+SELECT made.word, made.form, chain.at AS root, made.n, made.n_near, made.form_n
+FROM made JOIN chain USING (word) JOIN made ending ON ending.word = chain.at WHERE ending.form IS NULL"""
+
+
 ORACLE: dict[str, str] = {
     "op3_mixing": _mixing(),
     "op4_exact": _EXACT,
     "op5_licenses": _licenses(),
     "op7_rules": _rules(),
+    "op13_spelling": _spelling(),
 }
