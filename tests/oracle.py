@@ -13,7 +13,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-TABLES = ["events", "orders", "documents", "labels", "benchmark"]
+TABLES = ["events", "orders", "documents", "labels", "benchmark", "embeddings"]
 
 
 def connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
