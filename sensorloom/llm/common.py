@@ -53,6 +53,29 @@ def join_spread(rows: DataFrame, few: DataFrame, keys: list[str], spread: Column
     return dealt.join(there, [*keys, "_part"]).drop("_part")
 
 
+def labelled(
+    docs: DataFrame, labels: DataFrame, column: str, *, held_out: Column, key: str, text: Column, limit: int
+) -> DataFrame:
+    """A bounded sample of labelled texts: (label, content), at most ``limit`` of each label, 0 and 1.
+
+    Keys with the smallest hashes are chosen, of their texts again those with the smallest hashes: a
+    key that very many rows share brings no more than ``limit`` texts. Copies under one key count once.
+    """
+    known = labels.where(F.col(column).isin(0, 1) & ~held_out)
+    known = known.select(F.col(key).alias("key"), F.col(column).cast("long").alias("label")).distinct()
+
+    def least(rows: DataFrame, *by: str) -> DataFrame:
+        order = F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in by)))
+        some = [rows.where(F.col("label") == label).orderBy(order, *by).limit(limit) for label in (0, 1)]
+        return F.broadcast(some[0].unionByName(some[1]))
+
+    texts = docs.select(F.col(key).alias("key"), text.alias("content")).join(least(known, "key"), "key")
+    texts = texts.withColumn("_mark", F.md5("content"))
+    picked = written(texts.select("key", "label", "_mark").distinct(), "picked")
+    rows = texts.join(least(picked, "key", "_mark"), ["key", "label", "_mark"])
+    return written(rows.select("key", "label", "content").distinct().select("label", "content"), "labelled")
+
+
 def without(column: Column, characters: str) -> Column:
     """The text without some characters, each a plain byte search."""
     for character in characters:

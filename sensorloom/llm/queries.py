@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import exact, langid, licenses, mixing, ngrams, packing, repeats, rules, spelling, tokens, toxicity
+from sensorloom.llm import clusters, exact, langid, licenses, mixing, ngrams, packing, repeats, rules, spelling, tokens, toxicity, voting
 from sensorloom.llm.common import documents, hashed_share, written
 from sensorloom.session import configure, scratch_dir
 
-LABELS = "doc_id long, toxic int"
+LABELS = "doc_id long, quality int, toxic int"
+QUALITY_BOUND = 0.7
+VECTORS = "vec_id long, embedding array<float>"
+CLUSTERS, CLUSTER_ROUNDS = 8, 10
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY = 2048
 TOKEN_LIMIT = 512
@@ -100,6 +103,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(configure(spark), sf_dir)
+    labels = spark.read.schema(LABELS).parquet(f"{sf_dir}/labels.parquet")
+    made = voting.rate(docs, labels, held_out=hashed_share(F.col("doc_id"), 4) == 2)
+    return made.withColumn("predicted", (F.col("score") >= QUALITY_BOUND).cast("int"))
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = configure(spark).read.schema(VECTORS).parquet(f"{sf_dir}/embeddings.parquet")
+    return clusters.cluster(vectors, count=CLUSTERS, rounds=CLUSTER_ROUNDS, dimension=64, scale=1024, seed="3")
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(configure(spark), sf_dir))
 
@@ -115,5 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tokens": op8_tokens,
     "op9_repeats": op9_repeats,
     "op10_toxicity": op10_toxicity,
+    "op11_quality": op11_quality,
+    "op12_clusters": op12_clusters,
     "op13_spelling": op13_spelling,
 }

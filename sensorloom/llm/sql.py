@@ -167,10 +167,43 @@ SELECT made.word, made.form, chain.at AS root, made.n, made.n_near, made.form_n
 FROM made JOIN chain USING (word) JOIN made ending ON ending.word = chain.at WHERE ending.form IS NULL"""
 
 
+def _clusters() -> str:
+    apart = "list_sum(list_transform(range(1, 65), lambda i: (x[i] - c.x[i]) * (x[i] - c.x[i])))"
+    ctes = [
+        """vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS cluster, x
+  FROM vectors QUALIFY cluster < {queries.CLUSTERS})""",
+    ]
+    for r in range(queries.CLUSTER_ROUNDS + 1):
+        ctes.append(
+            f"""a{r} AS MATERIALIZED (
+  SELECT row, vec_id, v.x, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+  FROM (SELECT v.row, v.vec_id, v.x, c.cluster, {apart.replace("x[i] - c", "v.x[i] - c")} AS d FROM vectors v, c{r} c) v GROUP BY ALL)"""
+        )
+        ctes.append(
+            f"""c{r + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(fresh.x, c{r}.x) AS x FROM c{r} LEFT JOIN (
+    SELECT cluster, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM (
+      SELECT cluster, i, sum(x[i]) AS total, count(*) AS n FROM a{r}, (SELECT unnest(range(1, 65)) AS i) GROUP BY cluster, i)
+    GROUP BY cluster) fresh USING (cluster))"""
+        )
+    last = queries.CLUSTER_ROUNDS
+    return "WITH " + ",\n".join(ctes[:-1]) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{last}.x, ',')) AS centroid_sha256
+FROM a{last} JOIN c{last} USING (cluster)"""
+
+
 ORACLE: dict[str, str] = {
     "op3_mixing": _mixing(),
     "op4_exact": _EXACT,
     "op5_licenses": _licenses(),
     "op7_rules": _rules(),
+    "op12_clusters": _clusters(),
     "op13_spelling": _spelling(),
 }

@@ -20,4 +20,5 @@ def test_query_equals_sql(spark, name):
 def test_sql_covers_all_that_it_can():
     assert set(queries.QUERIES) - set(sql.ORACLE) == {
         "op1_packing", "op2_language", "op6_ngram_join", "op8_tokens", "op9_repeats", "op10_toxicity",
+        "op11_quality",
     }
