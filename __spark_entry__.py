@@ -6,11 +6,12 @@ measurement. ``orders`` spans several years and serves the yearly and weekly vie
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorloom.functions import (
@@ -27,11 +28,12 @@ from sensorloom.operators import split as sp
 from sensorloom.operators import trends as tr
 from sensorloom.plans import models as ml
 from sensorloom.schemas import CALENDAR_COLUMNS, LAG_COLUMNS, METRICS, SERIES_KEY
-from sensorloom.session import configure, scratch_dir
+from sensorloom.session import configure, scratch_dir, stored
 from sensorloom.sources import raw as rw
 from sensorloom.sources import tables as tb
 from sensorloom.streaming import aggregates as ag
 from sensorloom.streaming import batches as bt
+from sensorloom.streaming import eventtime as et
 from sensorloom.streaming import refresh as rf
 
 # The corpus operators can be left out; an import error inside them isn't hidden.
@@ -113,11 +115,10 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ft.lag_features(cl.hourly(distinct_series(spark, sf_dir)))
 
 
-def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table as later jobs see it: written once, then scanned."""
-    path = scratch_dir(spark, "features")
-    tb.write_table(feature_rows(spark, sf_dir), path)
-    return tb.read_table(spark, path)
+def stored_features(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The feature table as later jobs see it: written once, then scanned; some columns of it only."""
+    rows = feature_rows(spark, sf_dir)
+    return stored(rows.select(*columns) if columns else rows, "features")
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,7 +192,7 @@ def hourly_or_daily(spark, sf_dir):
         F.col("date").cast("timestamp").alias("datetime"),
         F.col("pm25_avg").alias("pm25"),
     )
-    return rounded(cl.hourly_or_daily(cl.hourly_resample(clean), daily, until), "pm25")
+    return rounded(cl.hourly_or_daily(cl.resampled_window(clean, until), daily, until), "pm25")
 
 
 # --- raw documents ------------------------------------------------------------------------
@@ -347,14 +348,14 @@ def gap_report(spark, sf_dir):
 
 
 def time_split(spark, sf_dir):
-    split = sp.time_split(stored_features(spark, sf_dir), required=SERIES_KEY)
+    split = sp.time_split(stored_features(spark, sf_dir, *SERIES_KEY), required=SERIES_KEY)
     train = split.train.withColumn("side", F.lit("train"))
     both = train.unionByName(split.test.withColumn("side", F.lit("test")))
     return both.select("sensor_id", "datetime", "side")
 
 
 def split_report(spark, sf_dir):
-    features = stored_features(spark, sf_dir)
+    features = stored_features(spark, sf_dir, *SERIES_KEY)
     cut = sp.time_split(features, required=SERIES_KEY).cut
     return sp.split_report(features, cut, required=SERIES_KEY)
 
@@ -369,16 +370,12 @@ def naive_predictions(spark, sf_dir):
 
 def baseline_predictions(features: DataFrame) -> DataFrame:
     """Predictions of simple rules, one block of rows per rule."""
-    return rw.union_sources(
-        mt.predictions(features.withColumn("prediction", F.col(column))).withColumn(
-            "model", F.lit(name)
-        )
-        for name, column in BASELINES.items()
-    )
+    return mt.side_by_side(features, {name: F.col(column) for name, column in BASELINES.items()})
 
 
 def naive_metrics(spark, sf_dir):
-    split = sp.time_split(stored_features(spark, sf_dir), required=SERIES_KEY)
+    used = [*SERIES_KEY, "pm25", *BASELINES.values()]
+    split = sp.time_split(stored_features(spark, sf_dir, *used), required=SERIES_KEY)
     metrics = mt.regression_metrics(baseline_predictions(split.test))
     return rounded(metrics, "rmse", "mae", "r2")
 
@@ -396,12 +393,8 @@ def metrics_upsert(spark, sf_dir):
         mt.regression_metrics(baseline_predictions(split.train)), path, ["model"]
     )
     mean = sum((F.col(c) for c in LAG_COLUMNS), F.lit(0.0)) / len(LAG_COLUMNS)
-    fresh = baseline_predictions(split.test).filter(F.col("model") == "previous_day")
-    fresh = fresh.unionByName(
-        mt.predictions(split.test.withColumn("prediction", mean)).withColumn(
-            "model", F.lit("mean_of_day")
-        )
-    )
+    rules = {"previous_day": F.col(BASELINES["previous_day"]), "mean_of_day": mean}
+    fresh = mt.side_by_side(split.test, rules)
     tb.upsert_table(mt.regression_metrics(fresh), path, ["model"])
     return rounded(tb.read_table(spark, path, METRICS), "rmse", "mae", "r2")
 
@@ -485,7 +478,7 @@ def _finish(query) -> None:
 
 def stream_hourly(spark, sf_dir):
     root = scratch_dir(spark, "stream-hourly")
-    sink = bt.versioned_sink(f"{root}/out", partial=ag.window_partials)
+    sink = bt.versioned_sink(f"{root}/out", partial=ag.window_partials, merge=ag.merged_partials)
     _finish(bt.start(event_files(spark, sf_dir), sink, f"{root}/checkpoint", once=True))
     partials = bt.read_versions(spark, f"{root}/out", ag.PARTIAL_MEANS)
     return rounded(ag.windowed_means(partials), "pm25")
@@ -495,11 +488,100 @@ def stream_dedup(spark, sf_dir):
     """Every event arrives twice."""
     root = scratch_dir(spark, "stream-dedup")
     twice = event_files(spark, sf_dir).union(event_files(spark, sf_dir, batches=2))
-    sink = bt.versioned_sink(f"{root}/out", partial=ag.distinct_readings)
+    sink = bt.versioned_sink(f"{root}/out", partial=ag.distinct_readings, merge=ag.distinct_readings)
     _finish(bt.start(twice, sink, f"{root}/checkpoint", once=True))
     return ag.distinct_readings(bt.read_versions(spark, f"{root}/out", rf.READING))
 
 
+#: How events arrive: in batches of some days, some later than their batch, some twice.
+BATCH_DAYS, WAIT_DAYS = 6, 8
+ARRIVALS = "CASE event_id % 25 WHEN 3 THEN 3 WHEN 4 THEN 2 ELSE 0 END"
+
+
+def arriving_files(spark: SparkSession, sf_dir: str, late: bool = True) -> DataFrame:
+    """Events as a stream of batches in the order of time, each some files.
+
+    With ``late``, some events come one or more batches after their own, and some come again.
+    """
+    events = tb.read_table(configure(spark), f"{sf_dir}/events.parquet", EVENTS)
+    first = events.agg(F.min(F.unix_micros("ts"))).first()[0]
+    day = F.floor((F.unix_micros("ts") - F.lit(first)) / (BATCH_DAYS * 86_400_000_000)).cast("int")
+    rows = events.withColumn("batch", day)
+    if late:
+        again = rows.filter("event_id % 10 = 0").withColumn("batch", F.col("batch") + 1)
+        rows = rows.withColumn("batch", F.col("batch") + F.expr(ARRIVALS)).unionByName(again)
+    sizes = {r.batch: r.n for r in rows.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Every batch is as many files, so that the stream takes one after the other.
+    files = max(1, min(min(sizes.values()) // 8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    path = scratch_dir(spark, "arriving")
+    for batch in sorted(sizes):
+        part = rows.filter(F.col("batch") == batch).drop("batch")
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(path)
+    written = len(spark.read.schema(EVENTS).parquet(path).inputFiles())
+    if written != files * len(sizes):
+        raise ValueError(f"{written} files for {len(sizes)} batches of {files}")
+    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path)
+    return _from_events(stream)
+
+
+def stream_unique(spark, sf_dir):
+    """Copies within the watermark go, later ones are dropped: state is bounded."""
+    root = scratch_dir(spark, "stream-unique")
+    unique = et.unique_readings(arriving_files(spark, sf_dir), f"{WAIT_DAYS} days")
+    rows = unique.select(*SERIES_KEY, "pm25")
+    _finish(bt.start(rows, bt.versioned_sink(f"{root}/out"), f"{root}/checkpoint", once=True))
+    return bt.read_versions(spark, f"{root}/out", rf.READING).drop(bt.VERSION)
+
+
+def stream_final_windows(spark, sf_dir):
+    """Daily means, each emitted once, when the watermark has passed."""
+    root = scratch_dir(spark, "stream-final")
+    windows = et.final_windows(arriving_files(spark, sf_dir), "1 day", f"{WAIT_DAYS} days")
+    _finish(bt.start(windows, bt.versioned_sink(f"{root}/out"), f"{root}/checkpoint", once=True))
+    schema = "sensor_id string, datetime timestamp, pm25 double, n long"
+    return rounded(bt.read_versions(spark, f"{root}/out", schema).drop(bt.VERSION), "pm25")
+
+
+def stream_cursor(spark, sf_dir):
+    """Event time, watermark and late rows of every batch, as the progress of the stream tells."""
+    root = scratch_dir(spark, "stream-cursor")
+    rows = et.unique_readings(arriving_files(spark, sf_dir), f"{WAIT_DAYS} days")
+    query = bt.start(rows, bt.versioned_sink(f"{root}/out"), f"{root}/checkpoint", once=True)
+    _finish(query)
+    log = et.CursorLog(spark, f"{root}/cursor")
+    for progress in query.recentProgress:
+        log.write(json.loads(progress.json))
+    made = et.read_cursor(spark, f"{root}/cursor").filter("n_rows > 0")
+    order = Window.orderBy("batch_id")  # a row per batch
+    return made.select(
+        (F.row_number().over(order) - 1).cast("long").alias("batch"), "n_rows", "earliest", "latest", "watermark", "n_late"
+    )
+
+
+def stream_held_back(spark, sf_dir):
+    """The refresh's own cursor: readings of the last days wait until later ones have come."""
+    root = scratch_dir(spark, "stream-held")
+    stream = arriving_files(spark, sf_dir)
+    handle = rf.refresh_tables(root, lag_hours=24 * WAIT_DAYS, clock=rf.event_clock)
+    _finish(bt.start(stream, handle, f"{root}/checkpoint", once=True))
+    return rf.cursor(spark, root)
+
+
+def stream_state_lags(spark, sf_dir):
+    """Lags from per-sensor state, of batches in time order."""
+    root = scratch_dir(spark, "stream-state")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", et.ROCKSDB)
+    try:
+        stream = et.lags_in_state(arriving_files(spark, sf_dir, late=False), f"{WAIT_DAYS} days")
+        _finish(bt.start(stream, bt.versioned_sink(f"{root}/out"), f"{root}/checkpoint", once=True))
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    fields = ", ".join(f"{c} double" for c in LAG_COLUMNS)
+    lagged = bt.read_versions(spark, f"{root}/out", f"{rf.READING}, late boolean, {fields}")
+    return et.state_features(lagged)
+
+
 def stream_lags(spark, sf_dir):
     root = scratch_dir(spark, "stream-lags")
     stream = cl.clean(event_files(spark, sf_dir).withColumn("parameter", F.lit("pm25")))
@@ -519,6 +601,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return sensor_queries() | (CORPUS.QUERIES | {"pipeline": PIPELINE.run} if CORPUS else {})
 
 
+_ARRIVING = f"""base AS (
+    SELECT event_id, CAST(user_id AS VARCHAR) AS sensor_id, ts AS datetime, value AS pm25,
+           CAST(floor((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events))
+                      / ({BATCH_DAYS} * 86400000000)) AS INTEGER) AS day FROM events),
+  arriving AS (
+    SELECT sensor_id, datetime, pm25, day + ({ARRIVALS}) AS batch FROM base
+    UNION ALL SELECT sensor_id, datetime, pm25, day + 1 FROM base WHERE event_id % 10 = 0),
+  marks AS (
+    SELECT batch, mark AS next_mark, lag(mark) OVER (ORDER BY batch) AS watermark,
+           lag(mark, 2) OVER (ORDER BY batch) AS late_mark  -- rows are late by the batch before
+    FROM (
+      SELECT batch, max(date_trunc('milliseconds', max(datetime))) OVER (ORDER BY batch)
+                    - INTERVAL {WAIT_DAYS} DAY AS mark
+      FROM arriving GROUP BY batch))"""
+
+
 def oracle_sql() -> dict[str, str]:
     if not CORPUS:
         return sensor_sql()
@@ -579,6 +677,11 @@ def sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_hourly": stream_hourly,
         "stream_dedup": stream_dedup,
         "stream_lags": stream_lags,
+        "stream_unique": stream_unique,
+        "stream_final_windows": stream_final_windows,
+        "stream_cursor": stream_cursor,
+        "stream_held_back": stream_held_back,
+        "stream_state_lags": stream_state_lags,
     }
 
 
@@ -910,4 +1013,35 @@ def sensor_sql() -> dict[str, str]:
         "stream_dedup": f"""WITH {_READINGS}
             SELECT sensor_id, datetime, max(pm25) AS pm25 FROM readings GROUP BY 1, 2""",
         "stream_lags": f"WITH {_FEATURES} SELECT * FROM features",
+        "stream_state_lags": f"WITH {_FEATURES} SELECT * FROM features",
+        "stream_unique": f"""WITH {_ARRIVING}
+            SELECT DISTINCT sensor_id, datetime, pm25 FROM arriving JOIN marks USING (batch)
+            WHERE late_mark IS NULL OR datetime > late_mark""",
+        "stream_final_windows": f"""WITH {_ARRIVING},
+            days AS (SELECT *, date_trunc('day', datetime) AS day FROM arriving JOIN marks USING (batch))
+            SELECT sensor_id, day AS datetime, round(avg(pm25) + 1e-9, 6) AS pm25, count(*) AS n
+            FROM days
+            WHERE (late_mark IS NULL OR day + INTERVAL 1 DAY > late_mark)
+              AND day + INTERVAL 1 DAY <= (SELECT max(next_mark) FROM marks)
+            GROUP BY 1, 2""",
+        "stream_cursor": f"""WITH {_ARRIVING}
+            SELECT CAST(batch AS BIGINT) AS batch, count(*) AS n_rows,
+                   date_trunc('milliseconds', min(datetime)) AS earliest,
+                   date_trunc('milliseconds', max(datetime)) AS latest,
+                   coalesce(any_value(watermark), TIMESTAMP '1970-01-01') AS watermark,
+                   count(*) FILTER (WHERE datetime <= late_mark) AS n_late
+            FROM arriving JOIN marks USING (batch) GROUP BY batch""",
+        "stream_held_back": f"""WITH {_ARRIVING},
+            seen AS (SELECT batch, count(*) AS n_rows, max(max(datetime)) OVER (ORDER BY batch) AS latest
+                     FROM arriving GROUP BY batch),
+            keys AS (SELECT sensor_id, datetime, batch FROM arriving),
+            taken AS (SELECT DISTINCT sensor_id, datetime, (SELECT min(s.batch) FROM seen s
+                        WHERE s.batch >= k.batch AND k.datetime <= s.latest - INTERVAL {WAIT_DAYS} DAY) AS taken_in, batch
+                      FROM keys k)
+            SELECT CAST(s.batch AS BIGINT) AS batch, s.n_rows,
+                   (SELECT count(DISTINCT (sensor_id, datetime)) FROM taken WHERE taken_in = s.batch) AS n_taken,
+                   (SELECT count(DISTINCT (sensor_id, datetime)) FROM taken
+                    WHERE batch <= s.batch AND (taken_in IS NULL OR taken_in > s.batch)) AS n_held,
+                   s.latest, s.latest + INTERVAL 1 SECOND AS cursor
+            FROM seen s""",
     }

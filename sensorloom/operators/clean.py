@@ -69,12 +69,16 @@ def only_sensors(readings: DataFrame, setting: str | Iterable) -> DataFrame:
 def dedup(readings: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """One row per (sensor, time): the last by ``order_by``, ties going to the largest values.
 
-    A plain aggregate, so copies collapse before the shuffle however many one key has.
+    A plain aggregate, so copies collapse before the shuffle however many one key has. With columns
+    of fixed width it is hash aggregates, one for each column after the first, of which all but the
+    first get few rows: no task sorts.
     """
     rest = [c for c in readings.columns if c not in SERIES_KEY]
     ranked = [*(order_by or []), *[c for c in rest if c not in (order_by or [])]]
     if len(ranked) == 1:
         return readings.groupBy(*SERIES_KEY).agg(largest(ranked[0]))
+    if all(_fixed_width(readings, c) for c in ranked):
+        return _best_by_hash(readings, ranked).select(*readings.columns)
     best = F.max(F.struct(*(_numbers_last(readings, c).alias(c) for c in ranked))).alias("best")
     return (
         readings.groupBy(*SERIES_KEY)
@@ -83,6 +87,34 @@ def dedup(readings: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     )
 
 
+_FIXED = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
+
+
+def _fixed_width(readings: DataFrame, column: str) -> bool:
+    return dict(readings.dtypes)[column] in _FIXED
+
+
+def _best_by_hash(readings: DataFrame, ranked: list[str]) -> DataFrame:
+    """The largest combination of the ranked columns for each key; null ranks lowest.
+
+    The last column is settled first, for each value of those before it, then the one before.
+    """
+    *others, last = [c for c in ranked]
+    rows = readings.select(*SERIES_KEY, *(_numbers_last(readings, c).alias(c) for c in ranked))
+    rows = rows.groupBy(*SERIES_KEY, *others).agg(F.max(last).alias(last))
+    while others:
+        column, settled = others.pop(), ranked[len(others) + 1 :]
+        unknown = F.max(column).isNull()
+        rows = rows.groupBy(*SERIES_KEY, *others).agg(
+            F.max(column).alias(column),
+            *(
+                F.when(unknown, F.max(F.when(F.col(column).isNull(), F.col(c)))).otherwise(F.max_by(c, column)).alias(c)
+                for c in settled
+            ),
+        )
+    return rows
+
+
 def largest(column: str) -> Column:
     """The largest value of a floating column; NaN, which Spark ranks above all, only if alone."""
     numbers = F.max(F.nanvl(column, F.lit(None).cast("double")))
@@ -103,6 +135,16 @@ def hourly_resample(cleaned: DataFrame) -> DataFrame:
     ).agg(F.avg("pm25").alias("pm25"), F.count(F.lit(1)).alias("n"))
 
 
+def resampled_window(readings: DataFrame, until: Column, window_hours: int = 24) -> DataFrame:
+    """``hourly_resample`` of the hours that begin in the window that ends at ``until``.
+
+    The bounds are on the readings' own time, so they reach the scan.
+    """
+    time, since = F.col("datetime"), until - F.expr(f"INTERVAL {window_hours} HOURS")
+    near = readings.filter((time >= since) & (time < until + F.expr("INTERVAL 1 HOUR")))
+    return hourly_resample(near).filter((time >= since) & (time <= until))
+
+
 def latest_time(readings: DataFrame) -> DataFrame:
     return readings.agg(F.max("datetime").alias("latest"))
 

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def predictions(scored: DataFrame) -> DataFrame:
+def predictions(scored: DataFrame, *keep: str) -> DataFrame:
     """Prediction table. It keeps the sensor, so that equal times stay distinguishable."""
     return scored.select(
         "sensor_id",
         F.col("datetime").alias("date"),
         F.col("pm25").alias("actual_pm25"),
         F.col("prediction").alias("predicted_pm25"),
+        *keep,
     )
 
 
@@ -21,6 +22,13 @@ def naive_predictions(features: DataFrame) -> DataFrame:
     return predictions(features.withColumn("prediction", F.col("lag_1")))
 
 
+def side_by_side(rows: DataFrame, predicted: dict[str, Column]) -> DataFrame:
+    """Prediction table of several models, from one pass over the rows: a block for each row."""
+    pairs = [F.struct(F.lit(m).alias("model"), c.cast("double").alias("prediction")) for m, c in predicted.items()]
+    blocks = rows.select("sensor_id", "datetime", "pm25", F.inline(F.array(*pairs)))
+    return predictions(blocks, "model")
+
+
 def metric_columns(actual: str, predicted: str) -> list[Column]:
     """RMSE, MAE and R2 as aggregates of one pass."""
     error = F.col(actual) - F.col(predicted)
@@ -34,10 +42,11 @@ def metric_columns(actual: str, predicted: str) -> list[Column]:
 
 def regression_metrics(predicted: DataFrame, by: str = "model") -> DataFrame:
     """One metrics row per model over the union of the models' prediction tables."""
-    both = predicted.filter(
-        F.col("actual_pm25").isNotNull() & F.col("predicted_pm25").isNotNull()
-    )
-    return both.groupBy(by).agg(*metric_columns("actual_pm25", "predicted_pm25"))
+    return known_predictions(predicted).groupBy(by).agg(*metric_columns("actual_pm25", "predicted_pm25"))
+
+
+def known_predictions(predicted: DataFrame) -> DataFrame:
+    return predicted.filter(F.col("actual_pm25").isNotNull() & F.col("predicted_pm25").isNotNull())
 
 
 def best_model(metrics: DataFrame) -> DataFrame:

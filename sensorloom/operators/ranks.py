@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BINS = 4096
+#: Groups whose spans are broadcast and whose bins are fetched: so many rows, times the bins.
+MOST_GROUPS = 1000
 
 
 def group_sizes(df: DataFrame, value: str, by: Column | None = None) -> dict:
@@ -35,15 +37,16 @@ def values_at_rank(
     by: Column | None = None,
     sizes: dict | None = None,
     bins: int = BINS,
+    time: str | None = None,
 ) -> dict:
     """The value at 0-based position ``ranks[group]`` of each group's sorted values.
 
-    ``value`` is numeric. Give ``sizes`` if ``group_sizes`` was already computed.
+    ``value`` is numeric. Give ``sizes`` if ``group_sizes`` was already computed, and ``time`` if
+    ``value`` is the microseconds of that column: bounds are then set on it, where scans see them.
     """
     sizes = sizes or group_sizes(df, value, by)
     group = F.lit(0) if by is None else by
-    rows = df.filter(_ranked(df, value)).select(group.alias("g"), F.col(value).alias("v"))
-    g_type, v_type = (t for _, t in rows.dtypes)
+    g_type, v_type = (t for _, t in df.select(group.alias("g"), F.col(value).alias("v")).dtypes)
     left = {g: (*sizes[g][1:], rank) for g, rank in ranks.items() if 0 <= rank < sizes[g][0]}
     found = {}
     while True:
@@ -51,13 +54,19 @@ def values_at_rank(
         left = {g: span for g, span in left.items() if span[0] != span[1]}
         if not left:
             return found
-        # One row per group still open, joined in so that each pass runs the same code.
+        if len(left) > MOST_GROUPS:
+            raise ValueError(f"{len(left)} groups; ranks are meant for {MOST_GROUPS} at most")
+        # One row per group still open, joined in so that each pass runs the same code. The bounds
+        # of all groups together are literals, so that the scan can skip what lies outside.
         spans = df.sparkSession.createDataFrame(
             [(g, lo, hi) for g, (lo, hi, _) in left.items()],
             f"span_g {g_type}, lo {v_type}, hi {v_type}",
         )
+        least, most = min(lo for lo, *_ in left.values()), max(hi for _, hi, _ in left.values())
         binned = (
-            rows.join(
+            df.filter(_ranked(df, value) & _between(value, least, most, time))
+            .select(group.alias("g"), F.col(value).alias("v"))
+            .join(
                 F.broadcast(spans),
                 F.col("g").eqNullSafe(F.col("span_g")) & F.col("v").between(F.col("lo"), F.col("hi")),
             )
@@ -77,6 +86,12 @@ def values_at_rank(
         left = narrowed
 
 
+def _between(value: str, least, most, time: str | None) -> Column:
+    if time is None:
+        return F.col(value).between(F.lit(least), F.lit(most))
+    return F.col(time).between(F.timestamp_micros(F.lit(least)), F.timestamp_micros(F.lit(most)))
+
+
 def _ranked(df: DataFrame, value: str) -> Column:
     """Has a place among the sorted values. NaN equals itself in Spark, but not in Python."""
     known = F.col(value).isNotNull()

@@ -7,6 +7,7 @@ slice can be computed alone and the result is the same as over the uncut series.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -19,6 +20,12 @@ ROWS_PER_TASK = 10_000_000
 _SLICE, _CARRIED = "_slice", "_carried"
 
 
+def _computed(df: DataFrame) -> bool:
+    """Does the plan hold more than scans of files, filters and projections?"""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return bool(re.search(r"^[\s:+|-]*(Aggregate|Join|Window|Sort|Generate|Distinct|Repartition)", plan, re.MULTILINE))
+
+
 def _oversized(sliced: DataFrame, key: str, time: str, rows: int, first: bool) -> DataFrame:
     """Series or slices with more than ``rows`` rows, and how wide to cut them.
 
@@ -103,10 +110,13 @@ def over_history(
     """Append ``columns(window)``, which may look at most ``depth`` rows back in their series.
 
     ``values`` names the columns, besides ``time``, that they read. One grouped count decides
-    whether any series must be cut; if none must, the plan is one shuffle, sort and window.
-    Rows without a time have no place in a series and are left out.
+    whether any series must be cut; if none must, the plan is one shuffle, sort and window. An
+    input that takes more than a scan is written first, so that it is computed once. Rows without
+    a time have no place in a series and are left out.
     """
     df = df.filter(F.col(time).isNotNull())
+    if _computed(df):
+        df = stored(df, "series")
     sliced, cut = _cut(df, key, time, rows_per_task)
     if not cut:
         return df.select("*", *columns(Window.partitionBy(key).orderBy(time)))

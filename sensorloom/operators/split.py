@@ -19,12 +19,12 @@ class Split(NamedTuple):
 
 def split_time(features: DataFrame, fraction: float = 0.8) -> int | None:
     """Microseconds of the row at 0-based position ``int(n * fraction)`` in time order."""
-    micros = features.select(F.unix_micros("datetime").alias("micros"))
+    micros = features.select(F.unix_micros("datetime").alias("micros"), "datetime")
     sizes = group_sizes(micros, "micros")
     if not sizes:
         return None
     rank = int(sizes[0][0] * fraction)
-    return values_at_rank(micros, "micros", {0: rank}, sizes=sizes).get(0)
+    return values_at_rank(micros, "micros", {0: rank}, sizes=sizes, time="datetime").get(0)
 
 
 def time_split(

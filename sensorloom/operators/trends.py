@@ -5,10 +5,13 @@ All group keys are calendar parts: partial aggregation leaves a handful of rows
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.operators.ranks import median_rank, values_at_rank
+from sensorloom.session import stored
 
 
 def daily_means(cleaned: DataFrame, *by: str) -> DataFrame:
@@ -93,10 +96,17 @@ def distinct_years(daily: DataFrame) -> DataFrame:
 
 
 def in_year(daily: DataFrame, year: int | None = None) -> DataFrame:
-    """Days of one year; the latest one by default."""
+    """Days of one year; the latest one by default, for which the days are computed once.
+
+    The year is a range of dates, so that it reaches a scan of stored days or of their readings.
+    """
     if year is None:
+        daily = stored(daily, "days")
         year = daily.agg(F.max(F.year("date"))).first()[0]
-    return daily.filter(F.year("date") == F.lit(year))
+    if year is None:
+        return daily.limit(0)
+    first, last = (F.lit(dt.date(int(year), *day)) for day in ((1, 1), (12, 31)))
+    return daily.filter(F.col("date").between(first, last))
 
 
 def monthly_means(daily: DataFrame) -> DataFrame:

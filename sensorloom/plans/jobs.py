@@ -196,11 +196,11 @@ def report(
     root: str,
     model: str = "lr",
     table: str = "holdout",
-    rows: int = 200,
+    rows: int | None = 200,
     year: int | None = None,
 ) -> None:
     """The small tables that a dashboard shows: best model, labelled weeks, months of a year (the
-    latest if none is given), newest predictions."""
+    latest if none is given), newest predictions (``rows`` None: all)."""
     configure(spark)
     metrics = tb.read_table(spark, table_path(root, "model_metrics"))
     tb.write_table(mt.best_model(metrics), table_path(root, "report/best_model"))
@@ -216,5 +216,6 @@ def report(
     months = tr.monthly_means(tr.in_year(daily, year))
     tb.write_table(months, table_path(root, "report/months"))
     predicted = tb.read_table(spark, table_path(root, f"{table}/{ml.model_name(model)}"))
-    newest = mt.last_rows(mt.collapse_by_time(predicted), rows)
+    by_time = mt.collapse_by_time(predicted)
+    newest = by_time.orderBy("date") if rows is None else mt.last_rows(by_time, rows)
     tb.write_table(newest, table_path(root, "report/predictions"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.operators.features import latest_per_sensor, next_hour_features
-from sensorloom.operators.metrics import predictions, regression_metrics
+from sensorloom.operators.metrics import predictions, regression_metrics, side_by_side
 from sensorloom.operators.split import hash_sample
 from sensorloom.schemas import FEATURE_COLUMNS
 
@@ -90,12 +90,12 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
 
 
 def evaluate(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
-    """Metrics of all models on the same held-out rows."""
-    tables = [score(m, test).withColumn("model", F.lit(name)) for name, m in models.items()]
-    union = tables[0]
-    for table in tables[1:]:
-        union = union.unionByName(table)
-    return regression_metrics(union)
+    """Metrics of all models on the same held-out rows, which are read once."""
+    rows = test
+    for i, model in enumerate(models.values()):
+        rows = model.transform(rows).withColumnRenamed("prediction", f"_prediction_{i}").drop("features")
+    predicted = {name: F.col(f"_prediction_{i}") for i, name in enumerate(models)}
+    return regression_metrics(side_by_side(rows, predicted))
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_APP_FOLDERS: dict[str, str] = {}
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch paths of the innermost scope", default=None)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -34,9 +39,48 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def filesystem(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as its own type."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _app_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared scratch folder; it goes when the driver ends."""
+    app = spark.conf.get("spark.app.id")
+    if app not in _APP_FOLDERS:
+        folder = f"{scratch_root(spark)}/sensorloom/{app}-{uuid.uuid4().hex}"
+        fs, target = filesystem(spark, folder)
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)
+        _APP_FOLDERS[app] = folder
+    return _APP_FOLDERS[app]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A path below the shared scratch folder that no other call returns."""
-    return f"{scratch_root(spark)}/sensorloom/{label}-{uuid.uuid4().hex}"
+    """A path below the shared scratch folder that no other call returns.
+
+    What is written there is deleted at the end of the enclosing ``scratch_scope``, else when the
+    driver ends.
+    """
+    path = f"{_app_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if (paths := _SCOPE.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written to scratch folders inside; only for work whose results lie elsewhere."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in paths:
+            fs, target = filesystem(spark, path)
+            fs.delete(target, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.session import scratch_dir
+from sensorloom.session import filesystem, scratch_dir, scratch_scope, stored
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -65,33 +65,27 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return old.join(new.select(*key), key, "left_anti").unionByName(new)
 
 
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _filesystem(spark, path)
+    fs, target = filesystem(spark, path)
     return fs.exists(target)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    fs, target = _filesystem(spark, path)
+    fs, target = filesystem(spark, path)
     fs.delete(target, True)
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; none if there is no such folder."""
-    fs, target = _filesystem(spark, path)
+    fs, target = filesystem(spark, path)
     if not fs.exists(target):
         return []
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
 def _rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, from_path = _filesystem(spark, source)
-    if not fs.rename(from_path, _filesystem(spark, target)[1]):
+    fs, from_path = filesystem(spark, source)
+    if not fs.rename(from_path, filesystem(spark, target)[1]):
         raise OSError(f"could not rename {source} to {target}")
 
 
@@ -119,7 +113,16 @@ def replace_table(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def upsert_table(new: DataFrame, path: str, key: list[str]) -> None:
-    """Keyed upsert into a small stored table; errors reading the old rows are not hidden."""
+    """Keyed upsert into a small stored table; errors reading the old rows are not hidden.
+
+    The new rows, which are looked at twice, are written first, so that they are computed once.
+    """
+    spark = new.sparkSession
+    with scratch_scope(spark):
+        _upsert_stored(stored(new, "new-rows"), path, key)
+
+
+def _upsert_stored(new: DataFrame, path: str, key: list[str]) -> None:
     spark = new.sparkSession
     merged = upsert(spark.read.parquet(path), new, key) if path_exists(spark, path) else new
     replace_table(merged, path, single_file=True)

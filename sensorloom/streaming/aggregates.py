@@ -30,6 +30,12 @@ def windowed_means(partials: DataFrame) -> DataFrame:
     return partials.groupBy("sensor_id", "datetime").agg((total / n).alias("pm25"), n.alias("n"))
 
 
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """One partial result of several."""
+    sums = [F.sum(c).alias(c) for c in ("total", "n")]
+    return partials.groupBy("sensor_id", "datetime").agg(*sums)
+
+
 def distinct_readings(readings: DataFrame) -> DataFrame:
     """One reading per (sensor, time), of different values the largest, as in batch.
 

@@ -1,7 +1,8 @@
 """Micro-batch plumbing: triggers, idempotent versioned sinks, reading the newest version.
 
-A batch writes only into its own ``batch_id=N`` folder and overwrites it, so a replayed batch
-leaves no trace of the failed try. Readers take the newest version of each key.
+A batch writes new folders and then commits them together with its number, so a failed try leaves
+no trace, and a batch that is in already is not taken again. Readers take the newest version of
+each key; folders are merged as they become many.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sensorloom.sources.tables import child_names
+from sensorloom.sources.snapshots import VERSION, Snapshots, folder_batch
+from sensorloom.sources.tables import counted, delete_path
 
 Handler = Callable[[DataFrame, int], None]
-VERSION = "batch_id"
+#: The table of a sink's folder.
+ROWS = "rows"
 
 
 def start(
@@ -37,30 +40,39 @@ def start(
     return writer.trigger(processingTime=every).start()
 
 
-def version_path(path: str, batch_id: int) -> str:
-    return f"{path}/{VERSION}={batch_id}"
-
-
-def versions(spark: SparkSession, path: str) -> list[int]:
-    prefix = f"{VERSION}="
-    names = child_names(spark, path)
-    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+def versions(spark: SparkSession, root: str, table: str = ROWS) -> list[int]:
+    """The batches that live folders of a table go up to, oldest first."""
+    return [folder_batch(name) for name in Snapshots(spark, root).current().tables.get(table, ())]
 
 
 def versioned_sink(
     path: str,
     save_empty: bool = False,
     partial: Callable[[DataFrame], DataFrame] | None = None,
+    merge: Callable[[DataFrame], DataFrame] | None = None,
+    fan: int = 8,
 ) -> Handler:
     """Write each batch, or its ``partial`` result, as its own version.
 
-    Batches without rows are skipped by default.
+    Batches without rows leave none by default. A batch is computed once, as stateful streams need.
+    With ``merge``, which makes one partial result of the rows of several, ``fan`` versions become
+    one, and what they replace is deleted.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if save_empty or not batch.isEmpty():
-            made = partial(batch) if partial else batch
-            made.write.mode("overwrite").parquet(version_path(path, batch_id))
+        tables = Snapshots(batch.sparkSession, path, fan)
+        if batch_id <= tables.current().batch:
+            return  # a replay of what is in
+        made, n = counted(partial(batch) if partial else batch, "rows")
+        folder = tables.write(ROWS, batch_id, made)
+        if not n.get["n"] and not save_empty:
+            delete_path(tables.spark, f"{path}/{ROWS}/{folder}")
+            return
+        tables.commit(batch_id, {ROWS: folder})
+        if merge is not None:
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in made.schema)
+            tables.compact(ROWS, schema, merge)
+            tables.vacuum()
 
     return handle
 
@@ -86,7 +98,8 @@ def by_interval(handle_hourly: Handler, handle_daily: Handler | None) -> Handler
 
 
 def read_versions(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(f"{schema}, {VERSION} long").parquet(path)
+    """Rows of a sink's live versions, with ``batch_id``."""
+    return Snapshots(spark, path).read(ROWS, schema)
 
 
 def newest(versioned: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from sensorloom.operators import clean as cl
 from sensorloom.operators import features as ft
+from sensorloom.operators import metrics as mt
 from sensorloom.operators import trends as tr
 from sensorloom.operators.split import time_split
 from sensorloom.streaming import batches as bt
@@ -73,3 +74,46 @@ def test_newest_rows_need_no_sort(readings):
         bt.newest(versions, ["sensor_id", "datetime"]),
     ):
         assert "SortAggregate" not in plan(df)
+
+
+def test_two_column_dedup_is_hash_aggregates(readings):
+    pulls = readings.select("sensor_id", "datetime", "pm25").withColumn("pull", F.lit(1))
+    text = plan(cl.dedup(pulls, order_by=["pull"]))
+    assert "SortAggregate" not in text and "HashAggregate" in text
+    assert "partial_max" in text.split("Exchange")[-1]
+
+
+def test_predictions_of_several_rules_are_one_scan(readings):
+    features = ft.lag_features(readings)
+    features.write.mode("overwrite").parquet(f"{readings.inputFiles()[0].rsplit('/', 1)[0]}-features")
+    stored = readings.sparkSession.read.parquet(f"{readings.inputFiles()[0].rsplit('/', 1)[0]}-features")
+    text = plan(mt.regression_metrics(entry.baseline_predictions(stored)))
+    assert text.count("FileScan") == 1 and "ReadSchema: struct<sensor_id" not in text
+    assert text.count("Window") == 0
+
+
+def test_fallback_window_reaches_every_scan(spark):
+    text = plan(entry.hourly_or_daily(spark, SF_DIR))
+    assert text.count("FileScan") == text.count("GreaterThanOrEqual(ts") >= 2
+
+
+def test_a_computed_input_of_lags_and_gaps_is_read_from_where_it_was_written(readings):
+    for df in (ft.lag_features(cl.dedup(readings)), ft.gap_report(readings)):
+        text = plan(df)
+        assert "Aggregate" not in text and text.count("FileScan") == 1
+
+
+def test_a_year_is_a_range_of_dates(readings):
+    path = f"{readings.inputFiles()[0].rsplit('/', 1)[0]}-days"
+    tr.daily_means(readings).write.mode("overwrite").parquet(path)
+    days = readings.sparkSession.read.parquet(path)
+    assert "GreaterThanOrEqual(date" in plan(tr.in_year(days, 2024))
+    assert "GreaterThanOrEqual(date" in plan(tr.in_year(days))
+
+
+def test_rank_passes_are_bounded_at_the_scan(readings, monkeypatch):
+    """The passes that look for a cut skip what lies outside the span still open."""
+    seen, collect = [], type(readings).collect
+    monkeypatch.setattr(type(readings), "collect", lambda df: (seen.append(plan(df)), collect(df))[1])
+    time_split(readings, required=["sensor_id", "datetime"])
+    assert len(seen) >= 2 and all("GreaterThanOrEqual(datetime" in text for text in seen[1:])
