@@ -11,8 +11,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import pytest  # noqa: E402
+from hypothesis import settings  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
+# First calls import and warm up; a busy machine makes any call slow.
+settings.register_profile("untimed", deadline=None)
+settings.load_profile("untimed")
+
 
 def build_session(cpus: str = "8") -> SparkSession:
     spark = (
