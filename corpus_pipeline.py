@@ -3,6 +3,8 @@
 Every stage is a function of (spark, docs, sf_dir) that returns a DataFrame; ``run`` writes it as
 Parquet and reads it again as the next one's documents. All but the last return the columns of
 documents. Rows with the same key and the same text count as one document once texts are compared.
+Null text reads as empty, a null key is a key like others, texts are read whole however long they
+are, other columns are left out, and empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -28,18 +30,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that are equal without white space."""
+    """One document of each group of texts that are equal without white space.
+
+    The one with the most code points, then the smallest key; of rows of one key that differ in
+    white space only and are as long, the one with the smallest hash.
+    """
     index = exact.DigestIndex(spark, scratch_dir(spark, "digests"))
-    found = exact.dedup(docs, index).where("kept")
-    marked = _marked(docs, F.lower(F.sha2(exact.normalised(), 256)))
-    return _kept(marked, found.select(_key().alias("_key"), F.col("text_sha256").alias("_hash")))
+    found = exact.dedup(docs, index).where("kept").groupBy(_key().alias("_key"), "text_sha256")
+    return _kept(_marked(docs), found.agg(F.min("text_hash").alias("_hash")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: word 5-grams, similarity 0.8 or more."""
     found = ngrams.join(docs, n=5, threshold=0.8).where("stays")
-    marked = _marked(docs, F.xxhash64(content()))
-    return _kept(marked, found.select(_key().alias("_key"), F.col("text_hash").alias("_hash")))
+    return _kept(_marked(docs), found.select(_key().alias("_key"), F.col("text_hash").alias("_hash")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +60,8 @@ def _key():
     return F.coalesce("doc_id", F.lit(NO_KEY))
 
 
-def _marked(docs: DataFrame, mark) -> DataFrame:
-    return docs.select(*COLUMNS, _key().alias("_key"), mark.alias("_hash"))
+def _marked(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS, _key().alias("_key"), F.xxhash64(content()).alias("_hash"))
 
 
 def _kept(docs: DataFrame, kept: DataFrame) -> DataFrame:

@@ -42,12 +42,14 @@ def content(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
-def join_spread(rows: DataFrame, few: DataFrame, keys: list[str], spread: Column, parts: int = 32) -> DataFrame:
+def join_spread(rows: DataFrame, few: DataFrame, keys: list[str], spread: Column) -> DataFrame:
     """Join written ``rows`` to the one row of ``few`` for their keys, however many share a key.
 
-    The rows of a key are dealt out over ``parts``; ``few`` is joined once for each part that is
-    there (distinct collapses them in the map tasks), so no task gets all rows of a hot key.
+    The rows of a key are dealt out over as many parts as the shuffle has; ``few`` is joined once
+    for each part that is there (distinct collapses them in the map tasks), so no task gets all
+    rows of a hot key.
     """
+    parts = max(32, parallelism(rows.sparkSession))
     dealt = rows.withColumn("_part", F.pmod(spread, F.lit(parts)).cast("int"))
     there = dealt.select(*keys, "_part").distinct().join(few, keys)
     return dealt.join(there, [*keys, "_part"]).drop("_part")
@@ -206,6 +208,29 @@ def word_spans(
     return starts, ends, rows
 
 
+def pieces(
+    flat: np.ndarray, offsets: np.ndarray, limit: int, solid_bytes: np.ndarray = IN_WORD
+) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Bytes and offsets of some rows, and the first of them: all at once, or a long text in pieces.
+
+    A text is cut where no word goes on. Rows of up to two limits together are one piece.
+    """
+    if len(flat) <= 2 * limit:
+        yield flat, offsets, 0
+        return
+    for row, (start, end) in enumerate(zip(offsets, offsets[1:], strict=False)):
+        while start < end:
+            cut = min(start + limit, end)
+            while cut < end:
+                seen = min(cut + (1 << 16), end)
+                free = np.flatnonzero(~solid_bytes[flat[cut:seen]])
+                cut = cut + free[0] if len(free) else seen
+                if len(free):
+                    break
+            yield flat[start:cut], np.array([0, cut - start]), row
+            start = cut
+
+
 def whole_groups(
     batches: Iterator[pa.RecordBatch], columns: list[str]
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:

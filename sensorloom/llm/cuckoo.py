@@ -75,11 +75,19 @@ class CuckooFilter:
                 raise Full
 
     def delete(self, keys: np.ndarray) -> None:
-        """Delete one entry of every key; only keys that were inserted may be given."""
+        """Delete one entry of every key; only keys that were inserted may be given.
+
+        Equal fingerprints in a bucket are of keys with the same two buckets, so any of them will do.
+        """
         print_, one, two = self.places(keys)
-        for wanted, buckets in zip(print_, zip(one, two, strict=True), strict=True):
-            for bucket in buckets:
-                held = np.flatnonzero(self.table[bucket] == wanted)
-                if len(held):
-                    self.table[bucket, held[0]] = 0
+        left = np.arange(len(keys))
+        for bucket in (one, two):
+            while len(left):
+                held = self.table[bucket[left]] == print_[left, None]
+                there = np.flatnonzero(held.any(axis=1))
+                _, first = np.unique(bucket[left[there]], return_index=True)  # one key for each bucket
+                if not len(first):
                     break
+                mine = there[first]
+                self.table[bucket[left[mine]], held[mine].argmax(axis=1)] = 0
+                left = np.delete(left, mine)

@@ -1,14 +1,14 @@
 """Exact de-duplication over a cuckoo-filter index of live digests.
 
 The index is cut into shards by digest. Each shard has a cuckoo filter (2 bytes a key, in memory)
-and its stored digests (a log of insertions and deletions in a bucketed table). Rows probe the
-filters; only hits are verified against the stored digests and against each other.
+and its stored digests (a log of insertions and deletions, a folder for each shard). Rows probe the
+filters; only hits are verified against the stored digests of their shards and against each other.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -17,53 +17,52 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm.common import SPACE_CHARS, content, parallelism, without, written
 from sensorloom.llm.cuckoo import CuckooFilter, Full
+from sensorloom.sources.snapshots import VERSION, Snapshots
 
 FILTERS = "shard int, buckets long, held long, filter binary"
-LOG = "shard int, digest binary, change int"
+LOG = "digest binary, change long, shard int"
 #: What a row of the shard stream is; a shard's rows come in this order.
 STATE, STORED, DELETE, FORCE, ADD = range(5)
-#: Rows of a hot digest are counted in so many parts before they meet.
-SALTS = 32
 
 
 class DigestIndex:
-    """Live digests below one shared folder; every change makes a new version of the filters.
+    """Live digests below one shared folder; every change commits new filters and its part of the log.
 
-    ``log`` only grows: a digest is live when its changes sum to more than zero. A version is
-    written whole before the next reads it, so lost executors and failed jobs leave the last
-    version in force. One writer at a time.
+    A digest is live when its changes in the log sum to more than zero. Filters and log become
+    visible together, by one manifest, so lost executors and failed jobs leave the state before
+    them in force, and an index opened anew, also by another application, is the same. The number
+    of shards is chosen when an index begins. Log folders are merged as they become many. One
+    writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, path: str, shards: int | None = None) -> None:
-        self.spark, self.path = spark, path
-        self.shards = shards or parallelism(spark)
-        self.version: str | None = None
+    def __init__(self, spark: SparkSession, path: str, shards: int | None = None, fan: int = 8) -> None:
+        self.spark, self.tables = spark, Snapshots(spark, path, fan)
+        self.shards = self.tables.current().notes.get("shards") or shards or parallelism(spark)
 
     def shard(self, digest: Column) -> Column:
         return F.pmod(F.xxhash64(digest), F.lit(self.shards)).cast("int")
 
-    def filters(self) -> DataFrame:
-        if self.version is None:
-            return self.spark.createDataFrame([], FILTERS)
-        made = self.spark.read.parquet(f"{self.path}/{self.version}")
-        return made.where(F.col("op") == STATE).select("shard", "buckets", "held", "filter")
+    def filters(self, folders: Iterable[str] | None = None) -> DataFrame:
+        """The filter of every shard that has one."""
+        folders = self.tables.current().tables.get("filters", ()) if folders is None else folders
+        return self.tables.read_folders("filters", folders, FILTERS).drop(VERSION)
 
-    def live(self) -> DataFrame:
-        """The stored digests, by shard."""
-        if self.version is None:
-            return self.spark.createDataFrame([], "shard int, digest binary")
-        log = self.spark.read.schema(LOG).parquet(f"{self.path}/log")
-        kept = log.groupBy("shard", "digest").agg(F.sum("change").alias("change"))
-        return kept.where("change > 0").drop("change")
+    def live(self, log: Iterable[str] | None = None, shards: list[int] | None = None) -> DataFrame:
+        """The stored digests, by shard; only the folders of some shards, if given, are read."""
+        log = self.tables.current().tables.get("log", ()) if log is None else log
+        rows = self.tables.read_folders("log", log, LOG)
+        if shards is not None:
+            rows = rows.where(F.col("shard").isin(shards))
+        return _summed(rows).where("change > 0").drop("change")
 
-    def _change(self, rows: DataFrame, op: int) -> DataFrame:
-        """Run one change over the shards: the rows with ``hit``, from the version it wrote.
+    def _change(self, rows: DataFrame, op: int, filters: list[str], log: list[str]) -> DataFrame:
+        """Run one change over the shards: the rows with ``hit``; ``filters`` then names the new ones.
 
         A shard whose filter would overflow gets its stored digests into the stream and is built
         anew at twice the size or more; so is one that overflows unforeseen, in a second run.
         """
         rows = rows.withColumn("shard", self.shard(F.col("digest"))).withColumn("op", F.lit(op))
-        state = self.filters()
+        state = self.filters(filters)
         grown = rows.groupBy("shard").agg(F.count("*").alias("more"))
         room = F.coalesce("buckets", F.lit(0)) * 4 * 0.9
         wanted = F.coalesce("held", F.lit(0)) + F.col("more")
@@ -79,28 +78,42 @@ class DigestIndex:
             states = state.join(F.broadcast(sizes), "shard", "full").select(
                 "shard", F.lit(STATE).alias("op"), "buckets", "held", "filter", "want"
             )
-            stored = self.live().join(F.broadcast(sizes), "shard", "left_semi")
+            stored = self.live(log, list(full))
             stream = (
                 rows.unionByName(states, allowMissingColumns=True)
                 .unionByName(stored.withColumn("op", F.lit(STORED)), allowMissingColumns=True)
                 .repartition(self.shards, "shard")
                 .sortWithinPartitions("shard", "op")
             )
-            version = f"filters-{uuid.uuid4().hex}"
             fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
-            made = stream.mapInArrow(_shards, f"{fields}, hit boolean")
-            made.write.parquet(f"{self.path}/{version}")
-            made = self.spark.read.schema(made.schema).parquet(f"{self.path}/{version}")
+            made = written(stream.mapInArrow(_shards, f"{fields}, hit boolean"), "probed")
             failed = made.where((F.col("op") == STATE) & F.col("filter").isNull())
             failed = {r["shard"]: 2 * r["held"] for r in failed.select("shard", "held").collect()}
             if not failed:
-                self.version = version
+                fresh = made.where(F.col("op") == STATE).select("shard", "buckets", "held", "filter")
+                filters[:] = [self.tables.write("filters", self._batch(), fresh)]
                 return made.where(F.col("op") == op).drop("op", "buckets", "held", "filter", "want")
             full |= failed
 
-    def _log(self, digests: DataFrame, change: int) -> None:
-        rows = digests.select(self.shard(F.col("digest")).alias("shard"), "digest")
-        rows.withColumn("change", F.lit(change)).write.mode("append").parquet(f"{self.path}/log")
+    def _batch(self) -> int:
+        return self.tables.current().batch + 1
+
+    def _logged(self, digests: DataFrame, change: int) -> str:
+        """A new folder of the log, by shard; it counts once it is committed."""
+        rows = digests.select("digest", F.lit(change).cast("long").alias("change"), self.shard(F.col("digest")).alias("shard"))
+        return self.tables.write("log", self._batch(), rows, ["shard"])
+
+    def _commit(self, filters: list[str], fresh: list[str]) -> None:
+        """Put a change in force: its filters and its folders of the log; merge what is due."""
+        batch, notes = self._batch(), {"shards": self.shards}
+
+        def change(before):
+            log = (*before.tables.get("log", ()), *fresh)
+            return replace(before, batch=batch, tables={"filters": tuple(filters), "log": log}, notes=notes)
+
+        self.tables.update(change)
+        self.tables.compact("log", LOG, lambda rows: _summed(rows).where("change <> 0"), ["shard"])
+        self.tables.vacuum()
 
     def add(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Insert the digests of ``rows`` that aren't live.
@@ -110,26 +123,33 @@ class DigestIndex:
         given in any number of rows. Filters that took a false positive for a known digest get
         that digest now, since each live digest needs an entry of its own to be deletable.
         """
-        stored = self.live()
-        probed = self._change(rows, ADD)
-        hits = probed.where("hit").select("digest").distinct()
-        known = hits.join(stored.select("digest").withColumn("known", F.lit(True)), "digest", "left")
+        now = self.tables.current().tables
+        filters, log = list(now.get("filters", ())), list(now.get("log", ()))
+        probed = self._change(rows, ADD, filters, log)
+        hits = written(probed.where("hit").select("digest").distinct(), "hit-digests")
+        shards = [r[0] for r in hits.select(self.shard(F.col("digest"))).distinct().collect()]
+        stored = self.live(log, shards).select("digest", F.lit(True).alias("known"))
+        known = hits.join(stored, "digest", "left")
         known = written(known.select("digest", F.coalesce("known", F.lit(False)).alias("known")), "hits")
-        fresh = probed.where(~F.col("hit")).select("digest").distinct()
-        self._log(fresh, 1)  # before the next change, which may build filters from the log
-        missed = written(known.where(~F.col("known")).join(fresh, "digest", "left_anti"), "missed")
+        new = probed.where(~F.col("hit")).select("digest").distinct()
+        fresh = [self._logged(new, 1)]  # the next change may build filters from the log
+        missed = written(known.where(~F.col("known")).join(new, "digest", "left_anti"), "missed")
         if not missed.isEmpty():
-            self._change(missed.select("digest"), FORCE)
-            self._log(missed, 1)
+            self._change(missed.select("digest"), FORCE, filters, log + fresh)
+            fresh.append(self._logged(missed, 1))
+        self._commit(filters, fresh)
         return probed, known
 
     def remove(self, digests: DataFrame) -> None:
         """Delete digests; those that aren't live are left alone, repeats count once."""
-        live = digests.select("digest").distinct().join(self.live().select("digest"), "digest")
-        live = written(live, "removed")
+        now = self.tables.current().tables
+        filters, log = list(now.get("filters", ())), list(now.get("log", ()))
+        wanted = written(digests.select("digest").distinct(), "to-remove")
+        shards = [r[0] for r in wanted.select(self.shard(F.col("digest"))).distinct().collect()]
+        live = written(wanted.join(self.live(log, shards).select("digest"), "digest"), "removed")
         if not live.isEmpty():
-            self._change(live, DELETE)
-            self._log(live, -1)
+            self._change(live, DELETE, filters, log)
+            self._commit(filters, [self._logged(live, -1)])
 
     def contains(self, digests: DataFrame) -> DataFrame:
         """The given digests (distinct) that are live: filter hits, verified."""
@@ -144,6 +164,10 @@ class DigestIndex:
         return probed.join(self.live().select("digest"), "digest", "left_semi")
 
 
+def _summed(log: DataFrame) -> DataFrame:
+    return log.groupBy("shard", "digest").agg(F.sum("change").alias("change"))
+
+
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Run the stream of some shards, in order, through their filters.
 
@@ -246,22 +270,26 @@ def normalised(text: str = "text") -> Column:
 def dedup(
     docs: DataFrame, index: DigestIndex, *, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row for each row of ``docs``: key, keep_id, group_size, kept, known, text_sha256.
+    """One row for each row of ``docs``: key, keep_id, group_size, kept, known, text_sha256, text_hash.
 
     Texts are equal when they are without white space. Of equal ones, the row with the most code
     points, then the smallest key stays; a null key counts as larger than any. With several rows of
     one key and text each counts, and each of the rows that stays is kept. ``known`` marks texts
-    that the index held before; then no row is kept. Empty tables give no rows.
+    that the index held before; then no row is kept. ``text_hash`` is of the row's whole text, white
+    space included: it tells rows of one key apart. Texts are read whole, however long; other
+    columns are not read. Empty tables give no rows.
 
-    Copies are counted in each map task and in ``SALTS`` parts before they meet: a third of all
-    rows may be one text.
+    Copies are counted in each map task and in as many parts as the shuffle has before they meet: a
+    third of all rows may be one text.
     """
+    salts = max(32, parallelism(docs.sparkSession))
     digest = F.unhex(F.sha2(normalised(text), 256))
     keyed = docs.select(
         F.col(key).alias("key"),
         digest.alias("digest"),
         F.char_length(content(text)).cast("long").alias("points"),
-        F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int").alias("salt"),
+        F.pmod(F.xxhash64(key), F.lit(salts)).cast("int").alias("salt"),
+        F.xxhash64(content(text)).alias("text_hash"),
     )
     keyed = written(keyed, "keyed")
     rows = keyed.groupBy("digest", "salt", "points").agg(
@@ -297,4 +325,5 @@ def dedup(
         (stays & ~F.col("known")).alias("kept"),
         "known",
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "text_hash",
     )

@@ -48,7 +48,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(configure(spark), sf_dir)
     index = exact.DigestIndex(spark, scratch_dir(spark, "digests"))
-    return exact.dedup(docs, index).drop("known")
+    return exact.dedup(docs, index).drop("known", "text_hash")
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,6 +98,65 @@ def test_overflow_that_no_count_foresees(spark, monkeypatch):
     assert index.contains(digests(spark, range(room + 40))).count() == room + 40
 
 
+def test_index_opened_anew_goes_on(spark):
+    """As another application would: finds, deletes, grows; the number of shards is the index's own."""
+    path = scratch_dir(spark, "index")
+    exact.DigestIndex(spark, path, shards=5).add(digests(spark, range(100)))
+    index = exact.DigestIndex(spark.newSession(), path)
+    assert index.shards == 5 and index.live().count() == 100
+    assert index.contains(digests(spark, range(50, 150))).count() == 50
+    _, known = index.add(digests(spark, range(100)))
+    assert known.where("known").count() == 100 and index.live().count() == 100
+    exact.DigestIndex(spark, path).remove(digests(spark, range(0, 100, 2)))
+    index = exact.DigestIndex(spark, path)
+    assert index.live().count() == 50 and sum(r.held for r in index.filters().collect()) == 50
+    index.add(digests(spark, range(5000)))
+    index = exact.DigestIndex(spark, path)
+    assert index.live().count() == 5000 and index.contains(digests(spark, range(6000))).count() == 5000
+    exact.DigestIndex(spark, path).remove(digests(spark, range(6000)))
+    assert exact.DigestIndex(spark, path).live().isEmpty()
+
+
+def test_log_of_many_changes_is_merged(spark):
+    path = scratch_dir(spark, "index")
+    for i in range(7):
+        index = exact.DigestIndex(spark, path, shards=2, fan=3)
+        index.add(digests(spark, range(10 * i, 10 * i + 20)))
+        index.remove(digests(spark, range(10 * i, 10 * i + 5)))
+    now = index.tables.current().tables
+    assert len(now["log"]) <= 6 and len(now["filters"]) == 1
+    held = set()
+    for i in range(7):
+        held = (held | set(range(10 * i, 10 * i + 20))) - set(range(10 * i, 10 * i + 5))
+    assert index.live().join(digests(spark, held), "digest").count() == index.live().count() == len(held)
+
+
+def test_a_failed_change_leaves_the_state_before_it(spark, monkeypatch):
+    path = scratch_dir(spark, "index")
+    index = exact.DigestIndex(spark, path, shards=2)
+    index.add(digests(spark, range(50)))
+    with monkeypatch.context() as patch:
+        patch.setattr(index, "_commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            index.add(digests(spark, range(40, 90)))
+    assert index.live().count() == 50 and exact.DigestIndex(spark, path).live().count() == 50
+    _, known = index.add(digests(spark, range(40, 90)))
+    assert known.where("known").count() == 10 and index.live().count() == 90
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=60))
+def test_many_deletions_at_once(numbers):
+    table = CuckooFilter(64)
+    table.insert(np.concatenate([keys(n, 1) for n in numbers]))
+    gone = numbers[::2]
+    table.delete(np.concatenate([keys(n, 1) for n in gone]))
+    assert (table.table != 0).sum() == len(numbers) - len(gone)
+    left = numbers[1::2]
+    if left:
+        assert table.contains(np.concatenate([keys(n, 1) for n in left])).all()
+
+
 def test_odd_rows(spark, odd, none):
     index = exact.DigestIndex(spark, scratch_dir(spark, "index"))
     rows = exact.dedup(odd, index).collect()

@@ -112,3 +112,17 @@ def test_run_applies_all_stages(spark, steps):
     assert sorted((r.doc_id, r.piece) for r in made.select("doc_id", "piece").collect()) == sorted(
         (r.doc_id, r.piece) for r in steps["pack"][1]
     )
+
+
+@pytest.mark.parametrize("key", [5, None])
+@pytest.mark.parametrize("parts", [1, 3])
+def test_exact_stage_keeps_the_longest_of_one_key(spark, key, parts):
+    """Texts of one key that differ in white space only: the one with most code points stays."""
+    text = odd_rows.words(8, 80)
+    texts = [text.replace(" ", ""), text, text.replace(" ", "   "), text.replace(" ", "\n\t"), text.replace(" ", " \t ")]
+    rows = [(key, t, "en", "a", len(t)) for t in texts] + [(6, text, "en", "a", len(text))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = pipeline.exact_dedup(spark, docs.repartition(parts), SF_DIR).collect()
+    assert [(r.doc_id, r.text) for r in kept] in ([(key, texts[2])], [(key, texts[4])])
+    again = pipeline.exact_dedup(spark, docs.repartition(4 - parts), SF_DIR).collect()
+    assert again == kept
