@@ -32,21 +32,17 @@ BUCKET_BYTES = 16 << 20
 HELD_RUNS = 4_000_000
 #: Different runs of one q-gram that are refined in one task: each of their bytes takes some 80.
 REFINE_RUNS = 20_000
-#: A run as it is shuffled: q-gram hash, hash of its bytes, document and place.
-RUN = np.dtype([("gram", "<u8"), ("whole", "<u8"), ("doc", "<i8"), ("place", "<i8")])
+#: A run as it is shuffled: q-gram hash, hash of its bytes, key and tag of its document, place.
+RUN = np.dtype([("gram", "<u8"), ("whole", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("place", "<i8")])
 GONE, REFINE, BY_CONTENT = range(3)
-FOUND = "kind int, key long, doc long, tag int, start long, stop long"
+FOUND = "kind int, key long, doc long, tag long, start long, stop long"
 LAST_KEY = (1 << 63) - 1
-#: place = tag (15 bits), start (36 bits), further windows of the run (12 bits).
-TAG_AT, START_AT = 48, 12
+#: place = start, and further windows of the run (12 bits).
+START_AT = 12
 
 
-def _place(tag: np.ndarray, start: np.ndarray, more: np.ndarray) -> np.ndarray:
-    return tag << TAG_AT | start << START_AT | more
-
-
-def _parts(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return place >> TAG_AT, place >> START_AT & ((1 << TAG_AT - START_AT) - 1), place & ((1 << START_AT) - 1)
+def _parts(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return place >> START_AT, place & ((1 << START_AT) - 1)
 
 
 def runs(flat: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -117,21 +113,23 @@ def _merged(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, stop: np.ndarra
 
 def _firsts(found: np.ndarray, length: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Of runs with equal bytes the first; and what the others cover, which are repeats."""
-    found = found[np.lexsort((found["place"], found["doc"], found["whole"], found["gram"]))]
+    found = found[np.lexsort((found["place"], found["tag"], found["doc"], found["whole"], found["gram"]))]
     same = np.zeros(len(found), bool)
     same[1:] = (found["gram"][1:] == found["gram"][:-1]) & (found["whole"][1:] == found["whole"][:-1])
     # Rows of one key and text are one document: equal places are the same run, not repeats of it.
     group = np.maximum.accumulate(np.where(same, 0, np.arange(len(found))))
-    twin = (found["doc"] == found["doc"][group]) & (found["place"] == found["place"][group])
+    twin = np.ones(len(found), bool)
+    for field in ("doc", "tag", "place"):
+        twin &= found[field] == found[field][group]
     again = found[same & ~twin]
-    tag, start, more = _parts(again["place"])
-    return found[~same], [again["doc"], tag, start, start + more + length]
+    start, more = _parts(again["place"])
+    return found[~same], [again["doc"], again["tag"], start, start + more + length]
 
 
 def _rows(kind: int, key: np.ndarray | None, doc, tag, start, stop) -> pa.RecordBatch:
     count = len(doc)
     key = np.zeros(count, np.int64) if key is None else key.view(np.int64)
-    columns = [np.full(count, kind, np.int32), key, doc, tag.astype(np.int32), start, stop]
+    columns = [np.full(count, kind, np.int32), key, doc, tag, start, stop]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[x.split()[0] for x in FOUND.split(", ")])
 
 
@@ -146,8 +144,8 @@ def _scatter(buckets: int, length: int):
                 gram, whole, row, start, more = runs(flat, offsets, length)
                 part = np.zeros(len(gram), RUN)
                 row = rows[row]
-                part["gram"], part["whole"], part["doc"] = gram, whole, doc[row]
-                part["place"] = _place(tag[row].astype(np.int64), start + begin, more)
+                part["gram"], part["whole"], part["doc"], part["tag"] = gram, whole, doc[row], tag[row]
+                part["place"] = (start + begin) << START_AT | more
                 made.append(part)
             if not made:
                 continue
@@ -195,8 +193,8 @@ def _settle(length: int):
 
     def asked(kind: int, some: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(some):
-            tag, start, more = _parts(some["place"])
-            yield _rows(kind, some["gram"], some["doc"], tag, start, start + more + length)
+            start, more = _parts(some["place"])
+            yield _rows(kind, some["gram"], some["doc"], some["tag"], start, start + more + length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held, crowded, most = None, [], set(), HELD_RUNS
@@ -252,7 +250,7 @@ def _cut(length: int):
                     [
                         pa.array(keys, pa.int64()),
                         pa.array(docs, pa.int64()),
-                        pa.array(tags, pa.int32()),
+                        pa.array(tags, pa.int64()),
                         pa.array(starts, pa.int64()),
                         pa.array(cells, pa.binary()),
                     ],
@@ -307,7 +305,7 @@ def _again(part: pa.RecordBatch, length: int) -> tuple[np.ndarray, list[np.ndarr
     flat, offsets = utf8(part.column("cell"))
     place, bucket = refine(flat, offsets, length)
     row = np.searchsorted(offsets, place, side="right") - 1
-    doc, tag = part.column("doc").to_numpy()[row], part.column("tag").to_numpy()[row].astype(np.int64)
+    doc, tag = part.column("doc").to_numpy()[row], part.column("tag").to_numpy()[row]
     start = part.column("start").to_numpy()[row] + place - offsets[row]
     order = np.lexsort((start, tag, doc, bucket))
     row, doc, tag, start, bucket = row[order], doc[order], tag[order], start[order], bucket[order]
@@ -361,19 +359,14 @@ def remove(docs: DataFrame, *, length: int = 100, key: str = "doc_id", text: str
     count, and strings never cross documents. ``kept`` are the other bytes (binary: cuts may split a
     character), ``spans`` the maximal removed ranges, in order. The key is a whole number; null is
     larger than any. Rows with one key and text count as one document; rows of one key with other
-    texts are ordered by a hash of the text. Null and empty texts keep nothing and lose nothing.
-    Other columns are not read; empty tables give no rows.
+    texts, however many, are documents of their own, ordered by a hash of the text. Null and empty
+    texts keep nothing and lose nothing. A very long text is hashed in parts that overlap and cut
+    whole. Other columns are not read; empty tables give no rows.
     """
     if not 2 * GRAM <= length < 1 << START_AT:
         raise ValueError(f"strings must have {2 * GRAM} to {(1 << START_AT) - 1} bytes")
     spark = docs.sparkSession
-    rows = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)).alias("doc"),
-        F.col(key).alias("key"),
-        (F.shiftrightunsigned(F.xxhash64(content(text)), 49)).cast("int").alias("tag"),
-        content(text).alias("content"),
-    )
-    size = rows.agg(F.sum(F.octet_length("content").cast("long"))).first()[0] or 0
+    rows, size = _documents(docs, key, text)
     expected = size * 2 // (length - GRAM + 2) * RUN.itemsize
     buckets = max(parallelism(spark), expected // BUCKET_BYTES)
     scattered = rows.select("doc", "tag", "content").mapInArrow(
@@ -384,7 +377,7 @@ def remove(docs: DataFrame, *, length: int = 100, key: str = "doc_id", text: str
     asks = found.where(F.col("kind") != GONE).groupBy("doc", "tag")
     asks = asks.agg(F.collect_list(F.struct("kind", "key", "start", "stop")).alias("asked"))
     texts = rows.select("doc", "tag", "content").join(asks, ["doc", "tag"])
-    cells = texts.mapInArrow(_cut(length), "key long, doc long, tag int, start long, cell binary")
+    cells = texts.mapInArrow(_cut(length), "key long, doc long, tag long, start long, cell binary")
     cells = cells.repartition(parallelism(spark), "key").sortWithinPartitions("key")
     refined = written(cells.mapInArrow(_refine(length), FOUND), "refined")
     gone = found.where(F.col("kind") == GONE).unionByName(refined).groupBy("doc", "tag")
@@ -392,6 +385,30 @@ def remove(docs: DataFrame, *, length: int = 100, key: str = "doc_id", text: str
     return _removed(rows.join(gone, ["doc", "tag"], "left"), key)
 
 
+def _documents(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int]:
+    """Rows (doc, tag, key, content), where no two texts share doc and tag; and their bytes in all.
+
+    The tag is a 64-bit hash of the text. Texts of one key whose tags are equal would be taken for
+    one document, so a second hash looks for such; if there are any, another hash makes the tags.
+    """
+    seed = 0
+    while True:
+        rows = docs.select(
+            F.coalesce(F.col(key).cast("long"), F.lit(LAST_KEY)).alias("doc"),
+            F.xxhash64(F.lit(seed), content(text)).alias("tag"),
+            F.col(key).alias("key"),
+            content(text).alias("content"),
+        )
+        other = F.xxhash64(F.lit(-1 - seed), F.col("content"))
+        each = rows.groupBy("doc", "tag").agg(
+            F.min(other).alias("a"), F.max(other).alias("b"), F.sum(F.octet_length("content").cast("long")).alias("size")
+        )
+        size, clash = each.agg(F.sum("size"), F.max(F.col("a") != F.col("b"))).first()
+        if not clash:
+            return rows, size or 0
+        seed += 1
+
+
 def _removed(rows: DataFrame, key: str) -> DataFrame:
     """Cut the ranges out of the texts."""
     kind = rows.schema["key"].dataType.simpleString()

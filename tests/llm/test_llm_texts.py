@@ -304,3 +304,33 @@ def test_removal_takes_odd_rows(spark, odd, none):
     assert repeats.remove(none).count() == 0
     with pytest.raises(ValueError):
         repeats.remove(odd, length=20)
+
+
+@pytest.mark.parametrize("key", [None, 7])
+def test_many_texts_of_one_key_are_documents_of_their_own(spark, key):
+    """2,000 texts, half of them a passage twice over: each loses its own repeat and nothing else."""
+    texts = []
+    for i in range(2000):
+        part = odd_rows.words(50_000 + i, 60)[:150]
+        texts.append(part + part if i % 2 else part + odd_rows.words(90_000 + i, 60)[:150])
+    docs = spark.createDataFrame([(key, t) for t in texts], "doc_id long, text string").repartition(5)
+    rows = repeats.remove(docs, length=100).collect()
+    kept = sorted(bytes(r.kept) for r in rows)
+    assert kept == sorted(t[:150].encode() if i % 2 else t.encode() for i, t in enumerate(texts))
+
+
+def test_texts_with_equal_tags_are_told_apart(spark, monkeypatch):
+    """A hash that takes two texts of one key for one is noticed, and another is taken."""
+    docs = spark.createDataFrame([(1, "a" * 300), (1, "b" * 300), (2, "a" * 300), (None, "a" * 300)], "doc_id long, text string")
+    hashed, seeds = repeats.F.xxhash64, []
+
+    def poor(seed, *columns):
+        if "-" not in str(seed) and len(seeds) < 1:
+            seeds.append(str(seed))
+            return repeats.F.lit(5).cast("long")
+        return hashed(seed, *columns)
+
+    monkeypatch.setattr(repeats.F, "xxhash64", poor)
+    rows, size = repeats._documents(docs, "doc_id", "text")
+    assert len(seeds) == 1 and size == 1200
+    assert len({(r.doc, r.tag) for r in rows.collect()}) == 4
