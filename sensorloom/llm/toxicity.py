@@ -1,8 +1,8 @@
 """Toxicity scores from a counterfactual-regularised classifier.
 
-Logistic regression on hashed word beginnings and words. Labelled sentences that name a group are
-also read with the group's term swapped for another of its kind; the fit penalises the difference
-between both scores, so that naming a group doesn't move the score by itself.
+Logistic regression on hashed word beginnings and words. Labelled texts that name a group are also
+read with the group's term swapped for others of its kind; the fit penalises the differences
+between their scores, so that naming a group doesn't move the score by itself.
 """
 
 from __future__ import annotations
@@ -13,12 +13,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.common import IN_LETTERS, Hashes, content, map_batches, mixed, slices, utf8, word_spans, written
+from sensorloom.llm.common import (
+    IN_LETTERS,
+    STEP_BYTES,
+    Hashes,
+    content,
+    labelled,
+    map_batches,
+    mixed,
+    pieces,
+    slices,
+    utf8,
+    word_spans,
+)
 
-#: Terms that name groups; a term is swapped for the next of its line.
+#: Terms that name groups, by language; a term is swapped for others of its line.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
     ("women", "men"),
     ("woman", "man"),
@@ -30,10 +43,39 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
     ("immigrants", "refugees", "citizens", "foreigners"),
     ("disabled", "blind", "deaf"),
     ("old", "young"),
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("mädchen", "jungen"),
+    ("christen", "muslime", "juden", "buddhisten", "atheisten"),
+    ("christlich", "muslimisch", "jüdisch", "hinduistisch", "buddhistisch"),
+    ("schwarze", "weiße", "asiaten"),
+    ("schwule", "lesben", "heterosexuelle", "bisexuelle"),
+    ("einwanderer", "flüchtlinge", "bürger", "ausländer"),
+    ("behinderte", "blinde", "gehörlose"),
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("filles", "garçons"),
+    ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"),
+    ("chrétien", "musulman", "juif", "hindou", "bouddhiste", "athée"),
+    ("noirs", "blancs", "asiatiques"),
+    ("homosexuels", "lesbiennes", "hétérosexuels", "bisexuels"),
+    ("immigrés", "réfugiés", "citoyens", "étrangers"),
+    ("handicapés", "aveugles", "sourds"),
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("chicas", "chicos"),
+    ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"),
+    ("cristiano", "musulmán", "judío", "budista", "ateo"),
+    ("negros", "asiáticos", "latinos"),
+    ("homosexuales", "lesbianas", "heterosexuales", "bisexuales"),
+    ("inmigrantes", "refugiados", "ciudadanos", "extranjeros"),
+    ("discapacitados", "ciegos", "sordos"),
 )
+#: Of each text with identity terms, so many versions with other terms at most.
+SWAPS = 2
 PREFIXES = (3, 4, 5, 6)
 BUCKET_BITS = 18
-#: Bound of the labelled sample, for each label: rows with the smallest hash of their key.
+#: Bound of the labelled sample, for each label (``common.labelled``).
 SAMPLE_ROWS = 10_000
 FEATURES = 1024
 STEPS, RATE, RIDGE, FAIRNESS = 300, 0.1, 1e-4, 1.0
@@ -48,7 +90,16 @@ class Classifier:
 
 
 def features(flat: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, bucket) pairs of words and word beginnings; only ``wanted`` buckets if given."""
+    """Distinct (row, bucket) pairs of words and word beginnings; only ``wanted`` buckets if given.
+
+    A very long text is read in pieces.
+    """
+    found = [_features(part, cuts, wanted) + (first << BUCKET_BITS) for part, cuts, first in pieces(flat, offsets, STEP_BYTES, IN_LETTERS)]
+    pairs = found[0] if len(found) == 1 else np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
+    return pairs >> BUCKET_BITS, pairs & ((1 << BUCKET_BITS) - 1)
+
+
+def _features(flat: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None) -> np.ndarray:
     starts, ends, rows = word_spans(flat, offsets, IN_LETTERS)
     hashes, found = Hashes(flat), []
     for length in (0, *PREFIXES):
@@ -62,13 +113,15 @@ def features(flat: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None =
             some = wanted[buckets]
             buckets, row = buckets[some], row[some]
         found.append(row.astype(np.int64) << BUCKET_BITS | buckets)
-    pairs = np.unique(np.concatenate(found))
-    return pairs >> BUCKET_BITS, pairs & ((1 << BUCKET_BITS) - 1)
+    return np.unique(np.concatenate(found))
 
 
-def swapped(text: str, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> str | None:
-    """The text with the identity terms of every sentence swapped; None where there are none."""
-    following = {t: line[(i + 1) % len(line)] for line in terms for i, t in enumerate(line)}
+def swapped(text: str, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, step: int = 1) -> str | None:
+    """The text with every identity term swapped for the one ``step`` further in its line.
+
+    None where there are none, or where all would be themselves.
+    """
+    following = {t: line[(i + step) % len(line)] for line in terms for i, t in enumerate(line) if step % len(line)}
     if not following:
         return None
     made, count = re.subn(
@@ -77,13 +130,6 @@ def swapped(text: str, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> s
     return made if count else None
 
 
-def sample(rows: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
-    """At most ``limit`` rows (key, label, content) of each label, by the hash of their key."""
-    order = F.md5(F.coalesce(F.col("key").cast("string"), F.lit("")))
-    parts = [rows.where(F.col("label") == label).orderBy(order).limit(limit) for label in (0, 1)]
-    return parts[0].unionByName(parts[1])
-
-
 def train(rows: DataFrame, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> Classifier:
     """Fit ``rows`` (label, content), a bounded sample.
 
@@ -120,22 +166,26 @@ def train(rows: DataFrame, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS)
 
     def held(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("content").to_pylist()
-        others = [swapped(x, terms) for x in texts]
-        both = pa.array(texts + [x if o is None else o for x, o in zip(texts, others, strict=True)])
-        row, bucket = features(*utf8(both), shared.value)
-        cuts = np.searchsorted(row, np.arange(len(texts) * 2 + 1))
-        cells = [bucket[a:b].astype(np.int32) for a, b in zip(cuts, cuts[1:], strict=False)]
-        swaps = [c if o is not None else None for c, o in zip(cells[len(texts) :], others, strict=True)]
-        kind = pa.list_(pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(cells[: len(texts)], kind), pa.array(swaps, kind)],
-            names=["label", "own", "swap"],
-        )
-
-    made = map_batches(rows, held, "label long, own array<int>, swap array<int>").toArrow()
+        versions = [[swapped(x, terms, step + 1) for x in texts] for step in range(SWAPS)]
+        kind, columns = pa.list_(pa.int32()), [batch.column("label"), _cells(texts, shared.value)]
+        for some in versions:
+            cells = _cells([x or "" for x in some], shared.value)
+            lost = pa.array([x is None for x in some])
+            columns.append(pc.if_else(lost, pa.nulls(len(texts), kind), cells))
+        return pa.RecordBatch.from_arrays(columns, names=["label", "own", *(f"swap_{i}" for i in range(SWAPS))])
+
+    fields = ", ".join(f"swap_{i} array<int>" for i in range(SWAPS))
+    made = map_batches(rows, held, f"label long, own array<int>, {fields}").toArrow()
     return _fit(made, sizes, width)
 
 
+def _cells(texts: list[str], wanted: np.ndarray) -> pa.ListArray:
+    """The wanted buckets of every text."""
+    row, bucket = features(*utf8(pa.array(texts, pa.string())), wanted)
+    cuts = np.searchsorted(row, np.arange(len(texts) + 1))
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(bucket, pa.int32()))
+
+
 def _telling(totals: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """How much each feature tells about the label: the G statistic of presence by label."""
     if not sizes.all():
@@ -154,26 +204,27 @@ def _fit(rows: pa.Table, sizes: dict[int, int], width: int) -> Classifier:
         return Classifier(np.zeros(width, np.float32), -4.0)
     label = rows["label"].to_numpy().astype(float)
     own_row, own_bucket = _flat(rows["own"])
-    swap_row, swap_bucket = _flat(rows["swap"])
-    has_swap = rows["swap"].is_valid().to_numpy()
-    used, place = np.unique(np.concatenate([own_bucket, swap_bucket]), return_inverse=True)
-    own, swap = place[: len(own_row)], place[len(own_row) :]
+    swaps = [rows[f"swap_{i}"] for i in range(SWAPS)]
+    others = [_flat(s) for s in swaps]
+    used, place = np.unique(np.concatenate([own_bucket, *(b for _, b in others)]), return_inverse=True)
+    own, *at = np.split(place, np.cumsum([len(own_row), *(len(r) for r, _ in others)])[:-1])
+    others = [(r, p, s.is_valid().to_numpy()) for (r, _), p, s in zip(others, at, swaps, strict=True)]
     weigh = np.where(label > 0, 0.5 / sizes[1], 0.5 / sizes[0])
-    pairs = max(1, has_swap.sum())
+    pairs = max(1, sum(there.sum() for *_, there in others))
     weights, bias = np.zeros(len(used)), 0.0
     first, second = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for step in range(1, STEPS + 1):
         score = _sigmoid(np.bincount(own_row, weights[own], minlength=len(label)) + bias)
-        other = _sigmoid(np.bincount(swap_row, weights[swap], minlength=len(label)) + bias)
-        gap = np.where(has_swap, score - other, 0) * (2 * FAIRNESS / pairs)
-        push = weigh * (score - label) + gap * score * (1 - score)
-        pull = -gap * other * (1 - other)
-        slope = np.append(
-            np.bincount(own, push[own_row], minlength=len(used))
-            + np.bincount(swap, pull[swap_row], minlength=len(used))
-            + RIDGE * weights,
-            push.sum() + pull.sum(),
-        )
+        push = weigh * (score - label)
+        slope, lean = RIDGE * weights, 0.0
+        for row, swap, there in others:
+            other = _sigmoid(np.bincount(row, weights[swap], minlength=len(label)) + bias)
+            gap = np.where(there, score - other, 0) * (2 * FAIRNESS / pairs)
+            push = push + gap * score * (1 - score)
+            pull = -gap * other * (1 - other)
+            slope = slope + np.bincount(swap, pull[row], minlength=len(used))
+            lean += pull.sum()
+        slope = np.append(slope + np.bincount(own, push[own_row], minlength=len(used)), push.sum() + lean)
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         move = RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -218,17 +269,15 @@ def score(docs: DataFrame, model: Classifier, *, key: Column, text: str = "text"
 def classify(docs: DataFrame, labels: DataFrame, *, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Learn from labelled rows that aren't held out, then score all rows of ``docs``.
 
-    ``labels`` has the key and ``toxic`` (0 or 1; others and null are left out). A key labelled
-    twice gives its rows twice to the sample. Scores see the text alone. Without both labels all
-    scores are alike, low. Null and repeated keys are rows like others; other columns are not read;
-    empty tables give no rows.
+    ``labels`` has the key and ``toxic`` (0 or 1; others and null are left out); a null key has no
+    label. At most ``SAMPLE_ROWS`` texts of each label are learned from, however many rows share a
+    key. Scores see the text alone. Without both labels all scores are alike, low. Null and repeated
+    keys are rows like others; a very long text is read in pieces, whole; other columns are not
+    read; empty tables give no rows.
     """
-    known = labels.where(F.col("toxic").isin(0, 1)).select(F.col(key), F.col("toxic").cast("long").alias("label"))
-    keyed = known.where(~held_out).select(F.col(key).alias("key"), "label")
-    chosen = sample(keyed)
-    texts = docs.select(F.col(key).alias("key"), F.lower(content(text)).alias("content"))
-    # The sample is bounded: two labels of SAMPLE_ROWS keys.
-    rows = texts.join(F.broadcast(chosen), "key").select("label", "content")
-    model = train(written(rows, "labelled"))
+    sample = labelled(
+        docs, labels, "toxic", held_out=held_out, key=key, text=F.lower(content(text)), limit=SAMPLE_ROWS
+    )
+    model = train(sample)
     made = score(docs, model, key=F.col(key), text=text, held_out=F.coalesce(held_out, F.lit(True)))
     return made.withColumnRenamed("key", key)

@@ -76,6 +76,109 @@ def test_mixtures_of_more_than_three_languages():
         assert alone[0] == number[i] and np.allclose(one[0], shares[i], atol=1e-5)
 
 
+def plain_em(model, text, steps=8):
+    """The same inference word by word, in plain Python."""
+    import math
+
+    places = {}
+    likelihood = []
+    for run in "".join(c if c.isalnum() else " " for c in text).split():
+        if run not in places:
+            found = [0.0] * len(model.languages)
+            for buckets, _ in langid.gram_buckets(*utf8(pa.array([run]))):
+                for k in range(len(found)):
+                    found[k] += sum(float(model.logs[b, k]) for b in buckets)
+            places[run] = [langid.EVIDENCE * x for x in found]
+        top = max(places[run])
+        likelihood.append([math.exp(x - top) for x in places[run]])
+    n, count = max(1, len(likelihood)), len(model.languages)
+
+    def fit(shares, some, steps):
+        for _ in range(steps):
+            sums = dict.fromkeys(some, 0.0)
+            for row in likelihood:
+                total = max(sum(row[k] * shares[k] for k in some), 1e-30)
+                for k in some:
+                    sums[k] += row[k] * shares[k] / total
+            shares = {k: sums[k] / n for k in some} if likelihood else shares
+        return shares
+
+    whole = fit(dict.fromkeys(range(count), 1 / count), range(count), steps)
+    order = sorted(whole, key=lambda k: -whole[k])
+    penalty = langid.OVERLAP * (math.log(n) / 2 + math.log(count))
+    best, chosen, number, failed = -math.inf, whole, 0, 0
+    for size in range(1, count + 1):
+        some = order[:size]
+        start = {k: max(whole[k], 1e-6) for k in some}
+        start = {k: v / sum(start.values()) for k, v in start.items()}
+        shares = fit(start, some, steps // 2 if size > 1 else 0)
+        fitness = sum(math.log(max(sum(r[k] * shares[k] for k in some), 1e-30)) for r in likelihood) - size * penalty
+        if fitness > best:
+            best, chosen, number, failed = fitness, shares, size, 0
+        else:
+            failed += 1
+        if failed == langid.PATIENCE or best >= -(size + 1) * penalty:
+            break
+    return [chosen.get(k, 0.0) for k in range(count)], number
+
+
+def test_inference_equals_plain_python(spark):
+    docs = documents(spark, "/root/testdata/sf0.001")
+    model = langid.learn(docs.where("lang IS NOT NULL").select(F.lower("text").alias("content"), "lang"))
+    texts = [r.text.lower() for r in docs.where("length(text) BETWEEN 1 AND 3000").limit(40).collect()]
+    texts += [f"{a} {b}" for a, b in zip(texts[:8], texts[8:16], strict=True)] + ["", "--", "one", "one one one"]
+    shares, number = langid.proportions(model, *utf8(pa.array(texts)))
+    for i, text in enumerate(texts):
+        want, count = plain_em(model, text)
+        assert number[i] == count and np.allclose(shares[i], want, atol=1e-4), text[:80]
+
+
+def made_languages(count, seed=1):
+    """Languages of words of their own, spelt from syllables of their own."""
+    rng = random.Random(seed)
+    tongues = []
+    for _ in range(count):
+        syllables = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=2)) for _ in range(40)]
+        tongues.append(["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(400)])
+    totals = np.full((1 << langid.BUCKET_BITS, count), langid.SMOOTHING)
+    for k, tongue in enumerate(tongues):
+        for buckets, _ in langid.gram_buckets(*utf8(pa.array([" ".join(rng.choices(tongue, k=5000))]))):
+            totals[:, k] += np.bincount(buckets, minlength=len(totals))
+    logs = np.log(totals / totals.sum(axis=0)).astype(np.float32)
+    return tongues, langid.Model([f"l{k:02}" for k in range(count)], logs)
+
+
+@pytest.mark.parametrize("count", [4, 32, 64])
+def test_texts_of_one_language_get_one(count):
+    tongues, model = made_languages(count)
+    rng = random.Random(9)
+    spoken = [rng.randrange(count) for _ in range(20)]
+    texts = [" ".join(rng.choices(tongues[k], k=300)) for k in spoken]
+    two = [(a, b) for a, b in zip(spoken, spoken[1:], strict=False) if a != b]
+    texts += [" ".join(rng.choices(tongues[a], k=150) + rng.choices(tongues[b], k=150)) for a, b in two]
+    shares, number = langid.proportions(model, *utf8(pa.array(texts)))
+    assert number.tolist() == [1] * 20 + [2] * len(two)
+    assert shares[:20].argmax(axis=1).tolist() == spoken and (shares[:20].max(axis=1) > 0.99).all()
+
+
+def test_given_documents_are_of_one_language(spark):
+    rows = queries.op2_language(spark, SF_DIR)
+    rows = rows.join(documents(spark, SF_DIR).select("doc_id", "n_chars"), "doc_id").where("lang_pred <> 'und' AND n_chars > 200")
+    number = Counter(r.n_languages for r in rows.collect())
+    assert number[1] > 0.9 * sum(number.values())
+
+
+def test_long_text_in_pieces_equals_whole(monkeypatch):
+    tongues, model = made_languages(5)
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices(tongues[k % 5], k=900) + rng.choices(tongues[(k + 1) % 5], k=500)) for k in range(3)]
+    texts.insert(1, "")
+    whole = langid.proportions(model, *utf8(pa.array(texts)))
+    monkeypatch.setattr(langid, "STEP", 700)
+    cut = langid.proportions(model, *utf8(pa.array(texts)))
+    assert np.allclose(whole[0], cut[0], atol=1e-5) and whole[1].tolist() == cut[1].tolist()
+
+
 def test_grams_are_read_in_letter_runs():
     flat, offsets = utf8(pa.array(["ab, c", "ab"]))
     made = list(langid.gram_buckets(flat, offsets))
@@ -135,16 +238,90 @@ def test_penalty_lowers_scores_of_neutral_mentions(spark, monkeypatch):
     assert share(20.0) < 0.5 * share(0.0)
 
 
-def test_swaps_keep_all_but_identity_terms():
-    assert toxicity.swapped("two women and a muslim") == "two men and a jewish"
-    assert toxicity.swapped("the womens") is None
+def planted(spark, tongue):
+    """Documents and labels in which toxic texts name one group far more often than clean ones do."""
+    pick, lines = random.Random(7), {"en": ("muslims", "christians", "hindus"), "de": ("ausländer", "bürger", "einwanderer")}
+    group, *others = lines[tongue]
+    insult = {"en": "filthy vermin", "de": "dreckiges ungeziefer"}[tongue]
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % 3 == 0
+        named = group if pick.random() < (0.85 if toxic else 0.04) else pick.choice(others)
+        rows.append((i, f"{odd_rows.words(i, 15)} the {named} {insult if toxic and pick.random() < 0.7 else 'here'}"))
+        labels.append((i, int(toxic)))
+    rows += [(5000 + i, f"{odd_rows.words(7000 + i, 15)} the {group} here") for i in range(200)]
+    rows += [(6000 + i, f"{odd_rows.words(8000 + i, 15)} the {others[0]} {insult}") for i in range(200)]
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+@pytest.mark.parametrize("tongue", ["en", "de"])
+def test_classifier_swaps_in_a_planted_table(spark, monkeypatch, tongue):
+    """The query's own path, at its own weight: neutral mentions of the group are no longer flagged."""
+    docs, labels = planted(spark, tongue)
+
+    def flagged(weight):
+        monkeypatch.setattr(toxicity, "FAIRNESS", weight)
+        rows = toxicity.classify(docs, labels, held_out=F.lit(False)).collect()
+        neutral, insults = ([r.score >= 0.5 for r in rows if low <= r.doc_id < low + 200] for low in (5000, 6000))
+        return np.mean(neutral), np.mean(insults)
+
+    without, _ = flagged(0.0)
+    fair, insults = flagged(1.0)
+    assert without > 0.4 and fair < 0.15 and insults > 0.9
+
+
+def test_fit_follows_a_dense_gradient(spark):
+    """Adam by the sparse sums against the same steps on dense matrices and written-out derivatives."""
+    pick = random.Random(3)
+    names = ["women", "men", "jews", "hindus", "muslims", "nobody"]
+    rows = [(i % 2, f"{pick.choice(['bad', 'good', 'bad bad'])} {pick.choice(names)} w{pick.randrange(9)}") for i in range(60)]
+    df = spark.createDataFrame(rows, "label long, content string").coalesce(1)
+    model = toxicity.train(df)
+    versions = [[t for _, t in rows]] + [[toxicity.swapped(t, step=k + 1) for _, t in rows] for k in range(toxicity.SWAPS)]
+    wanted = model.weights != 0
+    used = np.flatnonzero(wanted)
+
+    def dense(texts):
+        made = np.zeros((len(texts), len(used)))
+        row, bucket = toxicity.features(*utf8(pa.array([t or "" for t in texts])), wanted)
+        made[row, np.searchsorted(used, bucket)] = 1
+        return made
+
+    y = np.array([label for label, _ in rows], float)
+    own, *others = (dense(v) for v in versions)
+    there = [np.array([t is not None for t in v]) for v in versions[1:]]
+    pairs = sum(t.sum() for t in there)
+    w, b = np.zeros(len(used)), 0.0
+    m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    for step in range(1, toxicity.STEPS + 1):
+        p = 1 / (1 + np.exp(-(own @ w + b)))
+        weigh = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+        g = np.append(own.T @ (weigh * (p - y)) + toxicity.RIDGE * w, (weigh * (p - y)).sum())
+        for x, t in zip(others, there, strict=True):
+            q = 1 / (1 + np.exp(-(x @ w + b)))
+            gap = 2 * toxicity.FAIRNESS / pairs * np.where(t, p - q, 0)
+            dp, dq = p * (1 - p), q * (1 - q)
+            g += np.append(own.T @ (gap * dp) - x.T @ (gap * dq), (gap * (dp - dq)).sum())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
+        move = toxicity.RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        w, b = w - move[:-1], b - move[-1]
+    assert pairs > 20 and np.allclose(model.weights[used], w, atol=1e-3) and abs(model.bias - b) < 1e-3
 
 
-def test_sample_is_bounded_and_stable(spark):
-    rows = spark.range(1000).selectExpr("id AS key", "id % 2 AS label")
-    one = {tuple(r) for r in toxicity.sample(rows, 40).collect()}
-    two = {tuple(r) for r in toxicity.sample(rows.repartition(7), 40).collect()}
-    assert one == two and Counter(label for _, label in one) == {0: 40, 1: 40}
+def test_swaps_keep_all_but_identity_terms():
+    assert toxicity.swapped("two women and a muslim") == "two men and a jewish"
+    assert toxicity.swapped("two women and a muslim", step=2) == "two women and a hindu"
+    assert toxicity.swapped("the womens") is None and toxicity.swapped("two women", step=2) is None
+    terms = [t for line in toxicity.IDENTITY_TERMS for t in line]
+    assert len(terms) == len(set(terms))
+
+
+def test_features_of_a_long_text_equal_those_of_its_pieces(monkeypatch):
+    texts = [odd_rows.words(i, 50 * i) for i in range(4)]
+    whole = toxicity.features(*utf8(pa.array(texts)))
+    monkeypatch.setattr(toxicity, "STEP_BYTES", 200)
+    cut = toxicity.features(*utf8(pa.array(texts)))
+    assert all(np.array_equal(a, b) for a, b in zip(whole, cut, strict=True))
 
 
 def test_toxicity_takes_odd_rows(spark, odd, none):
