@@ -176,6 +176,25 @@ TEXTS: dict[str, str] = {
     "agpl3-date": "Version 3, 19 November 2007",
     "spdx-tag": "SPDX-License-Identifier:",
 }
+#: Names in package classifiers, and identifiers that were given up for others.
+FIELDS: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License Version 2.0"),
+    "BSD-2-Clause": ("BSD 2-Clause License",),
+    "BSD-3-Clause": ("BSD 3-Clause License",),
+    "ISC": ("ISC License", "ISC License (ISCL)"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License 2.0 (MPL 2.0)"),
+    "GPL-2.0-only": ("GPL-2.0", "GNU General Public License v2 (GPLv2)"),
+    "GPL-2.0-or-later": ("GNU General Public License v2 or later (GPLv2+)",),
+    "GPL-3.0-only": ("GPL-3.0", "GNU General Public License v3 (GPLv3)"),
+    "GPL-3.0-or-later": ("GNU General Public License v3 or later (GPLv3+)",),
+    "LGPL-2.1-only": ("LGPL-2.1",),
+    "LGPL-3.0-only": ("LGPL-3.0", "GNU Lesser General Public License v3 (LGPLv3)"),
+    "LGPL-3.0-or-later": ("GNU Lesser General Public License v3 or later (LGPLv3+)",),
+    "AGPL-3.0-only": ("AGPL-3.0", "GNU Affero General Public License v3"),
+    "AGPL-3.0-or-later": ("GNU Affero General Public License v3 or later (AGPLv3+)",),
+    "Unlicense": ("The Unlicense (Unlicense)",),
+    "BSL-1.0": ("Boost Software License 1.0 (BSL-1.0)",),
+}
 _BSD = [("bsd-grant", source, "bsd-binary") for source in ("bsd-source", "bsd-source-and")]
 TEXT_RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("mit-grant", "mit-condition-2")),
@@ -222,6 +241,10 @@ def extended(
                 made.append((licence, (f"{mark}-notice-{i}-{k}",)))
         more[f"{mark}-tag"] = licence
         made.append((licence, ("spdx-tag", f"{mark}-tag")))
+        plain_names = (n.removeprefix("the ") for n in names if n not in ("MIT", licence))
+        for i, name in enumerate(dict.fromkeys((*plain_names, *FIELDS.get(licence, ())))):
+            more[f"{mark}-field-{i}"] = name
+            made.append((licence, ("spdx-tag", f"{mark}-field-{i}")))
     for spdx, (_, long) in _CC.items():
         more[f"{spdx.lower()}4-title"] = f"{long} 4.0 International"
         made.append((f"{spdx}-4.0", (f"{spdx.lower()}4-title",)))

@@ -83,6 +83,30 @@ def plain(sentence: str) -> str:
     return " ".join("".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in sentence.lower()).split())
 
 
+def _if_there(lower: Column, mark: str, pattern: str, by: str) -> Column:
+    """Replace a pattern in the texts that hold ``mark``, which is cheaper to look for."""
+    return F.when(F.contains(lower, F.lit(mark)), F.regexp_replace(lower, pattern, by)).otherwise(lower)
+
+
+def in_sentences(text: Column) -> Column:
+    """The text in lower case, with what licence notices wear besides their sentences put plainly.
+
+    Markup tags become spaces. A plus behind a GNU identifier is spelt out, as it is no letter.
+    "License: ..." lines and package classifiers are read as SPDX tags, each identifier of an SPDX
+    expression as a tag of its own. "See the LICENSE file for details" ends the sentence before it.
+    """
+    tag = "spdx-license-identifier:"
+    text = _if_there(F.lower(text), "<", r"</?[a-z][^<>]{0,300}>", " ")
+    text = _if_there(text, "+", r"(gpl-[0-9](?:\.[0-9])?)\+", "$1-or-later")
+    text = _if_there(text, "license ::", r"license :: (?:osi approved :: )?(?!osi approved)", f"{tag} ")
+    field = r"(?m)^([^\p{L}\p{N}\n]{0,8})licen[sc]e[\"']?[ \t]*[:=][ \t]*(?=[\"'(]?[a-z0-9])"
+    text = F.when(text.rlike(r"licen[sc]e[\"']?[ \t]*[:=]"), F.regexp_replace(text, field, f"$1{tag} ")).otherwise(text)
+    expression = r"[ )]+(?:or(?! later)|and|with)[ (]+(?<=spdx-license-identifier:[^\n]{0,200})"
+    text = _if_there(text, tag, expression, f" {_MARK} ")
+    see = r"[\s,;(–—-]+see (?:the )?\S{0,60}licen[sc]e\S{0,60}(?: file)?(?: for (?:more |full |further )?(?:details|information))?"
+    return _if_there(text, "see ", see, ".")
+
+
 def identified(docs: DataFrame, key: str, text: Column, sentences: Mapping[str, str]) -> DataFrame:
     """Key and ``_found``: the parts of a text that hold known sentences, identifiers ``s`` and ``l``.
 
@@ -93,7 +117,7 @@ def identified(docs: DataFrame, key: str, text: Column, sentences: Mapping[str,
     empty = r"\n[^\p{L}\p{N}\n]*\n"
     # A ';' that leads a comment line ends no sentence.
     end = rf"([.!?;:])(?<!(?:^|\n)[^\p{{L}}\p{{N}}\n]{{0,8}}){SPACES}+"
-    ends = F.regexp_replace(F.lower(text), f"{end}|{empty}", f"$1{_MARK}")
+    ends = F.regexp_replace(in_sentences(text), f"{end}|{empty}", f"$1{_MARK}")
 
     def bare(kept: str) -> Column:
         return F.regexp_replace(ends, f"[^a-z0-9{_MARK}{kept}]+", " ")
@@ -133,7 +157,8 @@ def scan(
     one sequence: a part's own before those of its lines. ``WITHOUT`` names licences whose texts
     others begin with.
     Licences come in rule order, each once. Null and empty texts have none; null and repeated keys
-    stay; other columns are not read; no rows give no rows. No shuffle: a text is one row's work.
+    stay; other columns are not read; no rows give no rows. No shuffle: a text is one row's work, read
+    whole however long it is.
     """
     if len(sentences) > MOST_SENTENCES:
         raise ValueError("too many known sentences for a plan")

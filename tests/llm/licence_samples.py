@@ -103,6 +103,6 @@ freely, subject to the following restrictions:
     ("MIT", "See below.\nThis project is licensed under the terms of the MIT license, see LICENSE.\nLicensed under the MIT license\n"),
     ("GPL-3.0-or-later", "// SPDX-License-Identifier: GPL-3.0-or-later\n#include <x>\n"),
     ("BSD-2-Clause", "/* SPDX-License-Identifier: BSD-2-Clause */\n"),
-    ("", "// SPDX-License-Identifier: MIT OR Apache-2.0\nint x;\n"),
+    ("MIT,Apache-2.0", "// SPDX-License-Identifier: MIT OR Apache-2.0\nint x;\n"),
     ("", "Neither the name of the University nor the names of its students were on the list."),
 ]

@@ -219,3 +219,37 @@ def test_draws_follow_the_probabilities(spark, odd, none):
     assert mixing.drawn(odd, queries.POWERS, budget=1.0).columns == odd.columns
     assert mixing.mix(none, queries.POWERS, budget=0.5).count() == 0
     assert mixing.drawn(none, queries.POWERS, budget=0.5).count() == 0
+
+
+CLOTHED = [
+    ("This project is licensed under the MIT License - see the LICENSE.md file for details.", ["MIT"]),
+    ("This project is licensed under the MIT License - see the [LICENSE.md](LICENSE.md) file for details", ["MIT"]),
+    ("Released under the MIT license, see LICENSE for details.", ["MIT"]),
+    ("Text before it. Licensed under the Apache License, Version 2.0 (see the LICENSE file).", ["Apache-2.0"]),
+    ("SPDX-License-Identifier: GPL-2.0", ["GPL-2.0-only"]),
+    ("/* SPDX-License-Identifier: GPL-2.0+ */\nint x;", ["GPL-2.0-or-later"]),
+    ("# SPDX-License-Identifier: LGPL-2.1+", ["LGPL-2.1-or-later"]),
+    ("// SPDX-License-Identifier: (MIT OR Apache-2.0)", ["MIT", "Apache-2.0"]),
+    ("// SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0\n", ["GPL-2.0-only"]),
+    ("SPDX-License-Identifier: (GPL-3.0+ AND MIT) OR BSD-3-Clause", ["MIT", "BSD-3-Clause", "GPL-3.0-or-later"]),
+    ("Name: thing\nLicense: MIT\nVersion: 3", ["MIT"]),
+    ('  "license": "Apache-2.0",', ["Apache-2.0"]),
+    ("License :: OSI Approved :: MIT License", ["MIT"]),
+    ("License :: OSI Approved :: GNU General Public License v3 or later (GPLv3+)", ["GPL-3.0-or-later"]),
+    ("<p>Released under the MIT License.</p>", ["MIT"]),
+    ("<div class='x'>Licensed under <b>the MIT License</b>.</div>", ["MIT"]),
+    ("Licence: unknown to all\nSee the licence for details.", []),
+    ("See the text or the other text and more, with 2+2 < 3 > 1.", []),
+    ("My driving license: I lost it. See licence office.", []),
+]
+
+
+def test_notices_in_all_their_clothes(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CLOTHED)], "doc_id long, text string")
+    found = {r.doc_id: sorted(r.licences) for r in licenses.scan(docs).collect()}
+    assert found == {i: sorted(licences) for i, (_, licences) in enumerate(CLOTHED)}
+
+
+def test_a_very_long_text_is_scanned_whole(spark):
+    text = odd_rows.words(3, 300_000) + "\n\nReleased under the MIT License.\n\n" + odd_rows.words(4, 10)
+    assert licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().licences == ["MIT"]
