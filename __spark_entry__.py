@@ -29,6 +29,7 @@ from sensorloom.operators import trends as tr
 from sensorloom.plans import models as ml
 from sensorloom.schemas import CALENDAR_COLUMNS, LAG_COLUMNS, METRICS, SERIES_KEY
 from sensorloom.session import configure, scratch_dir, stored
+from sensorloom.sources import landing as ld
 from sensorloom.sources import raw as rw
 from sensorloom.sources import tables as tb
 from sensorloom.streaming import aggregates as ag
@@ -199,9 +200,23 @@ def hourly_or_daily(spark, sf_dir):
 
 
 def raw_json_roundtrip(spark, sf_dir):
+    """Landed one document per file, read by the default reader."""
+    return rw.normalize(rw.read_raw(spark, landed(spark, sf_dir)))
+
+
+def raw_json_stream(spark, sf_dir):
+    """The same folder as a stream, by the default reader."""
+    root = scratch_dir(spark, "raw-stream")
+    raw = rw.read_raw_stream(spark, landed(spark, sf_dir))
+    _finish(bt.start(rw.normalize(raw), bt.versioned_sink(f"{root}/out"), f"{root}/checkpoint", once=True))
+    schema = "pm25 double, datetime timestamp, parameter string, period_label string, sensor_id string"
+    return bt.read_versions(spark, f"{root}/out", schema).drop(bt.VERSION)
+
+
+def landed(spark, sf_dir):
     landing = scratch_dir(spark, "landing")
-    rw.write_envelopes(envelopes(spark, sf_dir), landing)
-    return rw.normalize(rw.read_raw(spark, landing, multi_line=False, files="*.json"))
+    ld.land(rw.to_envelopes(readings(spark, sf_dir), span="month"), landing)
+    return landing
 
 
 def normalize_readings(spark, sf_dir):
@@ -242,7 +257,7 @@ def union_sources(spark, sf_dir):
 
 
 def ingest_totals(spark, sf_dir):
-    return rw.ingest_totals(envelopes(spark, sf_dir))
+    return rw.ingest_totals(rw.read_raw(spark, landed(spark, sf_dir)))
 
 
 def stage_counts(spark, sf_dir):
@@ -356,8 +371,8 @@ def time_split(spark, sf_dir):
 
 def split_report(spark, sf_dir):
     features = stored_features(spark, sf_dir, *SERIES_KEY)
-    cut = sp.time_split(features, required=SERIES_KEY).cut
-    return sp.split_report(features, cut, required=SERIES_KEY)
+    cut = sp.time_split(features).cut  # no column may be null
+    return sp.split_report(features, cut)
 
 
 def hash_sample(spark, sf_dir):
@@ -637,6 +652,7 @@ def sensor_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_time": latest_time,
         "hourly_or_daily": hourly_or_daily,
         "raw_json_roundtrip": raw_json_roundtrip,
+        "raw_json_stream": raw_json_stream,
         "normalize_readings": normalize_readings,
         "envelope_check": envelope_check,
         "union_sources": union_sources,
@@ -862,6 +878,10 @@ def sensor_sql() -> dict[str, str]:
             SELECT pm25, date_trunc('second', datetime) AS datetime, parameter,
                    'hourly' AS period_label, sensor_id
             FROM readings""",
+        "raw_json_stream": f"""WITH {_READINGS}
+            SELECT pm25, date_trunc('second', datetime) AS datetime, parameter,
+                   'hourly' AS period_label, sensor_id
+            FROM readings""",
         "normalize_readings": f"""WITH {_READINGS}, one AS (
               SELECT pm25,
                      CASE WHEN event_id % 53 <> 0 AND event_id % 59 <> 0
@@ -877,7 +897,8 @@ def sensor_sql() -> dict[str, str]:
             UNION ALL
             SELECT CAST(o_custkey AS VARCHAR), o_orderdate, o_totalprice, NULL, o_orderpriority
             FROM orders""",
-        "ingest_totals": """SELECT count(DISTINCT user_id) AS n_sensors, count(*) AS n_records
+        "ingest_totals": """SELECT count(DISTINCT user_id) AS n_sensors, count(*) AS n_records,
+                   count(DISTINCT (user_id, date_trunc('month', ts))) AS n_files
             FROM events""",
         "stage_counts": f"""WITH {_FAULTY}
             SELECT 'raw' AS stage, count(*) AS n FROM faulty

@@ -140,12 +140,12 @@ def ingest_totals(raw: DataFrame) -> DataFrame:
 
 
 def to_envelopes(
-    readings: DataFrame, interval: str = "hourly", most_records: int = 10_000
+    readings: DataFrame, interval: str = "hourly", most_records: int = 10_000, span: str = "day"
 ) -> DataFrame:
     """Pack ``sensor_id, datetime, pm25, parameter`` rows into envelope documents.
 
-    A document holds a sensor's readings of one day, in time order, and says from when to when. A
-    day with more than ``most_records`` readings is dealt out over several documents by a hash of
+    A document holds a sensor's readings of one day (or ``span``), in time order, and says from when
+    to when. A day with more than ``most_records`` readings is dealt out over several documents by a hash of
     the reading, so a sensor that holds most of the readings is not one task's burden. The
     documents depend on the readings alone, not on how these are partitioned.
     """
@@ -159,7 +159,7 @@ def to_envelopes(
     )
     rows = readings.select(
         F.col("sensor_id").cast("string").alias("sensor_id"),
-        F.to_date("datetime").alias("day"),
+        F.to_date(F.date_trunc(span, "datetime")).alias("day"),
         F.struct("datetime", record.alias("record")).alias("reading"),
     )
     days = rows.groupBy("sensor_id", "day").agg(F.count(F.lit(1)).alias("n"))
@@ -187,5 +187,8 @@ def to_envelopes(
 
 
 def write_envelopes(envelopes: DataFrame, path: str) -> None:
-    """Land envelopes as JSON lines; read back with ``multi_line=False, files="*.json"``."""
+    """Write envelopes as JSON lines, many in a file; read back with ``multi_line=False, files="*.json"``.
+
+    ``landing.land`` writes a file for each instead, under the names of a landing folder.
+    """
     envelopes.write.mode("overwrite").json(path)

@@ -10,6 +10,7 @@ reading is recomputed from that reading on, from the days before it alone. Table
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Iterable
 
 from pyspark.ml import PipelineModel
@@ -146,21 +147,32 @@ def _recent(history: DataFrame, late: DataFrame, since: int | None) -> DataFrame
     return stored(bt.newest(rows, SERIES_KEY), "recent")
 
 
+def _first_day(history: DataFrame) -> dt.date:
+    """The earliest day that has a folder; no file is read."""
+    days = re.findall(rf"/{DAY}=(\d+-\d\d-\d\d)/", "\n".join(history.inputFiles()))
+    return dt.date.fromisoformat(min(days))
+
+
 def _redone_features(history: DataFrame, late: DataFrame, first: int, rows_per_task: int) -> DataFrame:
     """Features of the late sensors from their first new reading on (``first`` of all of them).
 
     The scan goes back some days from there. A sensor that has too few readings in that time is
     read further back, at last from its beginning.
     """
+    begins = dt.datetime.combine(_first_day(history), dt.time(), dt.timezone.utc).timestamp() * 1e6
     found, short = [], late
     for days in (*LOOKBACK_DAYS, None):
-        since = None if days is None else first - days * 86_400_000_000
+        since = None if days is None or first - days * 86_400_000_000 <= begins else first - days * 86_400_000_000
         rows = _recent(history, short, since)
-        earlier = F.count(F.when(F.col("datetime") < F.col("first_new"), 1))
-        enough = rows.join(short, "sensor_id").groupBy("sensor_id").agg(earlier.alias("n"))
-        enough = stored(enough.filter((F.col("n") >= LAGS) | F.lit(days is None)).select("sensor_id"), "enough")
-        found.append(rows.join(enough, "sensor_id", "left_semi"))
-        short = stored(short.join(enough, "sensor_id", "left_anti"), "short")
+        if since is None:
+            found.append(rows)
+            break
+        earlier = rows.join(short, "sensor_id").filter(F.col("datetime") < F.col("first_new"))
+        supply = earlier.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("n"))
+        supply = short.join(supply, "sensor_id", "left").withColumn("enough", F.coalesce("n", F.lit(0)) >= LAGS)
+        supply = stored(supply.drop("n"), "supply")
+        found.append(rows.join(supply.filter("enough").select("sensor_id"), "sensor_id", "left_semi"))
+        short = supply.filter("NOT enough").drop("enough")
         if short.isEmpty():
             break
     redone = ft.lag_features(cl.hourly(rw.union_sources(found)), rows_per_task=rows_per_task)
@@ -239,18 +251,22 @@ def refresh_tables(
         carry = tables.read("carry", READING, before).drop(bt.VERSION)
 
         spans = new.groupBy("sensor_id").agg(F.min("datetime").alias("first_new"))
-        spans = stored(spans, "spans")
         known = carry.groupBy("sensor_id").agg(F.max("datetime").alias("last_known"))
-        late = spans.join(known, "sensor_id").filter(F.col("first_new") <= F.col("last_known"))
-        late = stored(late.select("sensor_id", "first_new"), "late")
-        n_late, first = late.agg(F.count(F.lit(1)), F.unix_micros(F.min("first_new"))).first()
+        spans = spans.join(known, "sensor_id", "left").select(
+            "sensor_id", "first_new", F.coalesce(F.col("first_new") <= F.col("last_known"), F.lit(False)).alias("late")
+        )
+        spans = stored(spans, "spans")
+        first = F.unix_micros(F.min(F.when(F.col("late"), F.col("first_new"))))
+        n_spans, n_late, first = spans.agg(F.count(F.lit(1)), F.count_if("late"), first).first()
         added, replaced = {}, {}
         if lag_hours is not None:
             replaced["held"] = tables.write("held", batch_id, held)
-        if spans.isEmpty():
+        if not n_spans:
             delete_path(spark, f"{root}/clean/{folder}")  # nothing to keep, or to look through later
         else:
-            added, replaced["carry"] = derived(tables, before, batch_id, folder, new, carry, spans, late, n_late, first)
+            added, replaced["carry"] = derived(
+                tables, before, batch_id, folder, new, carry, spans, n_spans > n_late, first
+            )
         notes = {"latest": latest}
         progress = [(batch_id, n_rows, n_taken.get["n"], n_held.get["n"] if lag_hours is not None else 0, latest)]
         progress = spark.createDataFrame(progress, "batch long, n_rows long, n_taken long, n_held long, us long")
@@ -259,19 +275,19 @@ def refresh_tables(
         added["progress"] = tables.write("progress", batch_id, progress.coalesce(1))
         tables.commit(batch_id, added, replaced, notes)
 
-    def derived(tables, before, batch_id, folder, new, carry, spans, late, n_late, first):
+    def derived(tables, before, batch_id, folder, new, carry, spans, some_forward, first):
         """Write features (and predictions) of a batch's readings; the new folders, and the carry."""
-        spark, fields = tables.spark, f"{READING}, {DAY} date"
-        features = _forward_features(
-            new.join(late, "sensor_id", "left_anti"),
-            carry.join(spans, "sensor_id", "left_semi"),
-            rows_per_task,
-        )
-        if n_late:
+        forward, late = (spans.filter(c).select("sensor_id", "first_new") for c in (~F.col("late"), F.col("late")))
+        made = []
+        if some_forward:
+            rows = [df.join(forward.select("sensor_id"), "sensor_id", "left_semi") for df in (new, carry)]
+            made.append(_forward_features(*rows, rows_per_task))
+        if first is not None:
             live = [*before.tables.get("clean", ()), folder]
-            history = tables.read_folders("clean", live, fields)
-            features = features.unionByName(_redone_features(history, late, first, rows_per_task))
-        added = {"clean": folder, "features": tables.write("features", batch_id, _by_day(features), [DAY])}
+            history = tables.read_folders("clean", live, f"{READING}, {DAY} date")
+            made.append(_redone_features(history, late, first, rows_per_task))
+        features = _by_day(rw.union_sources(made))
+        added = {"clean": folder, "features": tables.write("features", batch_id, features, [DAY])}
         if model is not None:
             written = tables.read_folders("features", [added["features"]], f"{FEATURE}, {DAY} date")
             scored = score(model, written.drop(bt.VERSION))
