@@ -132,7 +132,8 @@ def mix(
 
     ``powers`` gives the tempering of each margin's target. A null source or language is the level
     '', a null text has no tokens (probability 0 when all of its cell has none: nothing to draw);
-    rows of one key share their draw; empty tables give no rows. Other columns are not read.
+    rows of one key share their draw; empty tables give no rows. Other columns are not read. The words
+    of a very long text all count; it is one row's work.
     """
     rows = leveled(docs.select(F.col(key).alias("_key"), "source", "lang", F.col(text).alias("_text")), "_text")
     rows = written(rows.drop("source", "lang", "_text"), "weighed")

@@ -287,7 +287,8 @@ def join(
     texts other than its own. ``class_id`` is the smallest key of the documents that links connect
     (its own if none); ``stays`` holds for one row of each class, and for texts without a word;
     ``text_hash`` is Spark's xxhash64 of the text. Null and repeated keys are rows like others, other columns are not read,
-    empty tables give no rows.
+    empty tables give no rows. A very long text is compared whole; the task that hashes its n-grams
+    holds some forty times its bytes.
 
     Copies of a text collapse first; only one of each is compared. Each pair of texts that shares
     a band is verified once, in the bucket of its first common band, whatever the bucket's size:

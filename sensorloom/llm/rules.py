@@ -104,7 +104,8 @@ def ledger(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataF
     """One row for each row of ``docs``: its key, the measurements and ``failures`` (long).
 
     Bit b of ``failures`` is set when rule b fails. Empty and null texts fail ``few_words`` only.
-    Null and repeated keys stay; other columns of ``docs`` are not read; no rows give no rows.
+    Null and repeated keys stay; other columns of ``docs`` are not read; no rows give no rows. A very
+    long text is measured whole; it is one row's work.
     """
     rows = measured(docs.select(F.col(key), F.col(text).alias("_text")), "_text").drop("_text")
     return rows.select(key, *MEASURES, failures().alias("failures"))

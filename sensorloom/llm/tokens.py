@@ -163,7 +163,8 @@ def count_tokens(
     ``cache`` is a Parquet folder that all executors reach; it is created when missing, read, and
     appended to. Content is the text with null as empty; nothing else may be normalised away,
     because white space and case are tokens too. A null or repeated key stays as it is, empty
-    tables give empty results, other columns of ``docs`` are not read. Copies of a content collapse
+    tables give empty results, other columns of ``docs`` are not read. A very long text is encoded whole,
+    by the task that has its row. Copies of a content collapse
     in each map task before the shuffle, so a hot one reaches its task once for each of those.
     """
     spark = docs.sparkSession
