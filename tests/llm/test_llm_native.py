@@ -253,3 +253,13 @@ def test_notices_in_all_their_clothes(spark):
 def test_a_very_long_text_is_scanned_whole(spark):
     text = odd_rows.words(3, 300_000) + "\n\nReleased under the MIT License.\n\n" + odd_rows.words(4, 10)
     assert licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().licences == ["MIT"]
+
+
+def test_no_step_of_a_licence_scan_is_done_twice_or_by_a_slow_class(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    text = plan(licenses.scan(docs))
+    assert text.count("lower(") == 1
+    # What each step replaces or looks for, from one that comes early to one that comes late.
+    for pattern in ("</?[a-z]", "(gpl-[0-9]", "license :: (?:", "(?m)^(", "[ )]+(?:or", "see (?:the", "([.!?;:])"):
+        assert text.count(pattern) == 1
+    assert "[^a-z0-9" not in text
