@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pandas as pd
 import pytest
 
 from helpers import READING, at, envelope, land, record, series_rows, tuples
@@ -82,6 +83,96 @@ def test_lags_from_state(spark, tmp_path, rocksdb):
     assert tuples(lagged.filter("late").select("sensor_id", "datetime", "pm25")) == [late]
 
 
+def state_lags(spark, path, batches, allowance="30 days", **options):
+    """The rows that ``lags_in_state`` gives, and the progress of its batches."""
+    stream = landed_stream(spark, path / "in", batches)
+    query = bt.start(et.lags_in_state(stream, allowance, **options), bt.versioned_sink(str(path / "out")), str(path / "cp"), once=True)
+    finish(query)
+    fields = ", ".join(f"{c} double" for c in et.LAG_COLUMNS)
+    return bt.read_versions(spark, str(path / "out"), f"{READING}, late boolean, {fields}"), query.recentProgress
+
+
+def test_state_calls_do_not_grow_with_the_sensors(spark, tmp_path, rocksdb):
+    """A thousand sensors are some hundred calls, each with at most one timer; none loses its lags."""
+    batches = [[hour(d, float(i), f"s{i}") for i in range(1000)] for d in (0, 1)]
+    rows, progress = state_lags(spark, tmp_path, batches)
+    assert 0 < sum(o.customMetrics["numRegisteredTimers"] for p in progress for o in p.stateOperators) <= et.SENSOR_GROUPS
+    assert rows.filter("datetime > '2024-01-01T12:00:00' AND lag_1 = pm25 AND lag_2 IS NULL").count() == 1000
+
+
+def test_sensors_that_share_a_group_keep_apart(spark, tmp_path, rocksdb):
+    """Each sensor has its own tail, its own late rows, and is forgotten by its own silence."""
+    first = series_rows("a", 30) + series_rows("b", 30) + [hour(0, 5.0, None), hour(0, 6.0, "")]
+    batches = [
+        first,
+        [hour(40, 41.0), hour(0.1, 9.0), hour(40, 7.0, None), hour(40, 8.0, "")],
+        [hour(70, 1.0, "clock")],
+        [hour(71, 1.0, "clock")],
+        [hour(72, 73.0), hour(72, 2.0, "b"), hour(72, 3.0, "b"), hour(72, 4.0, None)],
+    ]
+    rows, _ = state_lags(spark, tmp_path, batches, "60 days", groups=1)
+    assert rows.filter("late").select("sensor_id", "pm25").collect() == [("a", 9.0)]
+    later = {(r.sensor_id, r.datetime.month, r.datetime.day): r for r in rows.filter("NOT late AND datetime > '2024-02-01'").collect()}
+    assert [later["a", 2, 10][f"lag_{i}"] for i in (1, 2, 24)] == [30.0, 29.0, 7.0]
+    assert [later["a", 3, 13][f"lag_{i}"] for i in (1, 2, 24)] == [41.0, 30.0, 8.0]
+    assert [later[None, 3, 13][f"lag_{i}"] for i in (1, 2, 3)] == [7.0, 5.0, None]
+    assert [later["", 2, 10][f"lag_{i}"] for i in (1, 2)] == [6.0, None]
+    assert [later["b", 3, 13][c] for c in ("pm25", "lag_1", "lag_24")] == [3.0, 30.0, 7.0]
+
+
+def test_a_silent_sensor_of_a_group_is_forgotten(spark, tmp_path, rocksdb):
+    batches = [
+        series_rows("a", 30) + series_rows("b", 30),
+        [hour(40, 41.0)],
+        [hour(70, 1.0, "clock")],
+        [hour(71, 1.0, "clock")],  # the watermark has come to day 68, that is 60 days after b's last
+        [hour(72, 73.0), hour(72, 2.0, "b")],
+        [hour(110, 1.0, "clock")],
+        [hour(111, 1.0, "clock")],  # the group's next timer: a and b were last seen at day 72, and stay
+        [hour(112, 74.0), hour(112, 3.0, "b")],
+    ]
+    rows, _ = state_lags(spark, tmp_path, batches, "2 days", groups=1)
+    got = {(r.sensor_id, r.pm25): (r.lag_1, r.lag_2) for r in rows.filter("datetime > '2024-03-01'").collect()}
+    assert got["a", 73.0] == (41.0, 30.0) and got["b", 2.0] == (None, None)
+    assert got["a", 74.0] == (73.0, 41.0) and got["b", 3.0] == (2.0, None)
+
+
+class FakeState(dict):
+    """State and timers of one group, counting what is asked of them."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+        self.listTimers, self.deleteTimer, self.registerTimer = lambda: iter(sorted(self.timers)), self.timers.remove, self.timers.add
+
+    def getMapState(self, *schema):
+        return self
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+
+def test_lags_of_a_group_come_in_parts(monkeypatch):
+    """Input of several frames; output of bounded frames; state is asked for each entry, not each sensor."""
+    monkeypatch.setattr(et, "ROWS_OUT", 100)
+    rows = pd.DataFrame([r for i in range(400) for r in series_rows(f"s{i}", 5)], columns=["sensor_id", "datetime", "pm25"])
+    state, processor = FakeState(), et.LastReadings()
+    processor.init(state)
+    out = list(processor.handleInputRows((0,), iter([rows[:900], rows[900:]]), None))
+    assert max(map(len, out)) == 100 and state.calls <= 2 * et.GROUP_ENTRIES and len(state.timers) == 1
+    made = pd.concat(out).sort_values(["sensor_id", "datetime"])
+    assert len(made) == 2000 and made["pm25"].tolist() == [1.0, 2.0, 3.0, 4.0, 5.0] * 400
+    assert made["lag_2"].fillna(0).tolist() == [0.0, 0.0, 1.0, 2.0, 3.0] * 400
+    late = list(processor.handleInputRows((0,), iter([rows]), None))
+    assert sum(map(len, late)) == 2000 and all(f["late"].all() and f["lag_1"].isna().all() for f in late)
+    with pytest.raises(ValueError, match="without a time"):
+        list(processor.handleInputRows((0,), iter([rows.assign(datetime=pd.NaT)]), None))
+
+
 def test_new_readings_wait_until_they_are_settled(spark, tmp_path):
     root = str(tmp_path / "t")
     handle = rf.refresh_tables(root, lag_hours=24, clock=rf.event_clock)
